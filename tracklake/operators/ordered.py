@@ -26,9 +26,12 @@ def _bounds_below(bounds: Column, value: Column, longest: int) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-def with_bucket(df: DataFrame, by: list[str], order: str, min_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
-    """Add ``_bucket``, increasing with ``order`` inside each group; 0 for groups of normal size."""
-    hot = hot_groups(df, by, min_rows)
+def with_bucket(df: DataFrame, by: list[str], order: str, min_rows: int | None = HOT_ROWS) -> tuple[DataFrame, bool]:
+    """Add ``_bucket``, increasing with ``order`` inside each group; 0 for groups of normal size.
+
+    ``min_rows=None`` says that the caller has already seen that no group is large.
+    """
+    hot = [] if min_rows is None else hot_groups(df, by, min_rows)
     if not hot:
         return df.withColumn("_bucket", F.lit(0)), False
     most = max(h[-1] for h in hot)
@@ -67,7 +70,7 @@ def fill_forward(
     order: list[str],
     values: dict[str, Column],
     inclusive: bool = True,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add, per name, the newest non-null value at or before (or only before) each row.
 

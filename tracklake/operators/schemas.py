@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tracklake.functions.binary import WIDTHS, literal_map, utf8_lossy
 from tracklake.functions.paths import join_path, last_part
-from tracklake.operators.lookup import HOT_ROWS
+from tracklake.operators.lookup import HOT_ROWS, hot_groups
 from tracklake.operators.ordered import fill_forward
 from tracklake.operators.quality import is_schema
-from tracklake.session import stage
+from tracklake.session import stage, stage_counted
 
 MAX_DEPTH = 16
 MAX_ELEMENTS = (1 << 31) - 1  # a BINARY value cannot be longer
@@ -112,6 +112,8 @@ def schema_fields(schemas: DataFrame) -> DataFrame:
 
 def versions(schemas: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """Registrations that change a struct, each with the ``seq`` span it is the newest for."""
+    if not hot_groups(schemas, SCHEMA, min_rows):
+        min_rows = None
     slim = schemas.select(*EPOCH, "text", "fields", "incomplete")
     seen = fill_forward(slim, SCHEMA, ["schema_seq"], {"_prev": F.col("text")}, inclusive=False, min_rows=min_rows)
     changed = seen.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("text"))).drop("_prev", "text")
@@ -139,7 +141,7 @@ def _references(vers: DataFrame, names: DataFrame) -> DataFrame:
     return used.join(found, ["recording", "parent", "type"], "left")
 
 
-def layouts(vers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def layouts(vers: DataFrame) -> DataFrame:
     """Layout of every struct at every registration that concerns it.
 
     (recording, struct_name, schema_seq, complete, missing, problem, struct_size, leaves),
@@ -148,8 +150,7 @@ def layouts(vers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """
     vers = stage(vers, "schema-versions")
     names = vers.select(*SCHEMA).distinct()
-    refs = stage(_references(vers, names), "schema-references")
-    nested = not refs.isEmpty()
+    refs, nested = stage_counted(_references(vers, names), "schema-references")
     members = _members(names, refs) if nested else names.withColumn("member", F.col("struct_name"))
     firsts = vers.groupBy(*SCHEMA).agg(F.min("schema_seq").alias("_first"))
     epochs = (
@@ -177,8 +178,8 @@ def layouts(vers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
         parts.append(_leaf_rows(level.filter(plain), F.col("_f.type"), F.col("_f.count")))
         if not nested:
             break
-        level = stage(level.filter(~plain), "schema-level")
-        if level.isEmpty():
+        level, pending = stage_counted(level.filter(~plain), "schema-level")
+        if not pending:
             break
         level, found = _descend(level, refs, vers)
         parts.append(found)
@@ -202,8 +203,8 @@ def _members(names: DataFrame, refs: DataFrame) -> DataFrame:
             .select(*SCHEMA, F.col("child").alias("member"))
             .distinct()
         )
-        fresh = stage(step.join(found, [*SCHEMA, "member"], "left_anti"), "schema-members")
-        if fresh.isEmpty():
+        fresh, grown = stage_counted(step.join(found, [*SCHEMA, "member"], "left_anti"), "schema-members")
+        if not grown:
             break
         found = found.unionByName(fresh)
     return found

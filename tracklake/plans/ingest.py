@@ -12,7 +12,15 @@ from tracklake.operators import context, entities, entries, quality, schemas, st
 from tracklake.operators.lookup import HOT_ROWS
 from tracklake.sources.control import RECORD_COLUMNS, decode_records
 from tracklake.sources.framing import scan_frames
-from tracklake.sources.logfiles import header_problems, read_files, recordings, with_header, with_recording
+from tracklake.sources.logfiles import (
+    WHOLE_FILE_BYTES,
+    header_problems,
+    list_files,
+    read_files,
+    recordings,
+    with_header,
+    with_recording,
+)
 from tracklake.sources.ranges import large_logs, scan_ranges
 from tracklake.session import stage
 
@@ -22,45 +30,41 @@ class Ingest:
     """Lazily built tables of a set of log files.
 
     ``files`` is (recording, path, content). ``large`` is (recording, path, length) of
-    files that are framed by byte range. Every table is a DataFrame; ``records`` and
-    ``entries`` are written once to the staging folder because several others read them.
+    files that are framed by byte range. Every table is a DataFrame; the ones that several
+    others read are written once to the staging folder.
     """
 
-    files: DataFrame
+    files: DataFrame | None
     large: DataFrame | None = None
     mode: str = "PERMISSIVE"
     application_id: str | None = None
     trigger: str = "direct"
     min_rows: int = HOT_ROWS
+    keyed_rows: DataFrame | None = None  # start from keyed records instead of files
 
     @cached_property
-    def _big(self):
-        return None if self.large is None else large_logs(self.large)
+    def decoded(self) -> DataFrame:
+        """Everything in the files, read once and written by part: the few header, control
+        and problem rows can then be read without the data."""
+        frames = scan_frames(with_header(self.files), self.mode)
+        if self.large is not None and not self.large.isEmpty():
+            frames = frames.unionByName(scan_ranges(large_logs(self.large), self.mode))
+        rows = decode_records(frames, self.mode)
+        part = (
+            F.when(F.col("head").isNotNull(), "header")
+            .when(F.col("issue").isNotNull(), "problem")
+            .when(F.col("kind") == "raw", "data")
+            .otherwise("control")
+        )
+        return stage(rows.withColumn("part", part), "records", "part")
 
     @cached_property
     def recordings(self) -> DataFrame:
-        out = recordings(self.files, self.application_id)
-        return out if self._big is None else out.unionByName(self._big.recordings(self.application_id))
+        return recordings(self.decoded.filter("part = 'header'"), self.application_id)
 
     @cached_property
     def header_problems(self) -> DataFrame:
-        if self.mode.upper() == "FAILFAST":
-            return header_problems(self.files).withColumn(
-                "reason", F.raise_error(F.concat_ws(" ", "recording", "reason")).cast("string")
-            )
-        out = header_problems(self.files)
-        return out if self._big is None else out.unionByName(self._big.header_problems())
-
-    @cached_property
-    def decoded(self) -> DataFrame:
-        logs = with_header(self.files).filter("header_issue is null")
-        frames = scan_frames(logs, self.mode)
-        if self._big is not None:
-            frames = frames.unionByName(scan_ranges(self._big, self.mode))
-        rows = decode_records(frames, self.mode)
-        # control records and problems are few: kept apart, they are read without the data
-        part = F.when(F.col("issue").isNotNull(), "problem").when(F.col("kind") == "raw", "data").otherwise("control")
-        return stage(rows.withColumn("part", part), "records", "part")
+        return header_problems(self.decoded.filter("part = 'header'"))
 
     @cached_property
     def records(self) -> DataFrame:
@@ -79,7 +83,7 @@ class Ingest:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return context.keyed(self.with_context)
+        return context.keyed(self.with_context) if self.keyed_rows is None else self.keyed_rows
 
     @cached_property
     def schemas(self) -> DataFrame:
@@ -91,7 +95,7 @@ class Ingest:
 
     @cached_property
     def layouts(self) -> DataFrame:
-        return stage(schemas.layouts(schemas.versions(self.schemas, self.min_rows), self.min_rows), "layouts")
+        return stage(schemas.layouts(schemas.versions(self.schemas, self.min_rows)), "layouts")
 
     @cached_property
     def struct_layout(self) -> DataFrame:
@@ -156,8 +160,6 @@ def ingest_path(spark: SparkSession, path: str, glob: str = "*.wpilog", **option
 
 
 def large_files(spark: SparkSession, path: str, glob: str = "*.wpilog") -> DataFrame:
-    from tracklake.sources.logfiles import WHOLE_FILE_BYTES, list_files
-
     return list_files(spark, path, glob).filter(F.col("length") > WHOLE_FILE_BYTES)
 
 

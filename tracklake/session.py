@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -54,3 +55,10 @@ def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``stage``, and the row count taken while writing."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return staged, seen.get["n"]

@@ -79,5 +79,6 @@ def decode_records(frames: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
         F.when(fine & named, text["_text2"]).alias("entry_type"),
         F.when(fine & named, text["_text3"]).when(fine & noted, text["_text1"]).alias("metadata"),
         F.when(~control | ~fine, F.col("data")).alias("data"),
-        F.col("issue"),
+        "issue",
+        "head",
     )

@@ -13,7 +13,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-FRAME_DDL = "recording string, seq bigint, ts bigint, entry_id bigint, data binary, issue string"
+HEAD_DDL = "struct<path:string,version:int,extra_header:string,n_bytes:bigint,issue:string>"
+FRAME_DDL = f"recording string, seq bigint, ts bigint, entry_id bigint, data binary, issue string, head {HEAD_DDL}"
+HEAD_ARROW = pa.struct(
+    [
+        ("path", pa.string()),
+        ("version", pa.int32()),
+        ("extra_header", pa.string()),
+        ("n_bytes", pa.int64()),
+        ("issue", pa.string()),
+    ]
+)
 FRAME_ARROW = pa.schema(
     [
         ("recording", pa.string()),
@@ -22,6 +32,7 @@ FRAME_ARROW = pa.schema(
         ("entry_id", pa.int64()),
         ("data", pa.binary()),
         ("issue", pa.string()),
+        ("head", HEAD_ARROW),
     ]
 )
 CHUNK_RECORDS = 1 << 16
@@ -98,6 +109,7 @@ def cut(buf, starts: list[int], after: int, recording: str, seq: int) -> pa.Reco
             pa.array(ids.astype(np.int64)),
             pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(payload)]),
             pa.array([LATE], pa.string()).take(pa.array(np.zeros(n, np.int32), mask=~late)),
+            pa.nulls(n, HEAD_ARROW),
         ],
         schema=FRAME_ARROW,
     )
@@ -125,21 +137,39 @@ def frames_of(buf, pos: int, recording: str, strict: bool) -> Iterator[pa.Record
 
 
 def torn_tail(recording: str, seq: int, rest: bytes) -> pa.RecordBatch:
-    row = {
-        "recording": [recording], "seq": [seq], "ts": [None], "entry_id": [None], "data": [rest], "issue": [TRUNCATED],
-    }
-    return pa.RecordBatch.from_pydict(row, schema=FRAME_ARROW)
+    return pa.RecordBatch.from_pylist(
+        [{"recording": recording, "seq": seq, "data": rest, "issue": TRUNCATED}], schema=FRAME_ARROW
+    )
+
+
+def header_row(recording: str, head: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"recording": recording, "head": head}], schema=FRAME_ARROW)
 
 
 def scan_frames(logs: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
-    """Frames of whole files. ``logs`` has (recording, content, body_at); contents are not shuffled."""
+    """One header row per log file, then its frames; every file is read once and never shuffled.
+
+    ``logs`` comes from ``with_header``: (recording, path, content, version, extra_header,
+    body_at, header_issue).
+    """
     strict = mode.upper() == "FAILFAST"
+    columns = ["recording", "content", "body_at", "path", "version", "extra_header", "header_issue"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, contents, bodies = batch.columns
-            for i in range(len(batch)):
-                buf = memoryview(contents[i].as_buffer())
-                yield from frames_of(buf, bodies[i].as_py(), names[i].as_py(), strict)
-
-    return logs.select("recording", "content", "body_at").mapInArrow(scan, FRAME_DDL)
+            rest = batch.select([c for c in columns if c != "content"]).to_pylist()
+            contents = batch.column(1)
+            for i, row in enumerate(rest):
+                buf = memoryview(contents[i].as_buffer()).cast("B")
+                issue = row["header_issue"]
+                if issue and strict:
+                    raise ValueError(f"{row['recording']}: {issue}")
+                yield header_row(
+                    row["recording"],
+                    {"path": row["path"], "version": row["version"], "extra_header": row["extra_header"],
+                     "n_bytes": len(buf), "issue": issue},
+                )
+                if not issue:
+                    yield from frames_of(buf, row["body_at"], row["recording"], strict)
+
+    return logs.select(*columns).mapInArrow(scan, FRAME_DDL)

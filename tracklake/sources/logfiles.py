@@ -78,29 +78,21 @@ def with_header(files: DataFrame) -> DataFrame:
     )
 
 
-def recordings(files: DataFrame, application_id: str | None = None) -> DataFrame:
-    """One row per readable log file of ``files`` (path, recording, content)."""
-    app = F.lit(application_id) if application_id else F.concat(F.lit("app-"), F.substring(F.md5("path"), 1, 16))
-    return (
-        with_header(files)
-        .filter(F.col("header_issue").isNull())
-        .select(
-            "recording",
-            "path",
-            "version",
-            "extra_header",
-            F.octet_length("content").cast("bigint").alias("n_bytes"),
-            F.lit(STORE_SOURCE).alias("store_source"),
-            app.alias("application_id"),
-            F.lit(RECORDING_NAME).alias("name"),
-        )
+def recordings(headers: DataFrame, application_id: str | None = None) -> DataFrame:
+    """One row per readable log file, from rows (recording, head)."""
+    app = F.concat(F.lit("app-"), F.substring(F.md5("head.path"), 1, 16))
+    return headers.filter("head.issue is null").select(
+        "recording",
+        "head.path",
+        "head.version",
+        "head.extra_header",
+        "head.n_bytes",
+        F.lit(STORE_SOURCE).alias("store_source"),
+        (F.lit(application_id) if application_id else app).alias("application_id"),
+        F.lit(RECORDING_NAME).alias("name"),
     )
 
 
-def header_problems(files: DataFrame) -> DataFrame:
+def header_problems(headers: DataFrame) -> DataFrame:
     """``(recording, reason)`` of log files whose header cannot be read."""
-    return (
-        with_header(files)
-        .filter(F.col("header_issue").isNotNull())
-        .select("recording", F.col("header_issue").alias("reason"))
-    )
+    return headers.filter("head.issue is not null").select("recording", F.col("head.issue").alias("reason"))

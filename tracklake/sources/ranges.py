@@ -18,8 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.session import stage
-from tracklake.sources.framing import FRAME_DDL, HEAD, ID_WIDTH, LEN_WIDTH, TRUNCATED, cut, torn_tail, walk
-from tracklake.sources.logfiles import MAGIC, RECORDING_NAME, STORE_SOURCE, VERSION
+from tracklake.sources.framing import (
+    FRAME_DDL,
+    HEAD,
+    HEAD_DDL,
+    ID_WIDTH,
+    LEN_WIDTH,
+    TRUNCATED,
+    cut,
+    torn_tail,
+    walk,
+)
+from tracklake.sources.logfiles import MAGIC, VERSION
 
 RANGE_BYTES = 64 << 20
 LONGEST_HEAD = 17
@@ -42,7 +52,7 @@ def open_file(path: str):
 def read_range(path: str, start: int, stop: int) -> memoryview:
     with open_file(path) as f:
         f.seek(start)
-        return memoryview(f.read(max(0, stop - start)))
+        return memoryview(f.read(max(0, stop - start))).cast("B")
 
 
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,18 +141,6 @@ class LargeLogs:
     headers: DataFrame  # one row per file
     ranges: DataFrame  # one row per range, with exact entry, leave, n and first seq
 
-    def recordings(self, application_id: str | None = None) -> DataFrame:
-        app = F.lit(application_id) if application_id else F.concat(F.lit("app-"), F.substring(F.md5("path"), 1, 16))
-        return self.headers.filter("header_issue is null").select(
-            "recording", "path", "version", "extra_header", F.col("length").alias("n_bytes"),
-            F.lit(STORE_SOURCE).alias("store_source"), app.alias("application_id"), F.lit(RECORDING_NAME).alias("name"),
-        )
-
-    def header_problems(self) -> DataFrame:
-        return self.headers.filter("header_issue is not null").select(
-            "recording", F.col("header_issue").alias("reason")
-        )
-
 
 def _spread(df: DataFrame) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -183,8 +181,11 @@ def large_logs(files: DataFrame, range_bytes: int = RANGE_BYTES) -> LargeLogs:
 
 
 def scan_ranges(logs: LargeLogs, mode: str = "PERMISSIVE") -> DataFrame:
-    """Frames of all ranges, and one row per torn tail; the same rows as a whole-file scan gives."""
+    """Header rows, frames and torn tails: the same rows as a whole-file scan gives."""
     strict = mode.upper() == "FAILFAST"
+    bad = logs.headers.filter("header_issue is not null")
+    if strict and not bad.isEmpty():
+        raise ValueError(f"{bad.first()['recording']}: {bad.first()['header_issue']}")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,4 +205,6 @@ def scan_ranges(logs: LargeLogs, mode: str = "PERMISSIVE") -> DataFrame:
                     yield torn_tail(row["recording"], seq, rest)
 
     rows = logs.ranges.filter("entry is not null")
-    return _spread(rows).mapInArrow(scan, FRAME_DDL)
+    head = F.struct("path", "version", "extra_header", F.col("length").alias("n_bytes"), F.col("header_issue").alias("issue"))
+    headers = logs.headers.select("recording", head.cast(HEAD_DDL).alias("head"))
+    return _spread(rows).mapInArrow(scan, FRAME_DDL).unionByName(headers, allowMissingColumns=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -18,3 +19,14 @@ def write_table(df: DataFrame, path: str) -> None:
         .partitionBy("recording")
         .parquet(path)
     )
+
+
+def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
+    """Add one batch to the change feed; writing the same batch again replaces it."""
+    (
+        changes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
