@@ -1,17 +1,23 @@
 """Little-endian decoding of BINARY columns.
 
-Numbers go through one Arrow-batched function (measured here at about half the
-time of the ``conv(hex(...))`` form on 4 M rows); text, flags and uint64 are
-built-in expressions.
+All of it is built-in expressions: nothing leaves the JVM between the Parquet scan and
+the result. Bits are taken once with ``conv(hex(...))``; a real number is its mantissa
+times a power of two from a constant array.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+# What a cell can hold, by code (the position in this list), and the type
+# name it is stored under. ``char[]`` is text of fixed length, ``length`` an array's length.
+CELL_KINDS = [
+    "raw", "boolean", "string", "char", "char[]", "length",
+    "int8", "int16", "int32", "int64", "uint8", "uint16", "uint32", "uint64", "float", "double",
+]
+STORED_NAMES = {"char[]": "char", "length": "int64"}
+CODE = {name: code for code, name in enumerate(CELL_KINDS)}
 
 # Fixed values of the log format: bytes per primitive.
 WIDTHS = {
@@ -20,8 +26,6 @@ WIDTHS = {
     "uint8": 1, "uint16": 2, "uint32": 4, "uint64": 8,
     "float": 4, "float32": 4, "double": 8, "float64": 8,
 }
-SIGNED, UNSIGNED, REAL = 1, 2, 3
-NUMBER = T.StructType([T.StructField("whole", T.LongType()), T.StructField("real", T.DoubleType())])
 
 
 def literal_map(mapping: dict) -> Column:
@@ -39,83 +43,59 @@ def le_unsigned(data: Column, width: int, start: Column | int = 1) -> Column:
     return F.conv(F.hex(reversed_bytes(data, width, start)), 16, 10).cast("bigint")
 
 
-def le_int64(data: Column, start: Column | int = 1) -> Column:
-    return F.conv(F.hex(reversed_bytes(data, 8, start)), 16, -10).cast("bigint")
+def le_hex(data: Column) -> Column:
+    """Hex digits of a little-endian value of one to eight bytes, highest first.
 
+    ``substring`` past the end is empty, so one form serves every width.
+    """
+    return F.hex(reversed_bytes(data, 8))
 
-def le_uint64(data: Column, start: Column | int = 1) -> Column:
-    return F.conv(F.hex(reversed_bytes(data, 8, start)), 16, 10).cast("decimal(20,0)")
 
+def bits_of_hex(digits: Column) -> Column:
+    """The bits as BIGINT: eight bytes as a signed number, fewer ones zero-extended."""
+    return F.conv(digits, 16, -10).cast("bigint")
 
-def _real_from_bits(bits: Column, exp_bits: int, frac_bits: int) -> Column:
-    """Rebuild an IEEE-754 value from its bits with exact powers of two."""
-    top = (1 << exp_bits) - 1
-    bias = (1 << (exp_bits - 1)) - 1
-    exponent = F.shiftright(bits, frac_bits).bitwiseAND(F.lit(top))
-    fraction = bits.bitwiseAND(F.lit((1 << frac_bits) - 1))
-    negative = F.shiftrightunsigned(bits, exp_bits + frac_bits).bitwiseAND(F.lit(1)) == 1
-    scale = F.greatest(exponent, F.lit(1)) - (bias + frac_bits)
-    mantissa = fraction + F.when(exponent == 0, F.lit(0)).otherwise(F.lit(1 << frac_bits))
-    # two factors, so that neither power leaves the double range
-    half = F.floor(scale / F.lit(2))
-    value = mantissa.cast("double") * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), scale - half)
-    value = F.when(exponent < top, value).when(fraction == 0, F.lit(float("inf"))).otherwise(
-        F.lit(float("nan"))
-    )
-    return F.when(negative, -value).otherwise(value)
-
-
-def le_double_native(data: Column) -> Column:
-    """Cross-check of the Arrow form, without Python."""
-    return _real_from_bits(le_int64(data), 11, 52)
-
-
-def le_float_native(data: Column) -> Column:
-    return _real_from_bits(le_unsigned(data, 4), 8, 23).cast("float")
-
-
-def _gather(raw: np.ndarray, starts: np.ndarray, width: int, dtype: str) -> np.ndarray:
-    if len(starts) and starts[-1] - starts[0] == width * (len(starts) - 1) and np.all(np.diff(starts) == width):
-        picked = raw[starts[0] : starts[0] + width * len(starts)]
-    else:
-        picked = raw[starts[:, None] + np.arange(width)]
-    return np.frombuffer(picked.tobytes(), dtype=dtype)
-
-
-def numbers_from_bytes(data: pa.Array, code: pa.Array) -> pa.Array:
-    """Decode each slot by its own length and its code (signed, unsigned or real)."""
-    size = len(data)
-    offsets = np.frombuffer(data.buffers()[1], np.int32, count=size + 1, offset=4 * data.offset).astype(np.int64)
-    body = data.buffers()[2]
-    raw = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
-    widths = np.diff(offsets)
-    codes = code.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    whole = np.zeros(size, np.int64)
-    real = np.zeros(size, np.float64)
-    has_whole = np.zeros(size, bool)
-    has_real = np.zeros(size, bool)
-    tags = codes * 16 + widths
-    for tag in np.unique(tags):
-        kind, width = divmod(int(tag), 16)
-        if kind not in (SIGNED, UNSIGNED, REAL) or width not in (1, 2, 4, 8):
-            continue
-        rows = np.flatnonzero(tags == tag)
-        letter = {SIGNED: "i", UNSIGNED: "u", REAL: "f"}[kind]
-        if letter == "f" and width < 4:
-            continue
-        values = _gather(raw, offsets[rows], width, f"<{letter}{width}")
-        if kind == REAL:
-            real[rows], has_real[rows] = values, True
-        else:
-            whole[rows], has_whole[rows] = values.astype(np.int64), True
-    return pa.StructArray.from_arrays(
-        [pa.array(whole, mask=~has_whole), pa.array(real, mask=~has_real)], names=["whole", "real"]
-    )
+
+def uint64_of_hex(digits: Column) -> Column:
+    return F.conv(digits, 16, 10).cast("decimal(20,0)")
+
+
+def signed(bits: Column, width: Column) -> Column:
+    """Zero-extended bits of a ``width``-byte integer as a signed number."""
+    spare = F.lit(64) - width * F.lit(8)
+    return F.call_function("shiftright", F.call_function("shiftleft", bits, spare), spare)
 
 
-@F.arrow_udf(NUMBER)
-def le_numbers(data: pa.Array, code: pa.Array) -> pa.Array:
-    return numbers_from_bytes(data, code)
+def _weights(exp_bits: int, frac_bits: int) -> list[float]:
+    """Weight of the last fraction bit, by sign and exponent; infinite for the top exponent."""
+    top, bias = (1 << exp_bits) - 1, (1 << (exp_bits - 1)) - 1
+    sizes = [2.0 ** (max(e, 1) - bias - frac_bits) for e in range(top)] + [float("inf")]
+    return sizes + [-w for w in sizes]
+
+
+_WEIGHTS = ",".join(str(w).replace("inf", "Infinity") for w in _weights(11, 52) + _weights(8, 23))
+
+
+def with_real(df: DataFrame, name: str, bits: Column, is_double: Column) -> DataFrame:
+    """Add the IEEE-754 value of its bits: mantissa times the weight of its last bit.
+
+    Both factors are exact and so is their product. The weights come from a constant array
+    indexed by sign and exponent, which keeps the generated code small enough for the JIT
+    compiler; one form serves both widths.
+    """
+    pick = lambda double, single: F.when(is_double, F.lit(double)).otherwise(F.lit(single))
+    at = F.call_function("shiftright", bits, pick(52, 23)).cast("int").bitwiseAND(pick(4095, 511)) + pick(0, 4096)
+    # one text literal that the optimizer folds into a constant array
+    weight = F.get(F.split(F.lit(_WEIGHTS), ",").cast("array<double>"), F.col("_at"))
+    normal = F.col("_at").bitwiseAND(pick(2047, 255)) > 0
+    nan = (F.col("_fraction") > 0) & (F.abs(weight) == float("inf"))
+    mantissa = F.col("_fraction") + F.when(normal, pick(1 << 52, 1 << 23)).otherwise(F.lit(0).cast("bigint"))
+    return (
+        df.withColumn("_at", at)
+        .withColumn("_fraction", bits.bitwiseAND(pick((1 << 52) - 1, (1 << 23) - 1)))
+        .withColumn(name, F.when(nan, float("nan")).otherwise(mantissa.cast("double") * weight))
+        .drop("_at", "_fraction")
+    )
 
 
 def utf8_lossy(data: Column) -> Column:

@@ -10,6 +10,7 @@ from tracklake.operators.entries import VALUES, latest_per_key
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import fill_forward, with_bucket
 from tracklake.operators.quality import quarantine
+from tracklake.session import stage
 
 ENTITY = ["recording", "entity"]
 # Fixed values the entity convention uses.
@@ -76,6 +77,9 @@ def _roles(trigger: str) -> Column:
     return F.filter(F.concat(changes, F.array(scalar, axis)), lambda r: r.isNotNull())
 
 
+NUMBER, EMPTY, NO_NUMBER = 1, 2, 3
+
+
 def as_double() -> Column:
     """The value as a 64-bit float, where it has such a form."""
     return F.coalesce(
@@ -88,33 +92,42 @@ def as_double() -> Column:
     )
 
 
-def _castable() -> Column:
-    """A stored NULL stays NULL; bytes and unreadable text are errors."""
-    return F.when(F.col("vtype") == "raw", F.lit(False)).otherwise(
-        F.col("v_string").isNull() | F.col("v_string").try_cast("double").isNotNull()
+def _state() -> Column:
+    """Whether the value is a number, a stored NULL, or neither (bytes, unreadable text)."""
+    return (
+        F.when(as_double().isNotNull(), NUMBER)
+        .when(F.col("v_string").isNotNull() | (F.col("vtype") == "raw"), NO_NUMBER)
+        .otherwise(EMPTY)
     )
 
 
-def component_rows(
-    entries: DataFrame, trigger: str = "direct", min_rows: int = HOT_ROWS
-) -> DataFrame:
+def component_rows(entries: DataFrame, trigger: str = "direct", min_rows: int = HOT_ROWS) -> DataFrame:
     """One row per (entity, change time, component), with its value or its ``reason``.
 
-    Changes and component values of an entity are first put together per timestamp, then
-    one window pass carries all four component values forward.
+    Changes and component values of an entity are first put together per timestamp (hash
+    aggregation on fixed-width columns), then one window pass carries the four component
+    values forward.
     """
-    found = entity_components(entries)
-    roles = entries.select("recording", "ts", F.explode(_roles(trigger)).alias("r"), *VALUES).select(
-        "recording", "r.entity", "r.role", "ts", F.struct(as_double().alias("value"), _castable().alias("ok")).alias("v")
+    found = stage(entity_components(entries), "entities")
+    roles = (
+        entries.withColumn("value", as_double())
+        .withColumn("state", _state())
+        .select("recording", "ts", "value", "state", F.explode(_roles(trigger)).alias("r"))
+        .select("recording", "r.entity", "r.role", "ts", "value", "state")
     )
     mine = lookup_join(roles, found.select(*ENTITY), ENTITY, "left_semi", min_rows=min_rows)
     names = {"scalar": "scalar", **{f"axis_{a}": a for a in AXES}}
-    merged = mine.groupBy(*ENTITY, "ts").agg(
-        F.count_if(F.col("role") == "change").alias("n_triggers"),
-        *[F.any_value(F.when(F.col("role") == r, F.col("v")), ignoreNulls=True).alias(f"_at_{c}") for c, r in names.items()],
-    )
-    filled = fill_forward(merged, ENTITY, ["ts"], {c: F.col(f"_at_{c}") for c in names}, min_rows=min_rows)
-    changed = filled.filter("n_triggers > 0").drop(*[f"_at_{c}" for c in names])
+    at = [F.max(F.when(F.col("role") == r, F.col(c))).alias(f"_{c}_{n}") for n, r in names.items() for c in ("value", "state")]
+    merged = mine.groupBy(*ENTITY, "ts").agg(F.count_if(F.col("role") == "change").alias("n_triggers"), *at)
+    known = {
+        n: F.when(
+            F.col(f"_state_{n}").isNotNull(),
+            F.struct(F.col(f"_value_{n}").alias("value"), (F.col(f"_state_{n}") != NO_NUMBER).alias("ok")),
+        )
+        for n in names
+    }
+    filled = fill_forward(merged, ENTITY, ["ts"], known, min_rows=min_rows)
+    changed = filled.filter("n_triggers > 0").select(*ENTITY, "ts", "n_triggers", *names)
     rows = lookup_join(changed, found, ENTITY, "inner", min_rows=min_rows).withColumn(
         "component", F.explode("components")
     )

@@ -5,64 +5,102 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.functions.binary import REAL, SIGNED, UNSIGNED, le_numbers, le_uint64, literal_map, utf8_lossy
+from tracklake.functions.binary import CELL_KINDS, CODE, STORED_NAMES, bits_of_hex, le_hex, signed, uint64_of_hex, utf8_lossy, with_real
+from tracklake.functions.paths import ancestors
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import asof_join
+from tracklake.operators.quality import is_schema
+from tracklake.session import stage, stage_counted
 
 VALUES = ["vtype", "v_bool", "v_long", "v_dec", "v_float", "v_double", "v_string", "v_binary"]
 ENTRY_KEY = ["recording", "key", "ts"]
 
-# How each fixed-width number is read, and the names under which the
-# struct primitives are stored.
-NUMBER_CODES = {
-    "int8": SIGNED, "int16": SIGNED, "int32": SIGNED, "int64": SIGNED,
-    "uint8": UNSIGNED, "uint16": UNSIGNED, "uint32": UNSIGNED,
-    "float": REAL, "float32": REAL, "double": REAL, "float64": REAL,
-}
-STORED_NAMES = {"bool": "boolean", "float32": "float", "float64": "double", "length": "int64", "char[]": "char"}
+def overlapping(names: DataFrame) -> DataFrame:
+    """(recording, key) of entries that may write a key of another entry.
+
+    ``names`` is (recording, key, compound): an array or struct entry writes below its own
+    key, so it can meet an entry named there.
+    """
+    below = names.select("recording", F.col("key").alias("lower"), F.explode(ancestors(F.col("key"))).alias("key"))
+    upper = names.filter("compound").select("recording", "key").distinct()
+    pairs = below.join(upper, ["recording", "key"]).filter("lower <> key")
+    return (
+        pairs.select("recording", F.explode(F.array("key", "lower")).alias("key")).distinct()
+    )
+
+
+def mark_contested(keyed: DataFrame, names: DataFrame, min_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
+    """Add ``contested``: whether another record may write the same (key, ts).
+
+    Counting (recording, key, ts) moves no payload and needs no sort. Usually few or no
+    records are contested, and all others need no further shuffle.
+    """
+    shared, n_shared = stage_counted(overlapping(names), "shared-keys")
+    again = keyed.filter(~is_schema()).groupBy(*ENTRY_KEY).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    twice, n_twice = stage_counted(again.drop("_n"), "repeated-writes")
+    marks = []
+    if n_shared:
+        keyed = lookup_join(keyed, shared.withColumn("_shared", F.lit(True)), ["recording", "key"], "left", min_rows=min_rows)
+        marks.append("_shared")
+    if n_twice:
+        keyed = lookup_join(keyed, twice.withColumn("_twice", F.lit(True)), ENTRY_KEY, "left", min_rows=min_rows)
+        marks.append("_twice")
+    marked = F.coalesce(*[F.col(m) for m in marks], F.lit(False))
+    return keyed.withColumn("contested", marked).drop(*marks), bool(marks)
 
 
 def last_write_wins(cells: DataFrame) -> DataFrame:
-    """One cell per (recording, key, ts): the one written last, with its ``ord``.
+    """One cell per (recording, key, ts): the one written last, by (eff, seq).
 
     Runs on raw bytes; the partial aggregation keeps one row per key and task, so a
     much-rewritten key does not pile up in one task.
     """
-    ord_ = F.struct("eff", "seq")
     return (
         cells.groupBy(*ENTRY_KEY)
-        .agg(F.max_by(F.struct("eff", "seq", "prim", "bytes", "n"), ord_).alias("w"))
-        .select(
-            *ENTRY_KEY, F.struct("w.eff", "w.seq").alias("ord"), "w.prim", "w.bytes", "w.n",
-        )
+        .agg(F.max_by(F.struct("eff", "seq", "code", "bytes", "n"), F.struct("eff", "seq")).alias("w"))
+        .select(*ENTRY_KEY, "w.*")
     )
 
 
 def decode_cells(cells: DataFrame) -> DataFrame:
-    """Replace ``(prim, bytes, n)`` by the typed value columns."""
-    prim, raw = F.col("prim"), F.col("bytes")
-    code = F.try_element_at(literal_map(NUMBER_CODES), prim)
-    number = le_numbers(F.when(code.isNotNull(), raw), code)
-    whole, real = F.col("_number.whole"), F.col("_number.real")
+    """Replace ``(eff, seq, code, bytes, n)`` by ``ord`` and the typed value columns."""
+    code, raw, bits, number = F.col("code"), F.col("bytes"), F.col("_bits"), F.col("_real")
+    between = lambda low, high: code.between(CODE[low], CODE[high])
     text = utf8_lossy(raw)
-    kept = [c for c in cells.columns if c not in ("prim", "bytes", "n")]
-    return cells.withColumn("_number", number).select(
-        *kept,
-        F.coalesce(F.try_element_at(literal_map(STORED_NAMES), prim), prim).alias("vtype"),
-        F.when(prim.isin("bool", "boolean") & (F.octet_length(raw) > 0), raw != F.lit(b"\x00")).alias("v_bool"),
-        F.when(prim == "length", F.col("n")).otherwise(whole).alias("v_long"),
-        F.when(prim == "uint64", le_uint64(raw)).alias("v_dec"),
-        F.when(prim.isin("float", "float32"), real.cast("float")).alias("v_float"),
-        F.when(prim.isin("double", "float64"), real).alias("v_double"),
-        F.when(prim.isin("string", "char"), text)
-        .when(prim == "char[]", F.regexp_replace(text, r"\x00+$", ""))
+    names = [STORED_NAMES.get(k, k) for k in CELL_KINDS]
+    # digits, bits and reals in projections of their own: computed once per cell, and the
+    # whole generated method stays below the size that the JIT compiler accepts (8,000 bytes)
+    numbers = cells.withColumn("_hex", F.when(code >= CODE["int8"], le_hex(raw)))
+    numbers = numbers.withColumn("_bits", F.when(code != CODE["uint64"], bits_of_hex(F.col("_hex"))))
+    numbers = with_real(numbers, "_real", bits, code == CODE["double"])
+    return numbers.select(
+        *ENTRY_KEY,
+        F.struct("eff", "seq").alias("ord"),
+        F.get(F.lit(names), code).alias("vtype"),
+        F.when((code == CODE["boolean"]) & (F.octet_length(raw) > 0), raw != F.lit(b"\x00")).alias("v_bool"),
+        F.when(code == CODE["length"], F.col("n"))
+        .when(between("int8", "int64"), signed(bits, F.octet_length(raw)))
+        .when(between("uint8", "uint32"), bits)
+        .alias("v_long"),
+        F.when(code == CODE["uint64"], uint64_of_hex(F.col("_hex"))).alias("v_dec"),
+        F.when(code == CODE["float"], number.cast("float")).alias("v_float"),
+        F.when(code == CODE["double"], number).alias("v_double"),
+        F.when(code.isin(CODE["string"], CODE["char"]), text)
+        .when(code == CODE["char[]"], F.rtrim(text, F.lit("\0")))
         .alias("v_string"),
-        F.when(prim == "raw", raw).alias("v_binary"),
+        F.when(code == CODE["raw"], raw).alias("v_binary"),
     )
 
 
-def entries(cells: DataFrame) -> DataFrame:
-    return decode_cells(last_write_wins(cells))
+def entries(cells: DataFrame, some_contested: bool = True) -> DataFrame:
+    """The entry log from cells; ``contested`` cells, or all where the mark is absent,
+    go through last-write-wins, the others are decoded in place."""
+    if "contested" not in cells.columns:
+        return decode_cells(last_write_wins(cells))
+    plain = decode_cells(cells.filter("not contested"))
+    if not some_contested:
+        return plain
+    return plain.unionByName(decode_cells(last_write_wins(cells.filter("contested"))))
 
 
 def value_struct() -> Column:
@@ -70,13 +108,14 @@ def value_struct() -> Column:
     return F.struct(*VALUES)
 
 
-def latest_per_key(entries: DataFrame) -> DataFrame:
-    """Value at the greatest timestamp of each key."""
-    return (
-        entries.groupBy("recording", "key")
-        .agg(F.max_by(F.struct("ts", *VALUES), "ts").alias("v"))
-        .select("recording", "key", "v.*")
-    )
+def latest_per_key(entries: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Value at the greatest timestamp of each key.
+
+    The greatest timestamps come from a hash aggregation without payload; they then pick
+    their rows, (recording, key, ts) being unique.
+    """
+    newest = stage(entries.groupBy("recording", "key").agg(F.max("ts").alias("ts")), "newest")
+    return lookup_join(entries, newest, ENTRY_KEY, "left_semi", min_rows=min_rows).select(*ENTRY_KEY, *VALUES)
 
 
 def key_series(entries: DataFrame, key: str, recording: str | None = None) -> DataFrame:
@@ -102,7 +141,7 @@ def asof_values(probes: DataFrame, entries: DataFrame, min_rows: int = HOT_ROWS)
 def fields_of(struct_layout: DataFrame, struct_name: str) -> list[tuple[str, str]]:
     """Leaf names and stored types of one struct (as long as its schema text)."""
     rows = struct_layout.filter(F.col("struct_name") == struct_name).select("leaf_path", "prim").distinct()
-    return sorted((r["leaf_path"], STORED_NAMES.get(r["prim"], r["prim"])) for r in rows.collect())
+    return sorted((r["leaf_path"], "boolean" if r["prim"] == "bool" else r["prim"]) for r in rows.collect())
 
 
 def value_column(stored: str) -> str:

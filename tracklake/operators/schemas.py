@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.functions.binary import WIDTHS, literal_map, utf8_lossy
+from tracklake.functions.binary import CODE, WIDTHS, literal_map, utf8_lossy
 from tracklake.functions.paths import join_path, last_part
 from tracklake.operators.lookup import HOT_ROWS, hot_groups
 from tracklake.operators.ordered import fill_forward
@@ -337,3 +337,44 @@ def struct_layout(layouts: DataFrame) -> DataFrame:
             F.col("struct_size").cast("int").alias("struct_size"),
         )
     )
+
+
+def _code(kind: Column) -> Column:
+    return F.try_element_at(literal_map(CODE), kind)
+
+
+def leaf_cells(layouts: DataFrame) -> DataFrame:
+    """What one record of a struct turns into: (path, code, offset, width, n) per cell.
+
+    Primitive arrays are spread into elements and a ``length``; rows with ``is_length``
+    stand for the length of an array of the struct itself.
+    """
+    usable = layouts.filter("complete and problem is null").select(
+        "recording", "struct_name", F.col("schema_seq").alias("epoch"), "leaves"
+    )
+    prim, count, j = F.col("leaf.prim"), F.col("leaf.count"), F.col("_j")
+    many = count.isNotNull() & ~prim.isin("length", "char")
+    index = F.when(many, F.sequence(F.lit(-1), count - 1)).otherwise(F.array(F.lit(None).cast("int")))
+    is_count = (prim == "length") | F.coalesce(j < 0, F.lit(False))
+    spread = (
+        usable.select("recording", "struct_name", "epoch", F.explode("leaves").alias("leaf"))
+        .withColumn("_j", F.explode(index))
+        .select(
+            "recording",
+            "struct_name",
+            "epoch",
+            F.lit(False).alias("is_length"),
+            F.concat_ws("/", "leaf.leaf_path", F.when(j < 0, "length").otherwise(j.cast("string"))).alias("path"),
+            _code(
+                F.when(is_count, "length").when((prim == "char") & count.isNotNull(), "char[]").when(prim == "bool", "boolean").otherwise(prim)
+            ).alias("code"),
+            (F.col("leaf.offset") + F.coalesce(j, F.lit(0)) * F.col("leaf.width")).cast("int").alias("offset"),
+            F.when(is_count, 0).when(prim == "char", F.coalesce(count, F.lit(1))).otherwise(F.col("leaf.width")).alias("width"),
+            F.when(is_count, count).cast("bigint").alias("n"),
+        )
+    )
+    own_length = usable.select(
+        "recording", "struct_name", "epoch", F.lit(True).alias("is_length"), F.lit("length").alias("path"),
+        F.lit(CODE["length"]).alias("code"), F.lit(0).alias("offset"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("n"),
+    )
+    return spread.unionByName(own_length)

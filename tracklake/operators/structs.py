@@ -1,7 +1,7 @@
 """Values to cells: one row per scalar, with its key and its raw bytes.
 
-Arrays get a ``length`` cell (index -1 below) and one cell per element; structs get one
-cell per leaf. Nothing is decoded here, so that later shuffles carry bytes.
+Arrays get a ``length`` cell (index -1 below) and one cell per element; structs get the
+cells of their layout. Nothing is decoded here, so that later shuffles carry bytes.
 """
 
 from __future__ import annotations
@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklake.functions.binary import CODE, literal_map
 from tracklake.functions.paths import join_path
-from tracklake.operators.lookup import HOT_ROWS
+from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import fill_forward, version_lookup
-from tracklake.operators.quality import element_bytes, is_schema, is_struct, quarantine, value_issue
+from tracklake.operators.quality import SCALAR_TYPES, element_bytes, is_schema, is_struct, quarantine, value_issue
 from tracklake.operators.schemas import SCHEMA
 
-CELL = ["recording", "key", "ts", "eff", "seq", "prim", "bytes", "n"]
+PLAIN_CODES = {kind: CODE[kind] for kind in SCALAR_TYPES}
 
 
 def _indexed(key: Column, i: Column) -> Column:
@@ -31,6 +32,10 @@ def _indexes(is_array: Column, n: Column) -> Column:
     )
 
 
+def _extra(df: DataFrame) -> list[str]:
+    return ["contested"] if "contested" in df.columns else []
+
+
 def plain_cells(keyed: DataFrame) -> DataFrame:
     """Cells of the scalar and primitive-array entries that pass the length checks."""
     width = element_bytes()
@@ -47,11 +52,12 @@ def plain_cells(keyed: DataFrame) -> DataFrame:
             "ts",
             F.col("seq").alias("eff"),
             "seq",
-            F.when(i < 0, "length").otherwise(F.col("base_type")).alias("prim"),
+            F.when(i < 0, CODE["length"]).otherwise(F.try_element_at(literal_map(PLAIN_CODES), F.col("base_type"))).alias("code"),
             F.when(i >= 0, F.substring(F.col("data"), i * w + F.lit(1), w))
             .when(i.isNull(), F.when(w.isNull(), F.col("data")).otherwise(F.substring(F.col("data"), F.lit(1), w)))
             .alias("bytes"),
             F.when(i < 0, F.col("_n")).cast("bigint").alias("n"),
+            *_extra(keyed),
         )
     )
 
@@ -63,7 +69,7 @@ def decode_versions(layouts: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     there, it waits for the next registration that completes it (``epoch`` > its ``seq``);
     ``epoch`` is NULL where that never happens.
     """
-    detail = F.struct(F.col("schema_seq").alias("epoch"), "problem", "struct_size", "leaves")
+    detail = F.struct(F.col("schema_seq").alias("epoch"), "problem", "struct_size")
     rows = layouts.select(*SCHEMA, "schema_seq", F.when(F.col("complete"), detail).alias("_layout"))
     before = layouts.select(*SCHEMA).distinct().withColumn("schema_seq", F.lit(-1).cast("bigint"))
     both = rows.unionByName(before, allowMissingColumns=True).withColumn("_down", -F.col("schema_seq"))
@@ -72,7 +78,6 @@ def decode_versions(layouts: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     lacking = layouts.groupBy(*SCHEMA).agg(F.max_by("missing", "schema_seq").alias("missing"))
     return filled.join(lacking, SCHEMA).select(
         *SCHEMA, F.col("schema_seq").alias("since"), "missing", "_use.epoch", "_use.problem", "_use.struct_size",
-        "_use.leaves",
     )
 
 
@@ -82,6 +87,13 @@ def attach_layout(keyed: DataFrame, decode_versions: DataFrame, **limits) -> Dat
     return version_lookup(rows, decode_versions, SCHEMA, "seq", "since", "layout", **limits)
 
 
+def without_layout(keyed: DataFrame) -> DataFrame:
+    """The same for recordings without any schema: every struct record waits."""
+    nothing = "struct<since:bigint,missing:string,epoch:bigint,problem:string,struct_size:bigint>"
+    rows = keyed.filter(is_struct()).withColumn("struct_name", F.col("base_type"))
+    return rows.withColumn("layout", F.lit(None).cast(nothing))
+
+
 def unresolved(with_layout: DataFrame) -> DataFrame:
     """Records whose struct (or a nested one) never arrives."""
     return with_layout.filter("layout.epoch is null").select(
@@ -110,46 +122,44 @@ def struct_problems(with_layout: DataFrame) -> DataFrame:
     return quarantine(rows.filter("reason is not null"), "struct")
 
 
-def struct_cells(with_layout: DataFrame) -> DataFrame:
-    """Cells of struct and struct-array records: element, then leaf, then leaf element."""
+def struct_cells(with_layout: DataFrame, leaves: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Cells of struct and struct-array records: one row per element joined to its leaves."""
     size = F.col("layout.struct_size")
-    i, j, leaf = F.col("_i"), F.col("_j"), F.col("_leaf")
+    i, at = F.col("_i"), F.col("_i").cast("bigint") * size
     n = (F.octet_length("data") / F.nullif(size, F.lit(0).cast("bigint"))).cast("int")
-    at = F.coalesce(i, F.lit(0)) * size + leaf["offset"]
-    text = leaf["prim"] == "char"
-    many = leaf["count"].isNotNull() & (leaf["prim"] != "length") & ~text
-    base = _indexed(F.col("key"), i)
-    path = F.when(leaf.isNull(), base).otherwise(join_path(base, leaf["leaf_path"]))
-    width = leaf["width"]
-    return (
+    base = F.when(i >= 0, join_path(F.col("key"), i.cast("string"))).otherwise(F.col("key"))
+    whole = F.when(i >= 0, F.substring(F.col("data"), at.cast("int") + F.lit(1), size.cast("int")))
+    elements = (
         with_layout.filter("layout.epoch is not null")
         .filter(struct_issue().isNull())
         .withColumn("_n", n)
         .withColumn("_i", _indexes(F.col("is_array"), F.col("_n")))
-        .withColumn("_leaf", F.explode_outer(F.when(i.isNull() | (i >= 0), F.col("layout.leaves"))))
-        .filter(leaf.isNotNull() | (i < 0))
-        .withColumn("_j", _indexes(F.coalesce(many, F.lit(False)), leaf["count"]))
+        .withColumn("_base", base)
         .select(
             "recording",
-            _indexed(path, j).alias("key"),
+            "struct_name",
+            "layout.epoch",
+            F.coalesce(i < 0, F.lit(False)).alias("is_length"),
+            F.when(F.col("_base") == "", "").otherwise(F.concat("_base", F.lit("/"))).alias("_prefix"),
             "ts",
             F.greatest("seq", "layout.epoch").alias("eff"),
             "seq",
-            F.when(leaf.isNull() | (j < 0), "length").when(leaf["count"].isNotNull() & text, "char[]").otherwise(
-                leaf["prim"]
-            ).alias("prim"),
-            F.when(leaf.isNull() | (j < 0) | (leaf["prim"] == "length"), F.lit(None))
-            .otherwise(
-                F.substring(
-                    F.col("data"),
-                    (at + F.coalesce(j, F.lit(0)) * width).cast("int") + F.lit(1),
-                    F.when(text, F.coalesce(leaf["count"], F.lit(1))).otherwise(width),
-                )
-            )
-            .alias("bytes"),
-            F.when(leaf.isNull(), F.col("_n"))
-            .when((j < 0) | (leaf["prim"] == "length"), leaf["count"])
-            .cast("bigint")
-            .alias("n"),
+            F.when(i.isNull(), F.col("data")).otherwise(whole).alias("_body"),
+            F.when(i < 0, F.col("_n")).cast("bigint").alias("_n"),
+            *_extra(with_layout),
         )
     )
+    spread = lookup_join(
+        elements, leaves, ["recording", "struct_name", "epoch", "is_length"], "inner", min_rows=min_rows
+    )
+    return spread.select(
+        "recording",
+        F.concat("_prefix", "path").alias("key"),
+        "ts",
+        "eff",
+        "seq",
+        "code",
+        F.when(F.col("width") > 0, F.substring(F.col("_body"), F.col("offset") + F.lit(1), F.col("width"))).alias("bytes"),
+        F.coalesce("n", "_n").alias("n"),
+        *_extra(with_layout),
+    )

@@ -102,29 +102,55 @@ class Ingest:
         return schemas.struct_layout(self.layouts)
 
     @cached_property
-    def with_layout(self) -> DataFrame:
+    def _decode_versions(self) -> DataFrame:
+        return stage(structs.decode_versions(self.layouts, self.min_rows), "decode-versions")
+
+    @cached_property
+    def _leaf_cells(self) -> DataFrame:
+        return stage(schemas.leaf_cells(self.layouts), "leaf-cells")
+
+    def _attach_layout(self, keyed: DataFrame) -> DataFrame:
         if self.schemas.isEmpty():
-            rows = self.keyed.filter(quality.is_struct()).withColumn("struct_name", F.col("base_type"))
-            leaf = "struct<offset:bigint,leaf_path:string,prim:string,count:int,width:int>"
-            empty = (
-                "struct<since:bigint,missing:string,epoch:bigint,problem:string,struct_size:bigint,"
-                f"leaves:array<{leaf}>>"
-            )
-            return rows.withColumn("layout", F.lit(None).cast(empty))
-        chosen = stage(structs.decode_versions(self.layouts, self.min_rows), "decode-versions")
-        return structs.attach_layout(self.keyed, chosen, min_rows=self.min_rows)
+            return structs.without_layout(keyed)
+        return structs.attach_layout(keyed, self._decode_versions, min_rows=self.min_rows)
+
+    @cached_property
+    def with_layout(self) -> DataFrame:
+        return self._attach_layout(self.keyed)
 
     @cached_property
     def unresolved(self) -> DataFrame:
         return structs.unresolved(self.with_layout)
 
     @cached_property
-    def cells(self) -> DataFrame:
-        return structs.plain_cells(self.keyed).unionByName(structs.struct_cells(self.with_layout))
+    def entry_names(self) -> DataFrame:
+        """(recording, key, compound) of the entries: from the Start records where there are any."""
+        if self.keyed_rows is None:
+            named = self.entry_defs.select("recording", "key", "entry_type")
+        else:
+            named = self.keyed.select("recording", "key", "entry_type")
+        compound = F.startswith("entry_type", F.lit("struct:")) | F.endswith("entry_type", F.lit("[]"))
+        return named.withColumn("compound", compound).drop("entry_type").distinct()
+
+    @cached_property
+    def cells(self) -> tuple[DataFrame, bool]:
+        """All cells, each marked whether another write may meet it, and whether any is."""
+        marked, some = entries.mark_contested(self.keyed, self.entry_names, self.min_rows)
+        cells = structs.plain_cells(marked)
+        if not self.schemas.isEmpty():
+            more = structs.struct_cells(self._attach_layout(marked), self._leaf_cells, self.min_rows)
+            cells = cells.unionByName(more)
+        return cells, some
 
     @cached_property
     def entries(self) -> DataFrame:
-        return stage(entries.entries(self.cells), "entries")
+        """The entry log, not stored: filters on key or time and the choice of columns reach
+        down to the undecoded records."""
+        return entries.entries(*self.cells)
+
+    @cached_property
+    def stored_entries(self) -> DataFrame:
+        return stage(self.entries, "entries")
 
     @cached_property
     def component_rows(self) -> DataFrame:

@@ -136,7 +136,7 @@ def frames_of(buf, pos: int, recording: str, strict: bool) -> Iterator[pa.Record
         pos = after
 
 
-def torn_tail(recording: str, seq: int, rest: bytes) -> pa.RecordBatch:
+def torn_tail(recording: str, seq: int, rest: bytes | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(
         [{"recording": recording, "seq": seq, "data": rest, "issue": TRUNCATED}], schema=FRAME_ARROW
     )

@@ -167,7 +167,8 @@ def large_logs(files: DataFrame, range_bytes: int = RANGE_BYTES) -> LargeLogs:
     while True:
         reached = F.coalesce(F.max("leave").over(earlier), F.col("lo"))
         checked = state.withColumn("_reached", reached).withColumn(
-            "_want", F.when(F.col("_reached") < F.col("hi"), F.col("_reached"))
+            # before lo: the walk ended in a torn record; at or after hi: a payload covers the range
+            "_want", F.when((F.col("_reached") >= F.col("lo")) & (F.col("_reached") < F.col("hi")), F.col("_reached"))
         )
         agrees = F.col("entry").eqNullSafe(F.col("_want"))
         wrong = checked.filter(~agrees)
@@ -201,7 +202,9 @@ def scan_ranges(logs: LargeLogs, mode: str = "PERMISSIVE") -> DataFrame:
                 if leave < row["hi"]:
                     if strict:
                         raise ValueError(f"{row['recording']}: {TRUNCATED} at byte {leave}")
-                    rest = bytes(read_range(row["path"], leave, row["length"]))
+                    # quarantine keeps the torn bytes where one BINARY value of normal size can hold them
+                    fits = row["length"] - leave <= RANGE_BYTES
+                    rest = bytes(read_range(row["path"], leave, row["length"])) if fits else None
                     yield torn_tail(row["recording"], seq, rest)
 
     rows = logs.ranges.filter("entry is not null")

@@ -19,6 +19,7 @@ TABLES = ("recordings", "records", "entry_defs", "entries", "entity_rows", "quar
 
 
 def write_tables(ingest: Ingest, out: str, batch_id: int = 0) -> None:
+    ingest.entries = ingest.stored_entries  # read by several tables below
     for name in TABLES:
         write_table(getattr(ingest, name), f"{out}/{name}")
     write_changes(change_set(ingest.entries), f"{out}/changes", batch_id)

@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklake.functions.binary import CODE
 from tracklake.plans.ingest import Ingest
 from tracklake.session import stage
 from tracklake.testkit import encode as E
@@ -415,7 +416,7 @@ def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("unix_micros(cast(l_shipdate as timestamp))").alias("ts"),
         F.expr("l_orderkey * 8 + l_linenumber").alias("eff"),
         F.expr(f"l_suppkey * 1000000000 + {LINE_CENTS}").alias("seq"),
-        F.lit("double").alias("prim"),
+        F.lit(CODE["double"]).alias("code"),
         E.le_double(F.col("l_quantity")).alias("bytes"),
         F.lit(None).cast("bigint").alias("n"),
     )
