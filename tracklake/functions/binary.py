@@ -84,7 +84,8 @@ def with_real(df: DataFrame, name: str, bits: Column, is_double: Column) -> Data
     compiler; one form serves both widths.
     """
     pick = lambda double, single: F.when(is_double, F.lit(double)).otherwise(F.lit(single))
-    at = F.call_function("shiftright", bits, pick(52, 23)).cast("int").bitwiseAND(pick(4095, 511)) + pick(0, 4096)
+    top = F.call_function("shiftright", bits, pick(52, 23)).bitwiseAND(pick(4095, 511).cast("bigint"))
+    at = top.cast("int") + pick(0, 4096)
     # one text literal that the optimizer folds into a constant array
     weight = F.get(F.split(F.lit(_WEIGHTS), ",").cast("array<double>"), F.col("_at"))
     normal = F.col("_at").bitwiseAND(pick(2047, 255)) > 0

@@ -44,10 +44,8 @@ def with_bucket(df: DataFrame, by: list[str], order: str, min_rows: int | None =
             "_bounds",
             F.array_sort(
                 F.transform(
-                    F.sequence(F.lit(1).cast("bigint"), F.greatest(F.col("_pieces") - 1, F.lit(1))),
-                    lambda k: F.element_at(
-                        "_all", F.greatest(F.lit(1), F.floor(k * F.lit(most) / F.col("_pieces"))).cast("int")
-                    ),
+                    F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1), lambda k: k > 0),
+                    lambda k: F.element_at("_all", F.floor(k * F.lit(most) / F.col("_pieces")).cast("int")),
                 )
             ),
         )
