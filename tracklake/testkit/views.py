@@ -60,7 +60,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _files(frames: DataFrame, extra: Column | None = None) -> DataFrame:
-    return stage(E.log_files(frames, extra), "log-files")
+    return stage(_spread(E.log_files(frames, extra), "recording"), "log-files")
+
+
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """At least one piece per core: a small table is one Parquet row group and would
+    otherwise be read by one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
 
 
 def _data(rows: DataFrame, entry: Column, payload: Column, pos: Column | None = None) -> DataFrame:
@@ -275,7 +281,7 @@ def keyed_rows(df: DataFrame) -> DataFrame:
 
 
 def keyed_ingest(df: DataFrame) -> Ingest:
-    return Ingest(None, keyed_rows=stage(keyed_rows(df), "keyed"))
+    return Ingest(None, keyed_rows=stage(_spread(keyed_rows(df), "recording", "key", "ts"), "keyed"))
 
 
 # a unique time and a unique order for the rows of lineitem, the same in SQL
