@@ -170,13 +170,17 @@ def large_logs(files: DataFrame, range_bytes: int = RANGE_BYTES) -> LargeLogs:
             # before lo: the walk ended in a torn record; at or after hi: a payload covers the range
             "_want", F.when((F.col("_reached") >= F.col("lo")) & (F.col("_reached") < F.col("hi")), F.col("_reached"))
         )
-        agrees = F.col("entry").eqNullSafe(F.col("_want"))
-        wrong = checked.filter(~agrees)
-        if wrong.isEmpty():
+        checked = checked.withColumn("_bad", ~F.col("entry").eqNullSafe(F.col("_want")))
+        if checked.filter("_bad").isEmpty():
             break
-        again = wrong.withColumn("skip", F.col("_want").isNull()).withColumn("entry", F.col("_want"))
+        # walk again the first bad range of a file (what comes before it is exact) and those whose
+        # neighbour agrees; the rest may only look bad because of a wrong exit before them
+        first = F.coalesce(F.count_if("_bad").over(earlier), F.lit(0)) == 0
+        alone = F.col("_want").isNotNull() & ~F.coalesce(F.lag("_bad").over(by_file), F.lit(False))
+        checked = checked.withColumn("_redo", F.col("_bad") & (first | alone))
+        again = checked.filter("_redo").withColumn("skip", F.col("_want").isNull()).withColumn("entry", F.col("_want"))
         redone = _spread(again.select(*blocks.columns)).mapInArrow(_probes, PROBE_DDL)
-        state = stage(checked.filter(agrees).select(*state.columns).unionByName(redone), "ranges")
+        state = stage(checked.filter("not _redo").select(*state.columns).unionByName(redone), "ranges")
     done = state.withColumn("seq", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
     return LargeLogs(headers, done)
 
