@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +11,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folders made for local sessions that name none, by application.
+_FALLBACK: dict[str, str] = {}
+
+
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
     return (
@@ -31,11 +37,13 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tracklake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _FALLBACK:
+        root = _FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="tracklake-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return _FALLBACK[context.applicationId]
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
@@ -57,6 +65,15 @@ def stage(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def unstage(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``staging_path``; others are refused."""
+    if f"/tracklake/{spark.sparkContext.applicationId}/" not in path:
+        raise ValueError(f"not a staged table: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """``stage``, and the row count taken while writing."""
     seen = Observation()
