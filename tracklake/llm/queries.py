@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tracklake.llm import mixing, url_filter
+from tracklake.llm import minhash, mixing, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op7_mixing": mixing.op7_mixing,
+    "op9_minhash": minhash.op9_minhash,
 }
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op9_minhash": minhash.ORACLE,
 }
