@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tracklake.llm import minhash, mixing, url_filter
+from tracklake.llm import licenses, minhash, mixing, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
+    "op2_warc": warc.op2_warc,
     "op7_mixing": mixing.op7_mixing,
     "op9_minhash": minhash.op9_minhash,
+    "op10_licenses": licenses.op10_licenses,
 }
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
+    "op2_warc": warc.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_minhash": minhash.ORACLE,
 }
