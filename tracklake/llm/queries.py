@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tracklake.llm import licenses, minhash, mixing, url_filter, warc
+from tracklake.llm import html_text, language, licenses, minhash, mixing, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_warc": warc.op2_warc,
+    "op6_language": language.op6_language,
     "op7_mixing": mixing.op7_mixing,
+    "op8_html_text": html_text.op8_html_text,
     "op9_minhash": minhash.op9_minhash,
     "op10_licenses": licenses.op10_licenses,
 }
