@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tracklake.llm import html_text, language, licenses, minhash, mixing, url_filter, warc
+from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_warc": warc.op2_warc,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_embeddings": embeddings.op5_embeddings,
     "op6_language": language.op6_language,
     "op7_mixing": mixing.op7_mixing,
     "op8_html_text": html_text.op8_html_text,
@@ -16,6 +18,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op2_warc": warc.ORACLE,
+    "op5_embeddings": embeddings.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_minhash": minhash.ORACLE,
 }
