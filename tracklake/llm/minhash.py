@@ -1,19 +1,20 @@
 """Near-duplicates: MinHash bands find candidates, odd sketches sift them, full sets decide.
 
-1. Every whole text becomes a set of word shingles, 160 MinHash values, 32 band keys of five
+1. Every whole text becomes a set of word shingles, 512 MinHash values, 32 band keys of five
    values each, and an odd sketch: each (place, value) of the MinHash sample flips one bit of a
-   256-bit map. Two maps' XOR holds d differing values as 128 (1 - (1 - 2/256)^d) bits, so
-   the share of equal values, which estimates the similarity, is read back from a population count.
+   1024-bit map. The XOR of two maps holds d flips as 512 (1 - (1 - 2/1024)^d) bits, so the
+   share of equal values, which estimates the similarity, is read back from a population count.
 2. Documents with equal sets are one class; only its smallest doc_id goes on.
 3. A band bucket is dealt out in blocks of at most about ``BLOCK`` rows, each with the bucket's hubs, and a
    block yields the heaviest spanning forest of its estimated similarities: fewer pairs
    than rows. Full sets confirm or refuse them, and components form.
-4. In buckets that still hold several components, rows are blocked by component and all pairs of
-   different components whose sketches are close are confirmed too. Blocks of one and the
+4. In buckets that still hold several components, rows are blocked by component and pairs of
+   different components whose sketches are close are confirmed too: first the closest few of each
+   pair of components, then, with what that joined, all that are left. Blocks of one and the
    same component are never compared, so a hot group of near copies costs its size, not its square.
 
 At the threshold 0.8 a pair shares no band with probability 3e-6; the sketch estimate
-has a deviation of at most 0.035 there and is cut at 0.66.
+has a deviation of 0.02 there and is cut at 0.72.
 Null or wordless texts have an empty set and no link. Rows that share a doc_id are one
 node; rows with a null doc_id link with nothing and have a null component.
 """
@@ -23,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +31,16 @@ from pyspark.sql import functions as F
 from tracklake.llm.common import Stage, components, exact, table
 from tracklake.llm.shingles import mixed, shingle_set
 
-ROWS, BANDS, BITS = 5, 32, 256
-SAMPLE = ROWS * BANDS
+ROWS, BANDS, SAMPLE, BITS = 5, 32, 512, 1024
 #: Estimated share of equal values below which a pair isn't worth its full sets.
-SIFT = 0.66
+SIFT = 0.72
+#: Pairs of two components that are confirmed before all of them are.
+CLOSEST = 8
 BLOCK = 1024
 #: Ids that a broadcast may hold: 16 MB at most.
 BROADCAST_IDS = 1_000_000
 _rng = np.random.default_rng(9)
 _A = (_rng.integers(0, 2**31, SAMPLE) * 2 + 1).astype(np.uint32)
-_B = _rng.integers(0, 2**32, SAMPLE, dtype=np.uint32)
 _PLACE = np.arange(SAMPLE, dtype=np.uint64) << np.uint64(32)
 _BAND = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
 
@@ -49,13 +49,13 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
     least = np.full(SAMPLE, 2**32 - 1, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), 1024):
-        np.minimum(least, (short[at : at + 1024, None] * _A + _B).min(axis=0), out=least)
+        np.minimum(least, (short[at : at + 1024, None] * _A).min(axis=0), out=least)
     return least
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     keys = _BAND.copy()
-    for column in values.reshape(BANDS, ROWS).T.astype(np.uint64):
+    for column in values[: BANDS * ROWS].reshape(BANDS, ROWS).T.astype(np.uint64):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + column)
     return keys.view(np.int64)
 
@@ -95,18 +95,16 @@ def _signatures(width: int):
     return run
 
 
-def _estimates(sketches: pd.Series) -> np.ndarray:
-    maps = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+def _estimates(maps: np.ndarray) -> np.ndarray:
     out = np.empty((len(maps), len(maps)), np.float32)
-    for at in range(0, len(maps), 256):
-        out[at : at + 256] = _ESTIMATE[np.bitwise_count(maps[at : at + 256, None] ^ maps[None]).sum(axis=2, dtype=np.int64)]
+    for at in range(0, len(maps), 64):
+        out[at : at + 64] = _ESTIMATE[np.bitwise_count(maps[at : at + 64, None] ^ maps[None]).sum(axis=2, dtype=np.int64)]
     return out
 
 
-def _forest(rows: pd.DataFrame) -> pd.DataFrame:
+def _forest(ids: np.ndarray, maps: np.ndarray, _) -> np.ndarray:
     """The heaviest spanning forest of a block by estimated similarity (Prim's steps, a row at a time)."""
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True)
-    like, n = _estimates(rows["sketch"]), len(rows)
+    n, like = len(ids), _estimates(maps)
     best, near, done = np.full(n, -1, np.float32), np.zeros(n, np.int64), np.zeros(n, bool)
     pairs = []
     for _ in range(n):
@@ -116,18 +114,72 @@ def _forest(rows: pd.DataFrame) -> pd.DataFrame:
         done[at] = True
         closer = ~done & (like[at] > best)
         best[closer], near[closer] = like[at][closer], at
-    ids = rows["doc_id"].to_numpy()
-    ends = np.array(pairs, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": ids[ends].min(axis=1), "b": ids[ends].max(axis=1)})
+    return np.array(pairs, np.int64).reshape(-1, 2)
+
+
+def _across(closest: int | None):
+    def run(ids: np.ndarray, maps: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Close pairs of different components: the ``closest`` of each pair of components, or all."""
+        like = _estimates(maps)
+        i, j = np.nonzero((like >= SIFT) & (of[:, None] != of[None]))
+        i, j = i[i < j], j[i < j]
+        if closest and len(i):
+            low, high = np.minimum(of[i], of[j]), np.maximum(of[i], of[j])
+            order = np.lexsort((-like[i, j], high, low))
+            i, j, low, high = i[order], j[order], low[order], high[order]
+            head = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))
+            here = np.arange(len(i))
+            keep = here - np.maximum.accumulate(np.where(head, here, 0)) < closest
+            i, j = i[keep], j[keep]
+        return np.stack((i, j), axis=1)
 
+    return run
+
+
+def _in_groups(pairs_of):
+    """Pairs (a, b) of each row's members: arrays of (doc_id, component, sketch), sorted, without repeats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            heads, members = column.offsets.to_numpy(), column.values
+            ids, of = members.field("doc_id").to_numpy(), members.field("component").to_numpy()
+            maps = np.frombuffer(b"".join(members.field("sketch").to_pylist()), np.uint64).reshape(len(ids), -1)
+            first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for lo, hi in zip(heads[:-1], heads[1:]):
+                found = pairs_of(ids[lo:hi], maps[lo:hi], of[lo:hi]) + lo
+                first.append(ids[found[:, 0]])
+                second.append(ids[found[:, 1]])
+            a, b = np.concatenate(first), np.concatenate(second)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """All close pairs of a block pair that lie in different components."""
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True)
-    of, ids = rows["component"].to_numpy(), rows["doc_id"].to_numpy()
-    i, j = np.nonzero((_estimates(rows["sketch"]) >= SIFT) & (of[:, None] != of[None]))
-    i, j = i[i < j], j[i < j]
-    return pd.DataFrame({"a": ids[i], "b": ids[j]})
+    return run
+
+
+def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
+    """The members of each group, whose size the blocks bound, as one sorted array."""
+    members = F.array_sort(F.collect_set(F.struct("doc_id", "component", "sketch"))).alias("members")
+    return rows.groupBy(*keys).agg(members).where(F.size("members") > 1).select("members")
+
+
+def _meetings(placed: DataFrame, reps: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """(band, meeting, doc_id, component, sketch): rows of buckets with several components, by pairs of blocks."""
+    open_ = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
+    parts = placed.join(open_, "band", "left_semi").groupBy("band", "component").agg(F.count(F.lit(1)).alias("held"))
+    small = parts.where(F.col("held") < BLOCK).groupBy("band").agg(F.sum("held").alias("small"))
+    big = F.col("held") >= BLOCK
+    pieces = F.ceil(F.col("held") / BLOCK).cast("int")
+    pool = F.pmod(F.xxhash64("component"), F.ceil(F.col("small") / BLOCK)).cast("int")
+    parts = parts.join(small, "band", "left").select("band", "component", big.alias("big"), F.when(big, pieces).alias("pieces"), F.when(~big, pool).alias("pool"))
+    own = F.struct(F.col("component").alias("c"), F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("k"))
+    shared = F.struct(F.lit(None).cast("long").alias("c"), F.col("pool").alias("k"))
+    cut = stage(placed.join(parts, ["band", "component"]).select("band", "doc_id", "component", F.when(F.col("big"), own).otherwise(shared).alias("block")), f"{name}-cut")
+    named = cut.select("band", "block").distinct()
+    same = F.coalesce(F.col("x.block.c") == F.col("y.block.c"), F.lit(False))
+    met = named.alias("x").join(named.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.block") <= F.col("y.block")) & ~same)
+    met = met.select("x.band", F.struct(F.col("x.block").alias("p"), F.col("y.block").alias("q")).alias("meeting"))
+    met = met.select("band", "meeting", F.explode(F.array_distinct(F.array("meeting.p", "meeting.q"))).alias("block"))
+    return cut.join(met, ["band", "block"]).select("band", "meeting", "doc_id", "component").join(reps, "doc_id")
 
 
 def _confirm(width: int, percent: int):
@@ -147,7 +199,8 @@ def _confirm(width: int, percent: int):
     return run
 
 
-def _confirmed(stage: Stage, pairs: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+def _confirmed(stage: Stage, pairs: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct pairs, and those of them that full sets confirm."""
     pairs = stage(pairs.distinct(), f"{name}-pairs")
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -156,8 +209,8 @@ def _confirmed(stage: Stage, pairs: DataFrame, docs: DataFrame, width: int, perc
     right = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
     both = right.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb")
     out = stage(both.mapInArrow(_confirm(width, percent), "a long, b long"), f"{name}-links")
-    stage.drop(f"{name}-pairs", f"{name}-ids", f"{name}-texts")
-    return out
+    stage.drop(f"{name}-ids", f"{name}-texts")
+    return pairs, out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -178,31 +231,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     buckets = stage(banded.join(shared.where("n > 1"), "band"), "buckets")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.when(F.array_contains("hubs", F.col("doc_id")), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(spread, blocks).cast("int")))
-    dealt = buckets.select("doc_id", "band", F.explode(own).alias("block")).join(reps.select("doc_id", "sketch"), "doc_id")
-    first = dealt.groupBy("band", "block").applyInPandas(_forest, "a long, b long")
-    links = _confirmed(stage, first, docs, width, percent, "first")
-    settled = stage(components(spark, links, "minhash-first"), "settled")
+    sketches = reps.select("doc_id", "sketch")
+    dealt = buckets.select("doc_id", "band", F.explode(own).alias("block")).join(sketches, "doc_id").withColumn("component", F.col("doc_id"))
+    first = _gathered(dealt, "band", "block").mapInArrow(_in_groups(_forest), "a long, b long")
+    tried, links = _confirmed(stage, first, docs, width, percent, "first")
     # buckets in which several components are left
-    placed = buckets.select("band", "doc_id").join(settled.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = stage(placed, "placed")
-    mixed_ = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-    parts = placed.join(mixed_, "band", "left_semi").groupBy("band", "component").agg(F.count(F.lit(1)).alias("held"))
-    small = parts.where(F.col("held") < BLOCK).groupBy("band").agg(F.sum("held").alias("small"))
-    parts = parts.join(small, "band", "left")
-    pieces = F.ceil(F.col("held") / BLOCK).cast("int")
-    pool = F.pmod(F.xxhash64("component"), F.ceil(F.col("small") / BLOCK)).cast("int")
-    parts = parts.select("band", "component", (F.col("held") >= BLOCK).alias("big"), F.when(F.col("held") >= BLOCK, pieces).alias("pieces"), F.when(F.col("held") < BLOCK, pool).alias("pool"))
-    block_of = F.when(F.col("big"), F.struct(F.col("component").alias("c"), F.pmod(spread, F.col("pieces")).cast("int").alias("k"))).otherwise(F.struct(F.lit(None).cast("long").alias("c"), F.col("pool").alias("k")))
-    cut = stage(placed.join(parts, ["band", "component"]).select("band", "doc_id", "component", block_of.alias("block")), "cut")
-    named = cut.select("band", "block").distinct()
-    met = named.alias("x").join(named.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.block") <= F.col("y.block")) & ~F.coalesce(F.col("x.block.c") == F.col("y.block.c"), F.lit(False)))
-    met = met.select("x.band", F.struct(F.col("x.block").alias("p"), F.col("y.block").alias("q")).alias("meeting"))
-    met = met.select("band", "meeting", F.explode(F.array_distinct(F.array("meeting.p", "meeting.q"))).alias("block"))
-    gathered = cut.join(met, ["band", "block"]).select("band", "meeting", "doc_id", "component").join(reps.select("doc_id", "sketch"), "doc_id")
-    second = gathered.groupBy("band", "meeting").applyInPandas(_across, "a long, b long")
-    more = _confirmed(stage, second, docs, width, percent, "second")
-    stage.drop("reps", "buckets", "settled", "placed", "cut")
-    final = components(spark, links.unionByName(more), "minhash-last").withColumnsRenamed({"id": "rep", "component": "joined"})
+    for name, closest in (("closest", CLOSEST), ("rest", None)):
+        settled = components(spark, links, f"minhash-{name}").withColumnRenamed("id", "doc_id")
+        placed = buckets.select("band", "doc_id").join(settled, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        placed = stage(placed, f"{name}-placed")
+        across = _gathered(_meetings(placed, sketches, stage, name), "band", "meeting").mapInArrow(_in_groups(_across(closest)), "a long, b long")
+        pairs, more = _confirmed(stage, across.join(tried, ["a", "b"], "left_anti"), docs, width, percent, name)
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
+        stage.drop(f"{name}-placed", f"{name}-cut")
+    stage.drop("reps", "buckets")
+    final = components(spark, links, "minhash-last").withColumnsRenamed({"id": "rep", "component": "joined"})
     # the classes' members follow their representative
     members = every.select("doc_id", "n_shingles", "f1", "f2").join(classes.join(final, "rep", "left"), ["n_shingles", "f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("joined", "rep", "doc_id"))
