@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, url_filter, warc
+from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, substrings, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_warc": warc.op2_warc,
+    "op3_substrings": substrings.op3_substrings,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_embeddings": embeddings.op5_embeddings,
     "op6_language": language.op6_language,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op2_warc": warc.ORACLE,
+    "op3_substrings": substrings.ORACLE,
     "op5_embeddings": embeddings.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_minhash": minhash.ORACLE,
