@@ -1,2 +1,77 @@
+"""A training corpus from ``documents``: language, near copies, repeated passages, benchmark leaks, mix.
+
+Each stage works on what the one before kept; ``run`` writes every stage's output to the shared
+folder and reads it back, as the driver of ``STAGES`` does. Rows with a null doc_id pass the stages that
+match documents with each other. Columns beside those of ``documents`` pass through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracklake.llm import decontamination, language, minhash, mixing, substrings
+from tracklake.llm.common import Stage, table
+
+#: Ids that a broadcast may hold: 16 MB at most.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(spark: SparkSession, docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the rows of ``ids``; texts are shuffled only if the ids are too many to broadcast."""
+    ids = Stage(spark, label)(ids.distinct(), "dropped")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, and those in no learned language, go."""
+    return language.accept(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the least doc_id, and one row of it."""
+    found = Stage(spark, "near-copies")(minhash.near_duplicates(spark, docs), "groups")
+    left = _without(spark, docs, found.where("component_id IS NOT NULL AND NOT kept").select("doc_id"), "near-copies")
+    twice = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(twice, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document, or the same one earlier, holds are cut out; n_chars follows."""
+    cut = substrings.without_repeats(spark, docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark`` go."""
+    leaks = decontamination.find_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+    return _without(spark, docs, leaks.where("doc_id IS NOT NULL").select("doc_id"), "leaks")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, turn, position, words: a row per pass over a document, in training order."""
+    return mixing.in_training_order(mixing.mix(spark, docs))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("repeats", cut_repeats),
+    ("leaks", drop_leaks),
+    ("mix", mix_sources),
+]
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = Stage(spark, "pipeline")(docs, name)
+    return docs

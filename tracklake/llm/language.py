@@ -189,5 +189,27 @@ def identify(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Data
     return rows.mapInArrow(_predictor(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
+def _accepted(model, least: float):
+    predict = _predictor(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            blank = pa.nulls(len(text))
+            (found,) = predict([pa.RecordBatch.from_arrays([blank, blank, text], names=["doc_id", "held_out", "text"])])
+            keep = [lang != NO_LANGUAGE and score >= least for lang, score in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def accept(spark: SparkSession, docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of at least ``least``, columns as they are."""
+    used = exact(docs, "doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = spark.sparkContext.broadcast(train(spark, used.where(fold != 1), sample))
+    return docs.mapInArrow(_accepted(model, least), docs.schema)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(spark, table(spark, sf_dir, "documents"))

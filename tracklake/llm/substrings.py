@@ -209,33 +209,45 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(doc[r[heads]]), pa.array(key[r[heads]]), pa.array(begin[heads]), pa.array(begin[tails] + LIMIT)] if len(r) else [pa.array([], pa.int64())] * 4, schema=_SPANS)
 
 
-def _cut(with_text: bool):
+def _kept(text: pa.Scalar, spans: pa.Scalar, doc_id: int | None) -> tuple[bytes, np.ndarray, int]:
+    """The bytes of ``text`` outside the spans of ``doc_id``, which of its bytes are gone, and in how many runs."""
+    raw = text.as_py() or b""
+    gone = np.zeros(len(raw) + 1, np.int32)
+    if spans.is_valid and doc_id is not None:
+        mine = spans.values.field("doc_id").to_numpy() == doc_id
+        np.add.at(gone, spans.values.field("start").to_numpy()[mine], 1)
+        np.add.at(gone, spans.values.field("stop").to_numpy()[mine], -1)
+    gone = np.cumsum(gone)[:-1] > 0
+    n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+    return np.frombuffer(raw, np.uint8)[~gone].tobytes() if n_spans else raw, gone, n_spans
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()), batch.column("spans"), strict=True):
+            kept, gone, n_spans = _kept(text, spans, doc_id)
+            out.append((len(gone), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest()))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        kinds = [pa.int64()] * 3 + [pa.string()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def _cut_texts(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            texts = []
             for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()), batch.column("spans"), strict=True):
-                raw = text.as_py() or b""
-                gone = np.zeros(len(raw) + 1, np.int32)
-                if spans.is_valid and doc_id is not None:
-                    mine = spans.values.field("doc_id").to_numpy() == doc_id
-                    np.add.at(gone, spans.values.field("start").to_numpy()[mine], 1)
-                    np.add.at(gone, spans.values.field("stop").to_numpy()[mine], -1)
-                gone = np.cumsum(gone)[:-1] > 0
-                n_removed, n_spans = int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if n_removed else raw
-                out.append((len(raw), n_removed, n_spans, hashlib.sha256(kept).hexdigest()) + ((kept.decode("utf-8", "ignore"),) if with_text else ()))
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
-            columns = list(zip(*out)) or [()] * (5 if with_text else 4)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 1 + len(columns)])
+                texts.append(_kept(text, spans, doc_id)[0].decode("utf-8", "ignore") if text.is_valid else None)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names=names)
 
     return run
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, frequent: int = FREQUENT, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining text without cut characters) of every row of ``docs``."""
+def _with_spans(spark: SparkSession, docs: DataFrame, frequent: int) -> DataFrame:
+    """``docs`` with ``key`` and the ``spans`` to remove."""
     stage = Stage(spark, "substrings")
-    docs = exact(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     found = docs.where("doc_id IS NOT NULL").select("text", "key").mapInArrow(_anchors, "route long, key long, n long, own array<long>")
     total = found.selectExpr("*", "sum(n) OVER (PARTITION BY route) AS total")
     known = total.where(f"own IS NOT NULL OR total > 1 AND key IS NOT NULL OR total >= {frequent}")
@@ -246,8 +258,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, frequent: int = FREQUEN
     pieces = docs.join(anchors, "key", "left").mapInArrow(_pieces(often), "route long, doc_id long, key long, start long, stop long, piece binary")
     spans = pieces.repartition("route").mapInArrow(_sorted_out, "doc_id long, key long, start long, stop long")
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "stop")).alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else "")
-    return docs.join(spans, "key", "left").mapInArrow(_cut(with_text), schema)
+    return docs.join(spans, "key", "left")
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs`` (doc_id, text)."""
+    docs = exact(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _with_spans(spark, docs, frequent).mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """The rows of ``docs`` with the repeats cut out of ``text``, and characters they cut into."""
+    kept = exact(docs, *docs.columns).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _with_spans(spark, kept, frequent).mapInArrow(_cut_texts(docs.columns), kept.schema)
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
