@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 #: (start, end) of the weight's line over training time, by place in WEIGHTS.
 SCHEDULE = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
 LIMIT = 3
-ROWS_PER_BUCKET = 5_000
+ROWS_PER_BUCKET = 500
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, limit: int = LIMIT) -> DataFrame:
