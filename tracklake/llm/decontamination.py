@@ -7,8 +7,9 @@ hits; a hit fixes how item and document align. The item is then laid over the do
 that alignment, and the document is contaminated if some ``WINDOW`` item tokens in a row (all
 tokens of a shorter item) agree in at least ``SHARE`` of their places.
 
-Benchmarks whose windows fit a checked size are broadcast, and each document is
-matched and verified where it is read; beyond that, hits are found by a shuffled join and verified after.
+Benchmarks whose windows fit a checked size are broadcast, and texts are matched where they are
+read; beyond that by a shuffled join. Distinct hits (document, item, alignment) are few; documents
+with hits are read again for verification, by a broadcast of the hits if their number allows it.
 Items of fewer than ``LEAST`` tokens are too short to tell a leak from chance and are not used.
 Null and empty texts match nothing; repeated rows are each reported; rows with a null doc_id too.
 """
@@ -25,8 +26,8 @@ MASKS = ("11011011", "1110111", "101101101")
 WINDOW = 15
 SHARE = 0.8
 LEAST = 9
-#: Windows of all items that may be broadcast with their item's token hashes (some 100 MB at most).
-BROADCAST_WINDOWS = 200_000
+#: Windows of all items, and hits, that may be broadcast, some 30 bytes each.
+BROADCAST_WINDOWS = 500_000
 
 
 def tokens(text: Column) -> Column:
@@ -56,16 +57,18 @@ def _agreement(words: Column, item: Column, shift: Column) -> Column:
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """doc_id, item_id, matched (agreeing tokens of the best window), agreeing (of the whole item), item_words, shift per contaminated pair."""
-    docs = exact(docs, "doc_id", "text").select("doc_id", tokens(F.col("text")).alias("words"))
+    stage = Stage(spark, "leaks")
+    docs = exact(docs, "doc_id", "text").withColumn("key", F.xxhash64("doc_id", "text"))
     items = exact(benchmark, "item_id", "text").select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= LEAST).distinct()
-    probes = _windows(items.withColumnRenamed("item", "words"), "item_id", "words").select("item_id", F.col("words").alias("item"), F.col("at").alias("item_at"), "seed")
-    probes = Stage(spark, "leaks")(probes, "probes")
-    shift = F.col("at") - F.col("item_at")
-    if probes.count() <= broadcast_windows:
-        hits = _windows(docs, "doc_id", "words").join(F.broadcast(probes), "seed").select("doc_id", "words", "item_id", "item", shift.alias("shift"))
-    else:
-        pairs = _windows(docs, "doc_id").join(probes.drop("item"), "seed").select("doc_id", "item_id", shift.alias("shift")).distinct()
-        hits = pairs.join(docs, F.expr("true") & pairs.doc_id.eqNullSafe(docs.doc_id)).select(pairs.doc_id, "words", "item_id", "shift").join(items, "item_id")
+    probes = stage(_windows(items.withColumnRenamed("item", "words"), "item_id").withColumnRenamed("at", "item_at"), "probes")
+    items = stage(items, "items")
+    few = probes.count() <= broadcast_windows
+    held = docs.select("key", tokens(F.col("text")).alias("words"))
+    found = _windows(held, "key").join(F.broadcast(probes) if few else probes, "seed")
+    hits = stage(found.select("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
+    held = docs.join(F.broadcast(hits) if hits.count() <= broadcast_windows else hits, "key")
+    held = held.select("doc_id", "item_id", "shift", tokens(F.col("text")).alias("words"))
+    hits = held.join(F.broadcast(items) if few else items, "item_id")
     length = F.least(F.size("item"), F.lit(WINDOW))
     least = F.ceil(length * SHARE)
     laid = hits.withColumn("agree", _agreement(F.col("words"), F.col("item"), F.col("shift"))).withColumn("agreeing", F.size(F.filter("agree", lambda x: x)))
