@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, substrings, suffix_sort, url_filter, warc
-from tracklake.llm.common import components
+from tracklake.llm.common import components, exact
 from tracklake.session import staging_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars int, TEXT string, score int, key int, component_id int"
@@ -394,7 +394,7 @@ def test_pipeline_stages_act_and_pass_columns(spark, odd, tmp_path):
     leak = rng.choices(WORDS, k=30)
     rows += [(104, english(20) + " " + " ".join(leak) + " " + english(20), "en", "t")]
     path = str(tmp_path)
-    docs_of(spark, rows).select("doc_id", "text", "lang", "source", F.length("text").alias("n_chars")).write.parquet(f"{path}/documents.parquet")
+    exact(docs_of(spark, rows), "doc_id", "text", "lang", "source").withColumn("n_chars", F.length("text")).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, " ".join(leak))], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     docs, seen = spark.read.parquet(f"{path}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
