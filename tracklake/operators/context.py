@@ -12,18 +12,18 @@ from tracklake.operators.ordered import fill_forward, version_lookup
 ENTRY = ["recording", "entry_id"]
 
 
-def attach_context(records: DataFrame, **limits) -> DataFrame:
+def attach_context(data: DataFrame, control: DataFrame, **limits) -> DataFrame:
     """Data records with ``ctx``: newest earlier Start of their id by ``seq``; NULL for orphans.
 
     A Finish does not end a definition and timestamps play no part.
     """
-    starts = records.filter("kind = 'start'").select(
+    starts = control.filter("kind = 'start'").select(
         *ENTRY,
         F.col("seq").alias("start_seq"),
         clean_path(normalise_name(F.col("entry_name"))).alias("key"),
         "entry_type",
     )
-    data = records.filter("kind = 'raw'").select("recording", "seq", "ts", "entry_id", "data")
+    data = data.select("recording", "seq", "ts", "entry_id", "data")
     return version_lookup(data, starts, ENTRY, "seq", "start_seq", "ctx", **limits)
 
 

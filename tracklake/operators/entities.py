@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.paths import ancestors, last_part, parent_path, robotime_nanos
 from tracklake.operators.entries import VALUES, latest_per_key
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
-from tracklake.operators.ordered import fill_forward, with_bucket
+from tracklake.operators.ordered import fill_forward
 from tracklake.operators.quality import quarantine
 from tracklake.session import stage
 
@@ -162,11 +162,18 @@ def component_problems(component_rows: DataFrame) -> DataFrame:
     return quarantine(component_rows.filter("reason is not null").withColumn("key", key), "component")
 
 
-def entity_chunks(entity_rows: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows grouped per entity; an entity larger than an average partition gives several
-    consecutive chunks, so that no array grows with the data."""
-    placed, _ = with_bucket(entity_rows, ENTITY, "ts", min_rows)
+CHUNK_MICROS = 3_600_000_000
+
+
+def entity_chunks(entity_rows: DataFrame, span: int | None = CHUNK_MICROS) -> DataFrame:
+    """Rows grouped per entity and ``span`` microseconds of its recording's time, whatever their number.
+
+    ``chunk`` is the place of the span. A recording shorter than the span, which an hour
+    usually is, gives one chunk per entity; ``None`` gives one in any case, for entities of bounded length.
+    """
+    chunk = F.lit(0).cast("bigint") if span is None else F.floor(F.col("ts") / span).cast("bigint")
+    placed = entity_rows.withColumn("chunk", chunk)
     row = F.struct("ts", "component", "scalar", "point3d", "n_triggers")
-    return placed.groupBy(*ENTITY, F.col("_bucket").alias("chunk")).agg(
+    return placed.groupBy(*ENTITY, "chunk").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(row)).alias("rows")
     )

@@ -12,7 +12,6 @@ from tracklake.operators.ordered import fill_forward
 from tracklake.operators.quality import is_schema
 from tracklake.session import stage, stage_counted
 
-MAX_DEPTH = 16
 MAX_ELEMENTS = (1 << 31) - 1  # a BINARY value cannot be longer
 ALIASES = {"float32": "float", "float64": "double"}
 SCHEMA = ["recording", "struct_name"]
@@ -106,7 +105,7 @@ def schemas(keyed: DataFrame) -> DataFrame:
 
 def schema_fields(schemas: DataFrame) -> DataFrame:
     return schemas.select(*EPOCH, F.posexplode("fields").alias("pos", "f")).select(
-        *EPOCH, "pos", "f.field", "f.type", F.col("f.count").cast("int").alias("count"), "f.enum"
+        *EPOCH, "pos", "f.field", "f.type", "f.count", "f.enum"
     )
 
 
@@ -170,7 +169,7 @@ def layouts(vers: DataFrame) -> DataFrame:
         F.posexplode("fields").alias("_pos", "_f"),
     )
     parts = []
-    for _ in range(MAX_DEPTH):
+    while True:  # a struct that holds itself ends in _descend
         level = level.withColumn("_order", F.array_append("_order", F.col("_pos"))).withColumn(
             "leaf_path", join_path(F.col("_path"), F.col("_f.field"))
         )
@@ -183,8 +182,6 @@ def layouts(vers: DataFrame) -> DataFrame:
             break
         level, found = _descend(level, refs, vers)
         parts.append(found)
-    else:
-        parts.append(_flagged(level, problem=F.lit("recursive struct")))
     leaves = parts[0]
     for more in parts[1:]:
         leaves = leaves.unionByName(more)
@@ -196,7 +193,7 @@ def _members(names: DataFrame, refs: DataFrame) -> DataFrame:
     edges = refs.filter("child is not null").select("recording", F.col("parent").alias("_via"), "child").distinct()
     found = names.withColumn("member", F.col("struct_name"))
     fresh = found
-    for _ in range(MAX_DEPTH):
+    while True:
         step = (
             fresh.withColumnRenamed("member", "_via")
             .join(edges, ["recording", "_via"])
@@ -211,14 +208,15 @@ def _members(names: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def _leaf_rows(level: DataFrame, prim: Column, count: Column) -> DataFrame:
+    fits = F.coalesce(count <= MAX_ELEMENTS, F.lit(True))
     return level.select(
         *EPOCH,
         "_order",
         "leaf_path",
-        prim.alias("prim"),
-        count.cast("bigint").alias("count"),
+        F.when(fits, prim).alias("prim"),
+        F.when(fits, count.cast("bigint")).alias("count"),
         F.lit(None).cast("string").alias("missing"),
-        F.when(F.col("_bad"), "incomplete schema").alias("problem"),
+        F.when(F.col("_bad"), "incomplete schema").when(~fits, "layout too large").alias("problem"),
     )
 
 
@@ -294,6 +292,7 @@ def _descend(level: DataFrame, refs: DataFrame, vers: DataFrame) -> tuple[DataFr
 def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
     """Offsets by running sum over the declaration order, then one row per layout."""
     width = F.coalesce(F.try_element_at(literal_map(WIDTHS), F.col("prim")), F.lit(0)).cast("bigint")
+    # a count fits an int, so no product overflows; sums are decimal, for any number of leaves
     total = F.when(F.col("prim") == "length", F.lit(0).cast("bigint")).otherwise(
         width * F.coalesce("count", F.lit(1).cast("bigint"))
     )
@@ -301,11 +300,11 @@ def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
     placed = (
         leaves.withColumn("width", width.cast("int"))
         .withColumn("_total", total)
-        .withColumn("offset", F.coalesce(F.sum("_total").over(before), F.lit(0).cast("bigint")))
+        .withColumn("offset", F.coalesce(F.sum(F.col("_total").cast("decimal(38,0)")).over(before).try_cast("bigint"), F.lit(0).cast("bigint")))
     )
     leaf = F.struct("offset", "_order", "leaf_path", "prim", F.col("count").cast("int").alias("count"), "width")
     packed = placed.groupBy(*EPOCH).agg(
-        F.sum("_total").alias("struct_size"),
+        F.sum(F.col("_total").cast("decimal(38,0)")).alias("_size"),
         F.min("missing").alias("missing"),
         F.min("problem").alias("problem"),
         F.sort_array(F.collect_list(F.when(F.col("prim").isNotNull(), leaf))).alias("leaves"),
@@ -315,10 +314,10 @@ def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
         *EPOCH,
         F.col("missing").isNull().alias("complete"),
         "missing",
-        F.coalesce(F.col("problem"), bad, F.when(F.col("struct_size") > MAX_ELEMENTS, "layout too large")).alias(
+        F.coalesce(F.col("problem"), bad, F.when(F.col("_size") > MAX_ELEMENTS, "layout too large")).alias(
             "problem"
         ),
-        F.coalesce("struct_size", F.lit(0).cast("bigint")).alias("struct_size"),
+        F.coalesce(F.col("_size").try_cast("bigint"), F.lit(0).cast("bigint")).alias("struct_size"),
         F.coalesce(
             F.transform("leaves", lambda x: x.dropFields("_order")),
             F.array().cast("array<struct<offset:bigint,leaf_path:string,prim:string,count:int,width:int>>"),

@@ -58,6 +58,12 @@ class Ingest:
         )
         return stage(rows.withColumn("part", part), "records", "part")
 
+    @property
+    def found_recordings(self) -> DataFrame:
+        """(recording) of every file that was read, also of those without a usable header."""
+        found = self.files.select("recording")
+        return found if self.large is None else found.unionByName(self.large.select("recording"))
+
     @cached_property
     def recordings(self) -> DataFrame:
         return recordings(self.decoded.filter("part = 'header'"), self.application_id)
@@ -76,10 +82,8 @@ class Ingest:
 
     @cached_property
     def with_context(self) -> DataFrame:
-        known = self.decoded.filter("part in ('data', 'control')").withColumn(
-            "kind", F.when(F.col("part") == "data", "raw").otherwise(F.col("kind"))
-        )
-        return context.attach_context(known, min_rows=self.min_rows)
+        starts, data = self.decoded.filter("part = 'control'"), self.decoded.filter("part = 'data'")
+        return context.attach_context(data, starts, min_rows=self.min_rows)
 
     @cached_property
     def keyed(self) -> DataFrame:

@@ -9,7 +9,9 @@ ranges are cut into rows at once.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,6 +34,10 @@ from tracklake.sources.framing import (
 from tracklake.sources.logfiles import MAGIC, VERSION
 
 RANGE_BYTES = 64 << 20
+#: File system schemes of Spark under the names that pyarrow has for them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+#: Bytes of a torn tail that are kept; only a tail beyond what a column value can hold is longer.
+MAX_TAIL = (1 << 31) - (1 << 20)
 LONGEST_HEAD = 17
 PROBE_RECORDS = 24
 CONTROL_KINDS = 3
@@ -44,8 +50,13 @@ PROBE_DDL = (
 
 
 def open_file(path: str):
-    uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-    system, name = pafs.FileSystem.from_uri(uri)
+    """A seekable file by Spark's path: local names may hold any character, s3a and s3n are s3."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        name = "/" + rest.lstrip("/")
+        return open(name if os.path.exists(name) else unquote(name), "rb")
+    where = SCHEMES.get(scheme, scheme)
+    system, name = pafs.FileSystem.from_uri(f"{where}:{quote(unquote(rest))}")
     return system.open_input_file(name)
 
 
@@ -206,10 +217,9 @@ def scan_ranges(logs: LargeLogs, mode: str = "PERMISSIVE") -> DataFrame:
                 if leave < row["hi"]:
                     if strict:
                         raise ValueError(f"{row['recording']}: {TRUNCATED} at byte {leave}")
-                    # quarantine keeps the torn bytes where one BINARY value of normal size can hold them
-                    fits = row["length"] - leave <= RANGE_BYTES
-                    rest = bytes(read_range(row["path"], leave, row["length"])) if fits else None
-                    yield torn_tail(row["recording"], seq, rest)
+                    # a BINARY value holds 2 GiB at most; of a longer tail the first bytes are kept
+                    stop = min(row["length"], leave + MAX_TAIL)
+                    yield torn_tail(row["recording"], seq, bytes(read_range(row["path"], leave, stop)))
 
     rows = logs.ranges.filter("entry is not null")
     head = F.struct("path", "version", "extra_header", F.col("length").alias("n_bytes"), F.col("header_issue").alias("issue"))

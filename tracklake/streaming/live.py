@@ -10,19 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tracklake.operators.entries import change_set
 from tracklake.plans.ingest import Ingest
 from tracklake.sources.logfiles import FILE_SCHEMA, WHOLE_FILE_BYTES, with_recording
-from tracklake.sources.tables import write_changes, write_table
-
-TABLES = ("recordings", "records", "entry_defs", "entries", "entity_rows", "quarantine", "unresolved")
-
-
-def write_tables(ingest: Ingest, out: str, batch_id: int = 0) -> None:
-    ingest.entries = ingest.stored_entries  # read by several tables below
-    for name in TABLES:
-        write_table(getattr(ingest, name), f"{out}/{name}")
-    write_changes(change_set(ingest.entries), f"{out}/changes", batch_id)
+from tracklake.sources.tables import write_tables
 
 
 def watch(spark: SparkSession, path: str, glob: str = "*.wpilog", files_per_batch: int = 1000) -> DataFrame:

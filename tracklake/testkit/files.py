@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 
 def write_files(files: DataFrame, folder: str) -> int:
     """Write every file below the shared ``folder``; returns how many."""
-    uri = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    uri = "file://" + quote("/" + folder.removeprefix("file:").lstrip("/")) if folder.startswith(("/", "file:")) else folder
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = pafs.FileSystem.from_uri(uri)

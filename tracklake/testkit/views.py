@@ -414,6 +414,35 @@ def part_schemas(spark: SparkSession, sf_dir: str) -> Ingest:
     )
 
 
+CHAIN = 20
+
+
+def _part_schema(rows: DataFrame, recording: str, text: str) -> DataFrame:
+    return rows.select(
+        F.expr(recording).alias("recording"),
+        (F.col("p_partkey") + 10).alias("seq"),
+        F.lit(0).alias("ts"),
+        F.expr("concat('.schema/struct:C', p_partkey)").alias("key"),
+        F.lit("structschema").alias("entry_type"),
+        F.expr(text).cast("binary").alias("data"),
+    )
+
+
+@once
+def chained_schemas(spark: SparkSession, sf_dir: str) -> Ingest:
+    """One schema per part: a number and the struct of the next part, in chains of ``CHAIN``."""
+    last = f"p_partkey % {CHAIN} = {CHAIN - 1}"
+    text = f"concat('int8 a; ', if({last}, 'double x', concat('C', p_partkey + 1, ' next')))"
+    return keyed_ingest(_part_schema(table(spark, sf_dir, "part"), f"concat('chain-', p_partkey div {CHAIN * 16})", text))
+
+
+@once
+def huge_schemas(spark: SparkSession, sf_dir: str) -> Ingest:
+    """One schema per part; every seventh has more elements than any record can hold."""
+    text = "concat('int32 a; double x[', if(p_partkey % 7 = 0, 3000000000000000000 + p_partkey, p_size), ']')"
+    return keyed_ingest(_part_schema(table(spark, sf_dir, "part"), "concat('huge-', p_partkey div 128)", text))
+
+
 def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part/<l_partkey>`` at the ship date = quantity: much rewritten keys, in file order."""
     return table(spark, sf_dir, "lineitem").select(

@@ -94,7 +94,7 @@ SELECT recording, robot * 5 + list_position(['click','error','purchase','signup'
 def raw_records(spark, sf_dir):
     made = fresh(views.value_logs(spark, sf_dir))
     starts = made.records.filter("kind = 'start'").groupBy("recording").agg(F.count(F.lit(1)).alias("starts"))
-    raw = made.records.filter("kind = 'raw'").join(F.broadcast(starts), "recording")
+    raw = made.records.filter("kind = 'raw'").join(starts, "recording")
     return raw.select(
         "recording", "entry_id", "ts", F.octet_length("data").alias("n_bytes"), (F.col("seq") - F.col("starts") + 1).alias("nth")
     )
@@ -226,9 +226,12 @@ SELECT recording, struct_name, p_partkey + 10 AS schema_seq, 0 AS pos, 'head' AS
 UNION ALL SELECT recording, struct_name, p_partkey + 10, 1, 'kind', 'int8', NULL, CAST(substring(p_brand, 7) AS BIGINT) FROM p
 UNION ALL SELECT recording, struct_name, p_partkey + 10, 2, 'name', 'char', length(p_name), NULL FROM p
 UNION ALL SELECT recording, struct_name, p_partkey + 10, 3, 'size', 'uint16', NULL, NULL FROM p
+UNION ALL SELECT recording, v.* FROM (SELECT DISTINCT recording FROM p), (VALUES
+  ('struct:Head', 1, 0, 'price', 'double', NULL, NULL), ('struct:Head', 1, 1, 'size', 'Size', NULL, NULL),
+  ('struct:Size', 2, 0, 'w', 'int32', NULL, NULL), ('struct:Size', 2, 1, 'h', 'float', 2, NULL)) AS v
 """)
 def schema_fields(spark, sf_dir):
-    rows = fresh(views.part_schemas(spark, sf_dir)).schema_fields.filter("struct_name like 'struct:P%'")
+    rows = fresh(views.part_schemas(spark, sf_dir)).schema_fields
     return rows.select(
         "recording", "struct_name", "schema_seq", "pos", "field", "type", F.col("count").cast("bigint").alias("count"),
         F.try_element_at("enum", F.lit("brand")).alias("brand"),
@@ -248,15 +251,44 @@ leaves AS (
   UNION ALL SELECT recording, struct_name, n, len, p_partkey, 'size', 'uint16', n * 20 + 1 + len, NULL FROM p)
 SELECT recording, struct_name, p_partkey + 10 AS schema_seq, leaf_path, prim, start_at AS "offset", CAST(count AS BIGINT) AS count,
        n * 20 + 3 + len AS struct_size FROM leaves
+UNION ALL SELECT recording, v.* FROM (SELECT DISTINCT recording FROM p), (VALUES
+  ('struct:Head', 2, 'price', 'double', 0, NULL, 20), ('struct:Head', 2, 'size/w', 'int32', 8, NULL, 20),
+  ('struct:Head', 2, 'size/h', 'float', 12, 2, 20), ('struct:Size', 2, 'w', 'int32', 0, NULL, 12),
+  ('struct:Size', 2, 'h', 'float', 4, 2, 12)) AS v
 """)
 def struct_layout(spark, sf_dir):
-    rows = fresh(views.part_schemas(spark, sf_dir)).struct_layout.filter("struct_name like 'struct:P%'")
+    rows = fresh(views.part_schemas(spark, sf_dir)).struct_layout
     wide = ["offset", "count", "struct_size"]
     return rows.select(
         "recording", "struct_name", "schema_seq", "leaf_path", "prim", *[F.col(c).cast("bigint").alias(c) for c in wide]
     )
 
 
+@query(f"""
+WITH p AS (SELECT p_partkey AS k, 'chain-' || (p_partkey // {views.CHAIN * 16}) AS recording, {views.CHAIN - 1} - p_partkey % {views.CHAIN} AS below FROM part),
+whole AS (SELECT * FROM p WHERE k + below IN (SELECT k FROM p)),
+leaves AS (
+  SELECT *, repeat('next/', i::INT) || 'a' AS leaf_path, 'int8' AS prim, i AS "offset" FROM whole, unnest(generate_series(0, below)) AS u(i)
+  UNION ALL SELECT *, below, repeat('next/', below::INT) || 'x', 'double', below + 1 FROM whole)
+SELECT recording, 'struct:C' || k AS struct_name, leaf_path, prim, "offset"::BIGINT AS "offset", below + 9 AS struct_size FROM leaves
+""")
+def deep_structs(spark, sf_dir):
+    """Structs nested twenty deep."""
+    rows = fresh(views.chained_schemas(spark, sf_dir)).struct_layout
+    return rows.select("recording", "struct_name", "leaf_path", "prim", *[F.col(c).cast("bigint").alias(c) for c in ("offset", "struct_size")])
+
+
+@query("""
+SELECT 'huge-' || (p_partkey // 128) AS recording, 'struct:C' || p_partkey AS struct_name,
+       CASE WHEN p_partkey % 7 = 0 THEN 'layout too large' END AS problem,
+       CASE WHEN p_partkey % 7 <> 0 THEN 4 + 8 * p_size END::BIGINT AS struct_size FROM part
+""")
+def huge_schema(spark, sf_dir):
+    """A layout that no value can hold is flagged alone; the others are as usual."""
+    rows = fresh(views.huge_schemas(spark, sf_dir)).layouts
+    return rows.select("recording", "struct_name", "problem", F.when(F.col("problem").isNull(), F.col("struct_size")).alias("struct_size"))
+
+
 def _leaf(path: str, value: str) -> str:
     return f"SELECT recording, key || '/{path}' AS key, ts, CAST({value} AS VARCHAR) AS value FROM ln"
 
@@ -505,13 +537,13 @@ def entity_rows(spark, sf_dir):
 
 @query(f"""
 {ENTITY_ROWS}
-SELECT recording, entity, count(*) AS n_rows, string_agg(ts || ':' || component, ',' ORDER BY ts, component) AS rows
-FROM rows_ GROUP BY recording, entity
+SELECT recording, entity, ts // 1000000 AS chunk, count(*) AS n_rows, string_agg(ts || ':' || component, ',' ORDER BY ts, component) AS rows
+FROM rows_ GROUP BY recording, entity, ts // 1000000
 """)
 def entity_chunks(spark, sf_dir):
-    chunks = entities.entity_chunks(fresh(views.entity_logs(spark, sf_dir)).entity_rows)
+    chunks = entities.entity_chunks(fresh(views.entity_logs(spark, sf_dir)).entity_rows, span=1_000_000)
     text = F.transform("rows", lambda r: F.concat_ws(":", r["ts"].cast("string"), r["component"]))
-    return chunks.select("recording", "entity", "n_rows", F.array_join(text, ",").alias("rows"))
+    return chunks.select("recording", "entity", "chunk", "n_rows", F.array_join(text, ",").alias("rows"))
 
 
 # Quarantine and streaming: Q1, S8, S9, W1 ---------------------------------------------
@@ -561,3 +593,47 @@ def range_framing(spark, sf_dir):
     frames = scan_ranges(large_logs(files, range_bytes=8192))
     data = frames.filter("entry_id > 0 and issue is null")
     return data.groupBy("recording").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").cast("decimal(38,0)").alias("ts_sum"))
+
+
+@query(f"""
+WITH {EVENTS}
+SELECT recording, 'data' AS what, count(*) AS n FROM ev GROUP BY recording
+UNION ALL SELECT DISTINCT 'old-' || recording, 'unsupported version', 1 FROM ev
+UNION ALL SELECT DISTINCT 'short-' || recording, 'truncated header', 1 FROM ev
+""")
+def ingest_folder(spark, sf_dir):
+    """A folder of log files among foreign, empty, old and cut ones."""
+    from tracklake.plans.ingest import ingest_path
+    from tracklake.session import staging_path
+    from tracklake.testkit.files import write_files
+
+    folder = staging_path(spark, "mixed files")
+    files = views.value_files(spark, sf_dir).select("path", "content")
+    after = lambda n: F.expr(f"substring(content, {n})")
+    version, foreign = F.lit(b"WPILOG\x00\x02"), F.lit(b"RIFF")
+    for name, content in (
+        ("", F.col("content")), ("old-", F.concat(version, after(9))), ("foreign-", F.concat(foreign, after(5))),
+        ("empty-", F.lit(b"")), ("short-", F.expr("substring(content, 1, 10)")),
+    ):
+        write_files(files.select(F.concat(F.lit(name), "path").alias("path"), content.alias("content")), folder)
+    made = ingest_path(spark, folder)
+    named = F.regexp_replace("recording", "-[0-9a-f]{16}$", "").alias("recording")
+    data = made.records.filter("kind = 'raw'").groupBy(named).agg(F.lit("data").alias("what"), F.count(F.lit(1)).alias("n"))
+    problems = made.quarantine.filter("stage = 'header'").groupBy(named, F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return data.unionByName(problems)
+
+
+@query(f"""
+WITH {EVENTS}
+SELECT recording, count(*) AS n FROM ev WHERE user_id_even GROUP BY recording
+""".replace("user_id_even", "robot % 2 = 0 AND (event_id // 4096) % 3 <> 1"))
+def rerun_replaces(spark, sf_dir):
+    """A table written twice: a recording that has no row the second time keeps none."""
+    from tracklake.session import staging_path
+    from tracklake.sources.tables import write_table
+
+    path, rows = staging_path(spark, "rerun"), views.events(spark, sf_dir)
+    write_table(rows, path, rows)
+    fixed = rows.filter("robot % 2 = 0 AND event_id div 4096 % 3 <> 1")
+    write_table(fixed, path, rows)
+    return spark.read.schema(rows.schema).parquet(path).groupBy("recording").agg(F.count(F.lit(1)).alias("n"))
