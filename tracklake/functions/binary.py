@@ -99,6 +99,18 @@ def with_real(df: DataFrame, name: str, bits: Column, is_double: Column) -> Data
     )
 
 
+def real(bits: Column, is_double: Column) -> Column:
+    """The value of ``with_real`` as one expression, where no column can be added (inside lambdas)."""
+    pick = lambda double, single: F.when(is_double, F.lit(double)).otherwise(F.lit(single))
+    top = F.call_function("shiftright", bits, pick(52, 23)).bitwiseAND(pick(4095, 511).cast("bigint"))
+    at = top.cast("int") + pick(0, 4096)
+    fraction = bits.bitwiseAND(pick((1 << 52) - 1, (1 << 23) - 1))
+    weight = F.get(F.split(F.lit(_WEIGHTS), ",").cast("array<double>"), at)
+    hidden = F.when(at.bitwiseAND(pick(2047, 255)) > 0, pick(1 << 52, 1 << 23)).otherwise(F.lit(0).cast("bigint"))
+    nan = (fraction > 0) & (F.abs(weight) == float("inf"))
+    return F.when(nan, float("nan")).otherwise((fraction + hidden).cast("double") * weight)
+
+
 def utf8_lossy(data: Column) -> Column:
     """UTF-8 text with U+FFFD for every bad sequence."""
     return F.make_valid_utf8(data.cast("string"))

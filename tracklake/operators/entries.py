@@ -136,49 +136,3 @@ def asof_values(probes: DataFrame, entries: DataFrame, min_rows: int = HOT_ROWS)
     return asof_join(
         probes, entries.select(*ENTRY_KEY, *VALUES), ["recording", "key"], "ts", min_rows=min_rows
     )
-
-
-def fields_of(struct_layout: DataFrame, struct_name: str) -> list[tuple[str, str]]:
-    """Leaf names and stored types of one struct (as long as its schema text)."""
-    rows = struct_layout.filter(F.col("struct_name") == struct_name).select("leaf_path", "prim").distinct()
-    return sorted((r["leaf_path"], "boolean" if r["prim"] == "bool" else r["prim"]) for r in rows.collect())
-
-
-def value_column(stored: str) -> str:
-    if stored in ("boolean", "float", "double", "string"):
-        return {"boolean": "v_bool"}.get(stored, f"v_{stored}")
-    return {"char": "v_string", "uint64": "v_dec", "raw": "v_binary"}.get(stored, "v_long")
-
-
-def wide_structs(entries: DataFrame, struct_keys: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
-    """One struct column per (recording, key, ts) from the leaves of a struct entry.
-
-    ``struct_keys`` is (recording, key) of the entries that hold the struct.
-    """
-    leaves = [name for name, _ in fields]
-    depth = {name: name.count("/") + 1 for name in leaves}
-    options = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.endswith("key", F.lit("/" + name)),
-                    F.struct(
-                        F.substring_index("key", "/", -depth[name]).alias("leaf"),
-                        F.expr(f"substring(key, 1, length(key) - {len(name) + 1})").alias("owner"),
-                    ),
-                )
-                for name in leaves
-            ]
-        ),
-        lambda x: x.isNotNull(),
-    )
-    rows = (
-        entries.withColumn("_leaf", F.explode(options))
-        .select("recording", F.col("_leaf.owner").alias("key"), "ts", F.col("_leaf.leaf").alias("leaf"), *VALUES)
-    )
-    rows = lookup_join(rows, struct_keys.select("recording", "key").distinct(), ["recording", "key"], "left_semi")
-    parts = [
-        F.any_value(F.when(F.col("leaf") == name, F.col(value_column(stored))), ignoreNulls=True).alias(name)
-        for name, stored in fields
-    ]
-    return rows.groupBy(*ENTRY_KEY).agg(F.struct(*parts).alias("value"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.functions import paths
-from tracklake.operators import context, entities, entries, quality
+from tracklake.operators import context, entities, entries, quality, wide
 from tracklake.plans.ingest import Ingest
 from tracklake.testkit import views
 
@@ -315,16 +315,16 @@ def struct_leaves(spark, sf_dir):
 
 @query(f"""
 WITH {LINES}
-SELECT recording, key, ts, l_partkey AS part, l_extendedprice AS price, l_returnflag AS flag, l_tax > 0.04 AS taxed FROM ln
+SELECT recording, key, ts, l_partkey AS part, l_extendedprice AS price, l_returnflag AS flag, l_linestatus AS status,
+       CAST(l_quantity AS BIGINT) || ',' || (l_linenumber - 4) AS pair, l_tax > 0.04 AS taxed FROM ln
 """)
 def struct_wide(spark, sf_dir):
     made = fresh(views.line_structs(spark, sf_dir))
-    fields = [f for f in entries.fields_of(made.struct_layout, "struct:Line") if f[0] not in ("pair",)]
-    holders = made.with_layout.select("recording", "key")
-    wide = entries.wide_structs(made.entries, holders, fields)
-    return wide.select(
-        "recording", "key", "ts", "value.part", F.col("value.`money/price`").alias("price"), "value.flag", "value.taxed"
-    )
+    rows = wide.wide_structs(made.with_layout, made.layouts, "struct:Line")
+    return rows.select(
+        "recording", "key", "ts", "value.part", F.col("value.`money/price`").alias("price"), "value.flag", "value.status",
+        F.array_join(F.col("value.pair").cast("array<string>"), ",").alias("pair"), "value.taxed",
+    )
 
 
 @query(f"""
