@@ -3,11 +3,11 @@
 Sharding. Of the 32-byte substrings of a 100-byte window, the one with the least hash (the
 leftmost of equal ones) is the window's anchor; equal windows have equal anchors at equal offsets.
 A first pass counts anchors. Only windows whose anchor stands in another place too go on.
-Neighbouring windows with the same anchor travel as one piece of text, in two halves by the
-anchor's offset, and are routed by the bytes that all windows of the half share (66 of 100), so
-equal windows meet in one shard. Anchors that are very frequent travel in finer pieces, which
-spread over shards by what stands beside the frequent passage. Equal pieces that meet in a
-task already go on once.
+Neighbouring windows with the same anchor travel as one piece of text and are routed by the bytes
+that all of them share, so equal windows meet in one shard. Windows of very frequent anchors
+travel in finer pieces, by the anchor's offset; they share more bytes, and so spread over
+shards by what stands beside the frequent passage. Equal pieces that meet in a task, or in a
+shard, go on once; the later ones are removed whole.
 
 Each shard is sorted by external induced sorting (``suffix_sort``): suffixes with a common prefix of
 100 bytes are equal windows, and all but the earliest are removed. Which windows are equal
@@ -37,7 +37,9 @@ SPAN = LIMIT - GRAM + 1
 BLOCK = 1 << 19
 _LOW = np.uint64((1 << 20) - 1)
 #: Offsets of an anchor in its windows that travel together: usually, and for frequent anchors.
-WIDTH, FINE_WIDTH = 35, 3
+WIDTH, FINE_WIDTH = SPAN, 3
+#: Bytes of pieces that are sorted together, in whole routes; a route of more is sorted alone.
+SHARD_BYTES = 4 << 20
 #: Documents from which on an anchor is frequent, and the most anchors that may be (they are broadcast: 0.8 MB).
 FREQUENT, MOST_FREQUENT = 1000, 100_000
 _CODES = np.random.default_rng(3).integers(1, 2**64, 256, dtype=np.uint64)
@@ -116,6 +118,17 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _joined(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Spans (doc_id, key, start, stop), those that meet made one."""
+    out: list[tuple[int, int, int, int]] = []
+    for d, k, s, e in sorted(spans):
+        if out and out[-1][:2] == (d, k) and s <= out[-1][3]:
+            out[-1] = d, k, out[-1][2], max(e, out[-1][3])
+        else:
+            out.append((d, k, s, e))
+    return out
+
+
 _PIECES = pa.schema([("route", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("piece", pa.binary())])
 
 
@@ -152,8 +165,9 @@ def _pieces(frequent):
                             if mine < other:
                                 first[r, piece], other, mine = mine, mine, other
                             if mine[:2] != other[:2]:
-                                gone.append((mine[2], mine[0], mine[2], mine[1], mine[1] + len(piece), None))
-            rows = [(r, d, k, s, s + len(p), p) for (r, p), (d, s, k) in first.items()] + gone
+                                gone.append((mine[0], mine[2], mine[1], mine[1] + len(piece)))
+            rows = [(r, d, k, s, s + len(p), p) for (r, p), (d, s, k) in first.items()]
+            rows += [(k, d, k, s, e, None) for d, k, s, e in _joined(gone)]
             for at in range(0, len(rows), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 50_000]), _PIECES)], schema=_PIECES)
 
@@ -163,50 +177,68 @@ def _pieces(frequent):
 _SPANS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
+def _spans_of(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_SPANS)
+
+
+def _later_windows(pieces: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+    """Of the windows of ``pieces`` (doc_id, start, key, piece), the spans of those that aren't the earliest of their kind."""
+    doc, start, key = (np.array([p[i] for p in pieces], np.int64) for i in range(3))
+    out = []
+    for members, group in repeats(p[3] for p in pieces):
+        r, begin = members[:, 0], start[members[:, 0]] + members[:, 1]
+        order = np.lexsort((begin, doc[r], group))
+        r, begin, group = r[order], begin[order], group[order]
+        head = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), np.arange(len(group)), 0))
+        later = (doc[r] != doc[r[head]]) | (begin != begin[head])
+        r, begin = r[later], begin[later]
+        order = np.lexsort((begin, key[r], doc[r]))
+        r, begin = r[order], begin[order]
+        if len(r):  # windows in a row are one span
+            heads = np.flatnonzero(np.append(True, (np.diff(begin) > 1) | (doc[r][1:] != doc[r][:-1]) | (key[r][1:] != key[r][:-1])))
+            tails = np.append(heads[1:], len(r)) - 1
+            out += zip(doc[r[heads]].tolist(), key[r[heads]].tolist(), begin[heads].tolist(), (begin[tails] + LIMIT).tolist(), strict=True)
+    return out
+
+
 def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One shard: the spans given as removed, and those of repeated windows that aren't the earliest."""
-    import tempfile
+    """The spans given as removed, and those of repeated windows that aren't the earliest. Rows come sorted by route."""
+    gone: list[tuple[int, int, int, int]] = []
+    shard: list[tuple[int, int, int, bytes]] = []
+    held, now, here = 0, None, {}
 
-    columns, sizes = [], []
-    with tempfile.TemporaryFile() as pieces:
-        for batch in batches:
-            given = batch.filter(batch.column("piece").is_null())
-            yield given.select(_SPANS.names)
-            batch = batch.filter(batch.column("piece").is_valid())
-            columns.append(np.stack([batch.column(c).to_numpy() for c in ("route", "doc_id", "key", "start")]))
-            for p in batch.column("piece").to_pylist():
-                pieces.write(p)
-                sizes.append(len(p))
-        if not sizes:
-            return
-        route, doc, key, start = np.concatenate(columns, axis=1)
-        size = np.array(sizes, np.int64)
-        at = np.append(0, np.cumsum(size)[:-1])
+    def end_route() -> int:
         # a piece alone in its route repeats nothing
-        _, number, count = np.unique(route, return_inverse=True, return_counts=True)
-        row = np.flatnonzero(count[number] > 1)
-        row = row[np.lexsort((start[row], doc[row], number[row]))]
-
-        def texts() -> Iterator[bytes]:
-            for r in row:
-                pieces.seek(at[r])
-                yield pieces.read(size[r])
-
-        for members, group in repeats(texts()) if len(row) else ():
-            r, offset = row[members[:, 0]], members[:, 1]
-            begin = start[r] + offset
-            order = np.lexsort((begin, doc[r], group))
-            r, begin, group = r[order], begin[order], group[order]
-            head = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), np.arange(len(group)), 0))
-            later = (doc[r] != doc[r[head]]) | (begin != begin[head])
-            r, begin = r[later], begin[later]
-            order = np.lexsort((begin, key[r], doc[r]))
-            r, begin = r[order], begin[order]
-            # windows in a row are one span
-            new = np.append(True, (np.diff(begin) > 1) | (doc[r][1:] != doc[r][:-1]) | (key[r][1:] != key[r][:-1])) if len(r) else np.zeros(0, bool)
-            heads = np.flatnonzero(new)
-            tails = np.append(heads[1:], len(r)) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(doc[r[heads]]), pa.array(key[r[heads]]), pa.array(begin[heads]), pa.array(begin[tails] + LIMIT)] if len(r) else [pa.array([], pa.int64())] * 4, schema=_SPANS)
+        if len(here) > 1:
+            shard.extend((*of, piece) for piece, of in here.items())
+            return sum(map(len, here))
+        return 0
+
+    for batch in batches:
+        for route, doc, key, start, stop, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if piece is None:
+                gone.append((doc, key, start, stop))
+                continue
+            if route != now:
+                held += end_route()
+                now, here = route, {}
+                if held >= SHARD_BYTES:
+                    gone += _later_windows(shard)
+                    shard.clear()
+                    held = 0
+            mine = doc, start, key
+            other = here.setdefault(piece, mine)
+            if mine < other:
+                here[piece], other, mine = mine, mine, other
+            if mine[:2] != other[:2]:
+                gone.append((mine[0], mine[2], mine[1], mine[1] + len(piece)))
+        yield _spans_of(_joined(gone))
+        gone.clear()
+    end_route()
+    if shard:
+        gone += _later_windows(shard)
+    yield _spans_of(_joined(gone))
 
 
 def _kept(text: pa.Scalar, spans: pa.Scalar, doc_id: int | None) -> tuple[bytes, np.ndarray, int]:
@@ -256,7 +288,7 @@ def _with_spans(spark: SparkSession, docs: DataFrame, frequent: int) -> DataFram
     often = spark.sparkContext.broadcast(np.array(sorted(r["anchor"] for r in often.collect()), np.int64))
     anchors = known.where("key IS NOT NULL").groupBy("key").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
     pieces = docs.join(anchors, "key", "left").mapInArrow(_pieces(often), "route long, doc_id long, key long, start long, stop long, piece binary")
-    spans = pieces.repartition("route").mapInArrow(_sorted_out, "doc_id long, key long, start long, stop long")
+    spans = pieces.repartition("route").sortWithinPartitions("route").mapInArrow(_sorted_out, "doc_id long, key long, start long, stop long")
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "stop")).alias("spans"))
     return docs.join(spans, "key", "left")
 

@@ -17,6 +17,7 @@ pairs of names twice as far apart in each recursion until all differ in what the
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -32,8 +33,8 @@ HELD = 1 << 21
 class Queues:
     """A first-in-first-out queue of (position, common prefix) per byte; the longest goes to disk when memory is full."""
 
-    def __init__(self, folder: Path, held: int):
-        self.folder, self.held, self.size = folder, held, 0
+    def __init__(self, folder: Path, held: int, place: type):
+        self.folder, self.held, self.place, self.size = folder, held, place, 0
         self.parts: list[list] = [[] for _ in range(256)]
         self.sizes = np.zeros(256, np.int64)
         self.read = [0] * 256
@@ -58,11 +59,12 @@ class Queues:
         """All tuples of a byte, also those pushed meanwhile, in pieces."""
         while True:
             path = self.folder / f"{byte}p"
-            done = path.stat().st_size // 8 if path.exists() else 0
+            width = np.dtype(self.place).itemsize
+            done = path.stat().st_size // width if path.exists() else 0
             if self.read[byte] < done:
                 at, n = self.read[byte], min(PIECE, done - self.read[byte])
                 self.read[byte] += n
-                yield np.fromfile(path, np.int64, n, offset=8 * at), np.fromfile(self.folder / f"{byte}c", np.uint8, n, offset=at)
+                yield np.fromfile(path, self.place, n, offset=width * at), np.fromfile(self.folder / f"{byte}c", np.uint8, n, offset=at)
             elif self.parts[byte]:
                 parts, self.parts[byte] = self.parts[byte], []
                 self.size -= int(self.sizes[byte])
@@ -71,14 +73,16 @@ class Queues:
                 for at in range(0, len(position), PIECE):
                     yield position[at : at + PIECE], prefix[at : at + PIECE]
             else:
+                path.unlink(missing_ok=True)
+                (self.folder / f"{byte}c").unlink(missing_ok=True)
                 return
 
 
 class Buckets:
     """The visited suffixes of one kind, by byte, in files."""
 
-    def __init__(self, folder: Path):
-        self.folder = folder
+    def __init__(self, folder: Path, place: type):
+        self.folder, self.place = folder, place
         folder.mkdir()
 
     def add(self, byte: int, position: np.ndarray, prefix: np.ndarray) -> None:
@@ -89,11 +93,12 @@ class Buckets:
     def pieces(self, byte: int, backwards: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pieces of a byte's suffixes, from the last one on if ``backwards`` (inside a piece too)."""
         path = self.folder / f"{byte}p"
-        n = path.stat().st_size // 8 if path.exists() else 0
+        width = np.dtype(self.place).itemsize
+        n = path.stat().st_size // width if path.exists() else 0
         starts = range(0, n, PIECE)
         for at in reversed(starts) if backwards else starts:
             k = min(PIECE, n - at)
-            p, c = np.fromfile(path, np.int64, k, offset=8 * at), np.fromfile(self.folder / f"{byte}c", np.uint8, k, offset=at)
+            p, c = np.fromfile(path, self.place, k, offset=width * at), np.fromfile(self.folder / f"{byte}c", np.uint8, k, offset=at)
             yield (p[::-1], c[::-1]) if backwards else (p, c)
 
 
@@ -108,14 +113,21 @@ class Shard:
                 ends.append(at - 1)
             f.write(b"\0" * (limit + 16))
         self.n, self.ends = at, np.array(ends, np.int64)
-        self.text = np.memmap(self.folder / "text", np.uint8, "r")
+        self.text = np.asarray(np.memmap(self.folder / "text", np.uint8, "r"))  # on disk still, without the overhead of a subclass
         self._words = np.lib.stride_tricks.sliding_window_view(self.text, 8)
+        self.place = np.int32 if self.n < 1 << 31 else np.int64
+        self.until = np.asarray(np.memmap(self.folder / "until", np.uint16, "w+", shape=(self.n,)))
+        for i in range(0, len(self.ends), PIECE):
+            ends = self.ends[i : i + PIECE]
+            begin = self.ends[i - 1] + 1 if i else 0
+            lengths = np.diff(np.append(begin - 1, ends))
+            self.until[begin : ends[-1] + 1] = np.minimum(np.repeat(ends, lengths) - np.arange(begin, ends[-1] + 1), 65535)
         self._types()
         self._runs = 0
 
     def _types(self) -> None:
         """Type S (true) or L of every suffix: a byte decides by the next different one."""
-        self.is_s = np.memmap(self.folder / "types", bool, "w+", shape=(self.n,))
+        self.is_s = np.asarray(np.memmap(self.folder / "types", bool, "w+", shape=(self.n,)))
         later = True  # the last sentinel
         for stop in range(self.n, 0, -PIECE):
             start = max(0, stop - PIECE)
@@ -130,9 +142,8 @@ class Shard:
             later = bool(self.is_s[start])
 
     def common(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | int) -> np.ndarray:
-        """Common prefix of the suffixes at ``a`` and ``b``, at most ``limit``; sentinels all differ."""
-        most = np.minimum(self.ends[np.searchsorted(self.ends, a)] - a, self.ends[np.searchsorted(self.ends, b)] - b)
-        most = np.minimum(most, limit)
+        """Common prefix of the suffixes at ``a`` and ``b``, at most ``limit`` and 65,535; sentinels all differ."""
+        most = np.minimum(np.minimum(self.until[a], self.until[b]), limit).astype(np.int64)
         out, live, at = most.copy(), np.arange(len(a)), 0
         while len(live):
             differ = self._words[a[live] + at] != self._words[b[live] + at]
@@ -145,7 +156,7 @@ class Shard:
 
     def _visit(self, position, prefix, running, queues: Queues, want_s: bool) -> None:
         """Hand the predecessors of type ``want_s`` to their queues."""
-        before = position - 1
+        before = position - self.place(1)
         ok = before >= 0
         ok[ok] = self.is_s[before[ok]] == want_s
         byte = np.where(ok, self.text[before], 0)  # a sentinel is never handed on
@@ -173,9 +184,9 @@ class Shard:
         self._runs += 1
         base = self.folder / f"run{self._runs}"
         base.mkdir()
-        low, high = Buckets(base / "low"), Buckets(base / "high")
+        low, high = Buckets(base / "low", self.place), Buckets(base / "high", self.place)
         heads = np.searchsorted(self.text[lms], np.arange(257)) if len(lms) else np.zeros(257, np.int64)
-        queues, running = Queues(base / "up", self.held), np.full(256, -1, np.int16)
+        queues, running = Queues(base / "up", self.held, self.place), np.full(256, -1, np.int16)
         for c in range(256):
             last = None
             for p, x in queues.pop(c):
@@ -187,7 +198,7 @@ class Shard:
                 if at == heads[c]:
                     x[0] = 0 if last is None or c == 0 else self.common(np.array([last]), p[:1], self.limit)[0]
                 self._visit(p, x, running, queues, False)
-        queues, running = Queues(base / "down", self.held), np.full(256, -1, np.int16)
+        queues, running = Queues(base / "down", self.held, self.place), np.full(256, -1, np.int16)
         for c in range(255, 0, -1):
             last = None
             for p, x in queues.pop(c):
@@ -219,14 +230,15 @@ class Shard:
         self._settle(rank, at[~new_name | ~np.append(new_name[1:], True)], 2 * step)
 
     def sorted_lms(self) -> tuple[np.ndarray, np.ndarray]:
-        lms = np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1
+        lms = (np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1).astype(self.place)
         if not len(lms):
             return lms, np.zeros(0, np.uint8)
         _, high = self.induce(lms[np.argsort(self.text[lms], kind="stable")], np.zeros(len(lms), np.uint8))
-        found = [self.ends]
+        found = [self.ends.astype(self.place)]
         for c in range(1, 256):
             for p, _ in high.pieces(c, backwards=True) if c else ():
                 found.append(p[(p > 0) & ~self.is_s[p - 1]])
+        shutil.rmtree(self.folder / "run1")
         # pieces of a byte come from its last on, each backwards: ascending over all
         order = np.concatenate(found)
         length = np.append(np.diff(lms), 1)
@@ -272,7 +284,7 @@ def repeats(strings: Iterator[bytes], held: int = HELD, limit: int = LIMIT) -> I
     """
     with tempfile.TemporaryDirectory(prefix="suffixes-") as folder:
         shard = Shard(strings, folder, held, limit)
-        waiting, number = np.zeros(0, np.int64), 0
+        waiting, number = np.zeros(0, shard.place), 0
         for position, prefix in shard.suffixes():
             starts = np.flatnonzero(prefix < limit)
             if not len(starts):
