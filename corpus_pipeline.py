@@ -30,7 +30,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least doc_id, and one row of it."""
-    found = Stage(spark, "near-copies")(minhash.near_duplicates(spark, docs), "groups")
+    tables = Stage(spark, "near-copies-work")
+    found = Stage(spark, "near-copies")(minhash.near_duplicates(spark, docs, stage=tables), "groups")
+    tables.clear()
     left = _without(spark, docs, found.where("component_id IS NOT NULL AND NOT kept").select("doc_id"), "near-copies")
     twice = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():

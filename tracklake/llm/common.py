@@ -44,17 +44,21 @@ class Stage:
         for name in names:
             unstage(self.spark, self.paths.pop(name))
 
+    def clear(self) -> None:
+        self.drop(*list(self.paths))
 
-def components(spark: SparkSession, edges: DataFrame, label: str, max_rounds: int = 200) -> DataFrame:
+
+def components(spark: SparkSession, edges: DataFrame, label: str, max_rounds: int = 200, stage: Stage | None = None) -> DataFrame:
     """Connected components of the undirected ``edges`` (a, b): one row (id, component) per node with an edge.
 
     ``component`` is the smallest id reachable. Large-star and small-star steps take turns
     until the edges are stars; a hub's edges are joined to its minimum, which is
-    aggregated map-side first, and never gathered in one group. Null ends are ignored.
+    aggregated map-side first, and never gathered in one group. Null ends are ignored. The
+    stars are read from a table of ``stage``.
     """
-    stage = Stage(spark, label)
+    stage = stage or Stage(spark, label)
     edges = edges.select("a", "b").where("a <> b")
-    now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges-0")
+    now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-edges-0")
     state = None
     for turn in range(max_rounds):
         seen = now.agg(F.count("a").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
@@ -68,8 +72,8 @@ def components(spark: SparkSession, edges: DataFrame, label: str, max_rounds: in
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").selectExpr("b AS a", "m AS b").where("a <> b")
         after = small.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        after = stage(after, f"edges-{turn + 1}")
-        stage.drop(f"edges-{turn}")
+        after = stage(after, f"{label}-edges-{turn + 1}")
+        stage.drop(f"{label}-edges-{turn}")
         now = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -216,9 +216,9 @@ def _confirmed(stage: Stage, pairs: DataFrame, docs: DataFrame, width: int, perc
     return pairs, out
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
-    stage = Stage(spark, "minhash")
+def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80, stage: Stage | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text), read from tables of ``stage``."""
+    stage = stage or Stage(spark, "minhash")
     docs = exact(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     schema = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"
     every = stage(docs.mapInArrow(_signatures(width), schema), "signatures")
@@ -240,7 +240,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     tried, links = _confirmed(stage, first, docs, width, percent, "first")
     # buckets in which several components are left
     for name, closest in (("closest", CLOSEST), ("rest", None)):
-        settled = stage(components(spark, links, f"minhash-{name}"), f"{name}-settled")
+        settled = stage(components(spark, links, f"minhash-{name}", stage=stage), f"{name}-settled")
         placed = buckets.select("band", "doc_id").join(settled.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         placed = stage(placed, f"{name}-placed")
         across = _gathered(_meetings(placed, sketches, stage, name), "band", "meeting").mapInArrow(_in_groups(_across(closest)), "a long, b long")
@@ -249,7 +249,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
         tried, links = tried.unionByName(pairs), settled.selectExpr("id AS a", "component AS b").unionByName(more)
         stage.drop(f"{name}-placed", f"{name}-cut")
     stage.drop("reps", "buckets")
-    final = components(spark, links, "minhash-last").withColumnsRenamed({"id": "rep", "component": "joined"})
+    final = components(spark, links, "minhash-last", stage=stage).withColumnsRenamed({"id": "rep", "component": "joined"})
     # the classes' members follow their representative
     members = every.select("doc_id", "n_shingles", "f1", "f2").join(classes.join(final, "rep", "left"), ["n_shingles", "f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("joined", "rep", "doc_id"))
