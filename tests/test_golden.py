@@ -65,10 +65,9 @@ def test_record(spark, frame, want):
 
 
 def test_multi_record(spark):
-    start = bytes.fromhex("20 00 2c 40 42 0f 00 01 00 00 00 05 00 00 00") + b"robot" + bytes.fromhex(
+    start = bytes.fromhex("20 00 2b 40 42 0f 00 01 00 00 00 05 00 00 00") + b"robot" + bytes.fromhex(
         "05 00 00 00"
     ) + b"int64" + bytes.fromhex("10 00 00 00") + b'{"source":"log"}'
-    start = start[:2] + bytes([len(start) - 6]) + start[3:]
     raw = bytes.fromhex("20 01 04 72 42 0f") + b"cool"
     end = bytes.fromhex("20 00 05 a4 42 0f 01 01 00 00 00")
     got = ingest(spark, start, raw, end)
