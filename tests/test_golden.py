@@ -81,5 +81,5 @@ def test_multi_record(spark):
     assert bytes(rows[1].data) == b"cool"
     bad = got.quarantine.collect()
     assert [(r.seq, r.key, r.n_bytes, r.stage, r.reason) for r in bad] == [
-        (1, "robot", 4, "value", "not enough data for int64")
+        (1, "robot", 4, "value", "too few bytes for a int64")
     ]

@@ -48,13 +48,13 @@ def element_bytes() -> Column:
 def value_issue() -> Column:
     """Why a keyed row of a plain (non-struct) type cannot be decoded; NULL if it can."""
     base, size, width = F.col("base_type"), F.octet_length("data"), element_bytes()
-    short = F.concat(F.lit("not enough data for "), base)
+    short = F.concat(F.lit("too few bytes for a "), base)
     return (
-        F.when(base == "json", "json not implemented")
-        .when(F.col("is_array") & base.isin("raw", "string"), F.concat(base, F.lit(" cannot be used as an array")))
+        F.when(base == "json", "json values are not decoded")
+        .when(F.col("is_array") & base.isin("raw", "string"), F.concat(base, F.lit(" has no array form")))
         .when(F.col("is_array") & (F.pmod(size, width) != 0), "trailing partial element")
         .when(~F.col("is_array") & base.isin("int64", "float", "double") & (size < width), short)
-        .when(~base.isin(*SCALAR_TYPES), "unknown data type")
+        .when(~base.isin(*SCALAR_TYPES), "no such type")
     )
 
 

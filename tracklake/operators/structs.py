@@ -113,7 +113,7 @@ def struct_issue() -> Column:
         F.when(F.col("layout.problem").isNotNull(), F.col("layout.problem"))
         .when(F.col("is_array") & (whole == 0), "zero-size struct array")
         .when(F.col("is_array") & (F.pmod(size, F.nullif(whole, F.lit(0).cast("bigint"))) != 0), "trailing partial element")
-        .when(~F.col("is_array") & (size < whole), "not enough data for struct")
+        .when(~F.col("is_array") & (size < whole), "too few bytes for a struct")
     )
 
 

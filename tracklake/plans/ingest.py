@@ -158,7 +158,7 @@ class Ingest:
 
     @cached_property
     def component_rows(self) -> DataFrame:
-        return stage(entities.component_rows(self.entries, self.trigger, self.min_rows), "component-rows")
+        return stage(entities.component_rows(self.stored_entries, self.trigger, self.min_rows), "component-rows")
 
     @cached_property
     def entity_rows(self) -> DataFrame:

@@ -10,6 +10,8 @@ from tracklake.functions.binary import le_unsigned
 # Fixed values of the log format.
 MAGIC = b"WPILOG"
 VERSION = 0x0100
+
+# Properties that every recording carries for the viewer; not part of the format.
 STORE_SOURCE = "WpiLog"
 RECORDING_NAME = "WpiLog"
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"

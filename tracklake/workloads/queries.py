@@ -553,8 +553,8 @@ SELECT entry_type, stage, reason, count(*) AS n FROM (
   SELECT CASE event_id % 8 WHEN 0 THEN 'json' WHEN 1 THEN 'int64' WHEN 2 THEN 'string[]' WHEN 3 THEN 'color'
                            WHEN 4 THEN 'double[]' END AS entry_type,
          CASE WHEN event_id % 8 = 7 THEN 'context' ELSE 'value' END AS stage,
-         CASE event_id % 8 WHEN 0 THEN 'json not implemented' WHEN 1 THEN 'not enough data for int64'
-              WHEN 2 THEN 'string cannot be used as an array' WHEN 3 THEN 'unknown data type'
+         CASE event_id % 8 WHEN 0 THEN 'json values are not decoded' WHEN 1 THEN 'too few bytes for a int64'
+              WHEN 2 THEN 'string has no array form' WHEN 3 THEN 'no such type'
               WHEN 4 THEN 'trailing partial element' ELSE 'no context' END AS reason
   FROM events WHERE event_id % 8 NOT IN (5, 6)) GROUP BY ALL
 """)
