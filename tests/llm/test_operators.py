@@ -311,6 +311,25 @@ def test_main_text_without_templates_and_boilerplate(spark):
     assert html_text.main_text(spark, pages.limit(0)).count() == 0
 
 
+def test_running_text_of_copies_and_repeated_passages_stays(spark):
+    wrapped = "<div class=c><p>A passage that many hold</p></div><ul><li>same item</ul><table><tr><td>same cell</td></tr></table><section><p>Quoted</p></section>"
+    links = "<ul><li><a href=/>Home</a><li><a href=/x>More</a></ul>"
+    rows = [(i, f"http://h.com/{i}", f"<article><p>Own {i}</p>{wrapped}<div>box</div>{links}</article>") for i in range(8)]
+    copy = "<body><nav>{}</nav><div><p>One story</p></div><div>told</div></body>"
+    rows += [(20 + i, f"http://c.com/{i}", copy.format(i)) for i in range(6)] + [(30, "http://r.com/", copy)] * 6
+    rows += [(40 + i, f"http://p.com/{i}", f"<body><div><p>Story {i}</p></div>{'<div><p>Passage</p></div>' if i < 6 else ''}<div><p>Rules</p></div></body>") for i in range(20)]
+    rows += [(70 + i, f"http://a.com/{i}", f"<article><div><p>Copied story</p></div></article><nav>{i}</nav>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for hashes in (10_000, 0):
+        out = html_text.main_text(spark, pages.repartition(5), broadcast_hashes=hashes)
+        assert out.count() == len(rows)
+        got = {r["page_id"]: r["text"].split("\n") for r in out.collect()}
+        assert all(got[i] == [f"Own {i}", "A passage that many hold", "same item", "same cell", "Quoted"] for i in range(8))
+        assert all(got[i] == ["One story", "told"] for i in [*range(20, 26), 30])
+        assert all(got[40 + i] == [f"Story {i}", *(["Passage"] if i < 6 else [])] for i in range(20))
+        assert all(got[70 + i] == ["Copied story"] for i in range(6))
+
+
 # --- minhash
 
 

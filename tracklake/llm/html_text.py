@@ -1,13 +1,15 @@
 """Main text of web pages, without what a site repeats on its pages.
 
 1. Every page is parsed once; each element's subtree (tag, class, text and children) is hashed together
-   with the page's host, and Spark counts the pages that hold each hash.
+   with the page's host. Pages of a host whose text is the same, boilerplate and what is outside the article
+   aside, are copies and count once; Spark counts the different pages that hold each hash.
 2. Subtrees on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages are site
    templates. Pages are parsed again; templates, elements that are never article text (menus,
    forms, scripts, comments and the like, by tag, role or class) and everything
    outside ``<article>``, or else ``<main>``, if there is one, are left out. Inside the
-   article, running text (paragraphs, headings, quotes, list items) is never a template,
-   since passages may recur for good reasons.
+   article, running text (paragraphs, headings, quotes, list items, table cells), what it stands in and what
+   it holds is never a template, since passages may recur for good reasons; a list of nothing but
+   links is no running text. On pages without an article it is a template only on ``MOST`` of the host's pages.
 
 Null or empty html gives empty text; unclosed, misnested and truncated markup is read as far as it
 goes; pages with null urls share the empty host; repeated rows are each extracted.
@@ -30,6 +32,8 @@ from tracklake.llm.url_filter import host_of
 
 MIN_PAGES = 5
 MIN_SHARE = 0.02
+#: Share of the host's pages that makes running text a template where no article is marked.
+MOST = 0.5
 #: Template hashes that a broadcast may hold: 16 MB.
 BROADCAST_HASHES = 2_000_000
 
@@ -53,6 +57,8 @@ DROP_NAMES = _words(
 )
 ARTICLE_NAMES = _words("article post entry story content title main body")
 TEXT_TAGS = _words("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption address article main body html")
+#: Elements whose text is running text.
+PROSE_TAGS = TEXT_TAGS - _words("article main body html")
 #: An open element that a start tag closes, up to the named limits.
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "table tr"), "th": ("td th", "table tr"), "option": ("option", "select")}
 CLOSES = {k: (_words(a), _words(b)) for k, (a, b) in CLOSES.items()}
@@ -77,6 +83,7 @@ class Page:
         self.host = host.encode()
         self.parent, self.tag, self.drop, self.digest = [-1], [""], [False], [b""]
         self.blocks: list[tuple[int, str]] = []  # the innermost block element, and the text
+        self.says = [False]  # text of its own that is no link
         self._stack, self._parts, self._text = [0], [[]], []
         self._articles = 0
         self._read(html)
@@ -96,6 +103,7 @@ class Page:
         self.tag.append(tag)
         self.drop.append(_boilerplate(tag, attrs, self._articles > 0))
         self.digest.append(b"")
+        self.says.append(False)
         self._stack.append(len(self.tag) - 1)
         self._parts.append([f"{tag}.{attrs.get('class', '')}".encode("utf-8", "replace")])
         self._articles += tag == "article"
@@ -135,6 +143,8 @@ class Page:
         if text:
             if self.drop[self._stack[-1]] is False or text.strip():
                 self._parts[-1].append(_SPACE.sub(" ", text).encode("utf-8", "replace"))
+            if text.strip() and not any(self.tag[e] == "a" for e in self._stack):
+                self.says[self._stack[-1]] = True
             self._text.append(entities.unescape(text))
 
     def _read(self, html: str) -> None:
@@ -185,16 +195,50 @@ class Page:
         """Hashes of the subtrees that could be a template."""
         return {int.from_bytes(d, "little", signed=True) for d, t in zip(self.digest, self.tag, strict=True) if d and t not in INLINE and t not in ("html", "body", "head", "br")}
 
-    def text(self, templates: frozenset[int]) -> str:
+    def _outline(self) -> tuple[list[bool], list[bool], bool]:
+        """Per element: dropped by itself or an element around it, within the article; and if there is an article."""
         n = len(self.tag)
         gone, within = [False] * n, [False] * n
         root = next((r for r in ("article", "main") if any(t == r and not self.drop[i] for i, t in enumerate(self.tag))), None)
         for e in range(1, n):
             p = self.parent[e]
+            gone[e] = gone[p] or self.drop[e]
             within[e] = within[p] or self.tag[e] == root
-            repeated = self.tag[e] not in INLINE and int.from_bytes(self.digest[e], "little", signed=True) in templates
-            gone[e] = gone[p] or self.drop[e] or (repeated and not (root and within[e] and self.tag[e] in TEXT_TAGS) and self.tag[e] not in ("html", "body"))
-        return "\n".join(text for e, text in self.blocks if not gone[e] and (root is None or within[e]))
+        return gone, within, root is not None
+
+    def _running(self, gone: list[bool], within: list[bool], rooted: bool) -> list[bool]:
+        """Per element: it is or holds running text, or is part of it."""
+        n = len(self.tag)
+        says, holds = [says and not gone[e] for e, says in enumerate(self.says)], [False] * n
+        for e in range(n - 1, 0, -1):
+            p = self.parent[e]
+            holds[e] = holds[e] or (says[e] and self.tag[e] in PROSE_TAGS)
+            says[p], holds[p] = says[p] or says[e], holds[p] or holds[e]
+        inside = [False] * n
+        for e in range(1, n):
+            p = self.parent[e]
+            inside[e] = (inside[p] or self.tag[p] in PROSE_TAGS) and (within[p] or not rooted)
+        return [a or b for a, b in zip(holds, inside, strict=True)]
+
+    def body(self) -> bytes:
+        """A hash of the page's text without boilerplate and what is outside the article; equal for copies."""
+        gone, within, rooted = self._outline()
+        text = "\n".join(text for e, text in self.blocks if not gone[e] and (within[e] or not rooted))
+        return blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
+
+    def text(self, templates: frozenset[int], everywhere: frozenset[int]) -> str:
+        """The main text; ``everywhere`` are the templates on most pages of the host."""
+        gone, within, rooted = self._outline()
+        running = self._running(gone, within, rooted)
+        for e in range(1, len(self.tag)):
+            gone[e] = gone[e] or gone[self.parent[e]]
+            if gone[e] or self.tag[e] in INLINE or self.tag[e] in ("html", "body"):
+                continue
+            h = int.from_bytes(self.digest[e], "little", signed=True)
+            if h not in templates or (within[e] and (running[e] or self.tag[e] in TEXT_TAGS)):
+                continue
+            gone[e] = rooted or not running[e] or h in everywhere
+        return "\n".join(text for e, text in self.blocks if not gone[e] and (within[e] or not rooted))
 
 
 def _hosted(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
@@ -205,12 +249,21 @@ def _host_key(host: str) -> int:
     return int.from_bytes(blake2b(host.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held: dict[tuple[int, bytes], bytes] = {}
+        for host, html in _hosted(batch):
+            page = Page(html, host)
+            of, subtrees = (_host_key(host), page.body()), np.array(sorted(page.hashes()), np.int64).tobytes()
+            held[of] = max(held.get(of, b""), subtrees)
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int64()), pa.array([b for _, b in held], pa.binary()), pa.array(held.values(), pa.binary())], names=["host", "body", "subtrees"])
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[tuple[int, int], int] = {}
-        for host, page in _hosted(batch):
-            key = _host_key(host)
-            for h in [*Page(page, host).hashes(), key]:
+        for key, subtrees in zip(batch.column("host").to_pylist(), batch.column("subtrees").to_pylist(), strict=True):
+            for h in [*np.frombuffer(subtrees, np.int64).tolist(), key]:
                 seen[key, h] = seen.get((key, h), 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.int64()), pa.array([h for _, h in seen], pa.int64()), pa.array(seen.values(), pa.int64())], names=["host", "subtree", "pages"])
 
@@ -223,10 +276,10 @@ def _of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _extract(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = frozenset(shared.value.tolist()) if shared else frozenset()
+        common = [frozenset(found.tolist()) for found in shared.value] if shared else None
         for batch in batches:
-            own = batch.column("templates").to_pylist() if shared is None else None
-            texts = [Page(page, host).text(common if own is None else frozenset(own[i] or ())) for i, (host, page) in enumerate(_hosted(batch))]
+            own = None if common else [[frozenset(found or ()) for found in both] for both in zip(batch.column("templates").to_pylist(), batch.column("everywhere").to_pylist(), strict=True)]
+            texts = [Page(page, host).text(*(common or own[i])) for i, (host, page) in enumerate(_hosted(batch))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return run
@@ -236,15 +289,17 @@ def main_text(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html)."""
     stage = Stage(spark, "html")
     pages = exact(pages, "page_id", "url", "html").withColumn("host", host_of(F.col("url")))
-    counted = pages.mapInArrow(_subtrees, "host long, subtree long, pages long").groupBy("host", "subtree").agg(F.sum("pages").alias("pages"))
+    bodies = pages.mapInArrow(_bodies, "host long, body binary, subtrees binary").groupBy("host", "body").agg(F.max("subtrees").alias("subtrees"))
+    counted = bodies.mapInArrow(_subtrees, "host long, subtree long, pages long").groupBy("host", "subtree").agg(F.sum("pages").alias("pages"))
     counted = stage(counted.where((F.col("pages") >= min_pages) | (F.col("host") == F.col("subtree"))), "counts")
     hosts = counted.where("host = subtree").select("host", F.col("pages").alias("all_pages"))
-    templates = stage(counted.where("host <> subtree").join(hosts, "host").where(F.col("pages") >= F.greatest(F.lit(min_pages), F.col("all_pages") * min_share)).select("subtree").distinct(), "templates")
+    templates = stage(counted.where("host <> subtree").join(hosts, "host").where(F.col("pages") >= F.greatest(F.lit(min_pages), F.col("all_pages") * min_share)).groupBy("subtree").agg(F.max(F.col("pages") >= F.col("all_pages") * MOST).alias("most")), "templates")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
     if templates.count() <= broadcast_hashes:
-        shared = spark.sparkContext.broadcast(np.array([r[0] for r in templates.collect()], np.int64))
+        found = templates.collect()
+        shared = spark.sparkContext.broadcast([np.array([r["subtree"] for r in found if r["most"] or not most], np.int64) for most in (False, True)])
         return pages.mapInArrow(_extract(shared), schema)
-    each = pages.mapInArrow(_of_pages, "page_id long, subtree long").join(templates, "subtree", "left_semi").groupBy("page_id").agg(F.collect_set("subtree").alias("templates"))
+    each = pages.mapInArrow(_of_pages, "page_id long, subtree long").join(templates, "subtree").groupBy("page_id").agg(F.collect_set("subtree").alias("templates"), F.collect_set(F.when(F.col("most"), F.col("subtree"))).alias("everywhere"))
     return pages.join(each, "page_id", "left").mapInArrow(_extract(None), schema)
 
 
