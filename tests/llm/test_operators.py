@@ -330,6 +330,14 @@ def test_running_text_of_copies_and_repeated_passages_stays(spark):
         assert all(got[70 + i] == ["Copied story"] for i in range(6))
 
 
+def test_templates_of_a_large_host_need_no_share_of_it(spark):
+    rows = [(i, f"http://h.com/{i}", f"<article><p>Own {i}</p>{'<div>Notice</div>' if i < 8 else ''}</article>") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for many, notice in ((8, []), (9, ["Notice"])):
+        got = by_id(html_text.main_text(spark, pages, many_pages=many), "page_id")
+        assert all(r["text"].split("\n") == [f"Own {i}", *(notice if i < 8 else [])] for i, r in got.items())
+
+
 # --- minhash
 
 

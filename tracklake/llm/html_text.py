@@ -3,8 +3,8 @@
 1. Every page is parsed once; each element's subtree (tag, class, text and children) is hashed together
    with the page's host. Pages of a host whose text is the same, boilerplate and what is outside the article
    aside, are copies and count once; Spark counts the different pages that hold each hash.
-2. Subtrees on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages are site
-   templates. Pages are parsed again; templates, elements that are never article text (menus,
+2. Subtrees on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages, or on
+   ``MANY_PAGES`` pages of a host of any size, are site templates. Pages are parsed again; templates, elements that are never article text (menus,
    forms, scripts, comments and the like, by tag, role or class) and everything
    outside ``<article>``, or else ``<main>``, if there is one, are left out. Inside the
    article, running text (paragraphs, headings, quotes, list items, table cells), what it stands in and what
@@ -32,6 +32,8 @@ from tracklake.llm.url_filter import host_of
 
 MIN_PAGES = 5
 MIN_SHARE = 0.02
+#: Pages that are enough on a host of any size.
+MANY_PAGES = 1000
 #: Share of the host's pages that makes running text a template where no article is marked.
 MOST = 0.5
 #: Template hashes that a broadcast may hold: 16 MB.
@@ -285,7 +287,7 @@ def _extract(shared):
     return run
 
 
-def main_text(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+def main_text(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast_hashes: int = BROADCAST_HASHES, many_pages: int = MANY_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html)."""
     stage = Stage(spark, "html")
     pages = exact(pages, "page_id", "url", "html").withColumn("host", host_of(F.col("url")))
@@ -293,7 +295,8 @@ def main_text(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
     counted = bodies.mapInArrow(_subtrees, "host long, subtree long, pages long").groupBy("host", "subtree").agg(F.sum("pages").alias("pages"))
     counted = stage(counted.where((F.col("pages") >= min_pages) | (F.col("host") == F.col("subtree"))), "counts")
     hosts = counted.where("host = subtree").select("host", F.col("pages").alias("all_pages"))
-    templates = stage(counted.where("host <> subtree").join(hosts, "host").where(F.col("pages") >= F.greatest(F.lit(min_pages), F.col("all_pages") * min_share)).groupBy("subtree").agg(F.max(F.col("pages") >= F.col("all_pages") * MOST).alias("most")), "templates")
+    enough = F.greatest(F.lit(min_pages), F.least(F.col("all_pages") * min_share, F.lit(many_pages)))
+    templates = stage(counted.where("host <> subtree").join(hosts, "host").where(F.col("pages") >= enough).groupBy("subtree").agg(F.max(F.col("pages") >= F.col("all_pages") * MOST).alias("most")), "templates")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
     if templates.count() <= broadcast_hashes:
         found = templates.collect()
