@@ -51,7 +51,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of ``benchmark`` go."""
-    leaks = decontamination.find_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+    leaks = decontamination.all_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
     return _without(spark, docs, leaks.where("doc_id IS NOT NULL").select("doc_id"), "leaks")
 
 

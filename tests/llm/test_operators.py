@@ -199,6 +199,25 @@ def test_leaks_with_substitutions_are_found_by_both_paths(spark, odd):
     assert decontamination.find_leaks(spark, docs.limit(0), benchmark).count() == decontamination.find_leaks(spark, docs, benchmark.limit(0)).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces_leak(spark, tmp_path):
+    short = {n: " ".join(f"q{n}x{k}" for k in range(n)) for n in range(1, 9)}
+    chinese, thai = "床前明月光疑是地上霜举头望明月", "กขคงจฉชซฌญ"
+    items = [*short.items(), (20, chinese), (21, thai), (22, "月光"), (23, "... !"), (24, None)]
+    texts = {n: f"before {t.upper()}, after" for n, t in short.items()}
+    texts |= {10 + n: f"before {t.replace(' ', ' and ')} after" for n, t in short.items() if n > 1}
+    texts |= {40: f"李白说{chinese}低头思故乡", 41: f"ดต{thai}ถท", 42: "the " + chinese[:6] + "x" + chinese[7:]}
+    docs = docs_of(spark, [(i, t, None, None) for i, t in texts.items()])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = {(n, n) for n in short} | {(40, 20), (40, 22), (41, 21), (42, 20), (42, 22)}
+    for windows in (decontamination.BROADCAST_WINDOWS, 0):
+        found = decontamination.all_leaks(spark, docs, benchmark, windows).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+        assert all(r["shift"] == 1 and r["matched"] == r["agreeing"] == r["item_words"] == r["item_id"] for r in found if r["doc_id"] < 9)
+    exact(docs, "doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert decontamination.op4_decontamination(spark, str(tmp_path)).count() == len(want)
+
+
 # --- embeddings
 
 

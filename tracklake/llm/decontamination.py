@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Tokens are runs of letters and digits of the lower-cased text. Each mask of ``MASKS`` slides over the tokens of
+Tokens are runs of letters and digits of the lower-cased text; in scripts written without spaces (Chinese,
+Japanese, Thai, Lao, Burmese, Khmer, Tibetan) each letter is one. Each mask of ``MASKS`` slides over the tokens of
 benchmark items and documents; the hash of a window covers the positions the mask keeps and
 ignores the others, so a substituted token between kept ones doesn't hide a leak. Equal hashes are
 hits; a hit fixes how item and document align. The item is then laid over the document at
@@ -10,7 +11,8 @@ tokens of a shorter item) agree in at least ``SHARE`` of their places.
 Benchmarks whose windows fit a checked size are broadcast, and texts are matched where they are
 read; beyond that by a shuffled join. Distinct hits (document, item, alignment) are few; documents
 with hits are read again for verification, by a broadcast of the hits if their number allows it.
-Items of fewer than ``LEAST`` tokens are too short to tell a leak from chance and are not used.
+Items of fewer than ``LEAST`` tokens are too short for seeds and substitutions: ``find_short_leaks`` reports the
+documents that hold all their tokens in a row, by a hash of them; ``all_leaks`` reports both kinds.
 Null and empty texts match nothing; repeated rows are each reported; rows with a null doc_id too.
 """
 
@@ -30,9 +32,16 @@ LEAST = 9
 BROADCAST_WINDOWS = 500_000
 
 
+#: Characters of scripts written without spaces, and a range that holds them all, which is quicker to look for.
+UNSPACED = r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u1950-\u19DF\u1A20-\u1AAF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uA9E0-\uA9FF\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}]"
+PERHAPS_UNSPACED = r"[\u0E00-\x{3FFFF}]"
+
+
 def tokens(text: Column) -> Column:
     """Hashes of the tokens of ``text``, in order."""
-    return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
+    text = F.lower(text)
+    apart = F.when(text.rlike(PERHAPS_UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    return F.transform(F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
 def seeds(words: Column, mask: str, number: int) -> Column:
@@ -79,5 +88,30 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, broad
     return found.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.*")
 
 
+def find_short_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame | None:
+    """As ``find_leaks``, for items of fewer than ``LEAST`` tokens, all of which must agree; None without such items."""
+    docs, items = exact(docs, "doc_id", "text"), exact(benchmark, "item_id", "text").select("item_id", tokens(F.col("text")).alias("words"))
+    items = items.where(F.size("words").between(1, LEAST - 1)).distinct()
+    items = Stage(spark, "leaks")(items.select("item_id", F.size("words").alias("n"), F.xxhash64(F.size("words"), "words").alias("seed")), "short")
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # LEAST - 1 at most
+    if not lengths:
+        return None
+    held = docs.select("doc_id", tokens(F.col("text")).alias("words"))
+    all_ = F.array(*(F.coalesce(seeds(F.col("words"), "1" * n, n), F.array().cast("array<bigint>")) for n in lengths))
+    found = held.select("doc_id", F.explode(all_).alias("found")).select("doc_id", F.posexplode("found").alias("at", "seed"))
+    found = found.join(F.broadcast(items) if items.count() <= broadcast_windows else items, "seed")
+    last = found.groupBy("doc_id", "item_id", "n").agg(F.max("at").alias("shift"))
+    return last.select("doc_id", "item_id", F.col("n").alias("matched"), F.col("n").alias("agreeing"), F.col("n").alias("item_words"), "shift")
+
+
+def all_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """The leaks of long and short items, a row per contaminated pair."""
+    long, short = find_leaks(spark, docs, benchmark, broadcast_windows), find_short_leaks(spark, docs, benchmark, broadcast_windows)
+    if short is None:
+        return long
+    top = F.max(F.struct("matched", "agreeing", "item_words", "shift")).alias("top")
+    return long.unionByName(short).groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.*")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return all_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
