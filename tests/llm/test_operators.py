@@ -199,6 +199,31 @@ def test_leaks_with_substitutions_are_found_by_both_paths(spark, odd):
     assert decontamination.find_leaks(spark, docs.limit(0), benchmark).count() == decontamination.find_leaks(spark, docs, benchmark.limit(0)).count() == 0
 
 
+def test_masks_hit_every_pattern_that_verification_accepts():
+    for length in range(decontamination.LEAST, decontamination.WINDOW + 1):
+        wrong = length - int(np.ceil(length * decontamination.SHARE))
+        for places in itertools.combinations(range(length), wrong):
+            line = "".join("0" if i in places else "1" for i in range(length))
+            hits = [all(line[at + i] == "1" for i, c in enumerate(m) if c == "1") for m in decontamination.MASKS for at in range(length - len(m) + 1)]
+            assert any(hits), line
+
+
+def test_leaks_with_random_substitutions_against_brute_force(spark):
+    rng = random.Random(14)
+    items = {i: rng.choices(WORDS, k=rng.randint(9, 30)) for i in range(300)}
+    words = {i: [*rng.choices(WORDS, k=5), *(w if rng.random() > 0.22 else "zz" for w in item), *rng.choices(WORDS, k=5)] for i, item in items.items()}
+    want = set()
+    for i, item in items.items():
+        n = min(len(item), 15)
+        for shift in range(-len(item), len(words[i])):
+            agree = [0 <= j + shift < len(words[i]) and words[i][j + shift] == w for j, w in enumerate(item)]
+            if any(sum(agree[s : s + n]) >= np.ceil(n * 0.8) for s in range(len(item) - n + 1)):
+                want.add((i, i))
+    docs = docs_of(spark, [(i, " ".join(w), None, None) for i, w in words.items()])
+    found = decontamination.find_leaks(spark, docs, spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert 100 < len(want) < 300 and {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_short_items_and_scripts_without_spaces_leak(spark, tmp_path):
     short = {n: " ".join(f"q{n}x{k}" for k in range(n)) for n in range(1, 9)}
     chinese, thai = "床前明月光疑是地上霜举头望明月", "กขคงจฉชซฌญ"
