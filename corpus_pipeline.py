@@ -2,7 +2,7 @@
 
 Each stage works on what the one before kept; ``run`` writes every stage's output to the shared
 folder and reads it back, as the driver of ``STAGES`` does. Rows with a null doc_id pass the stages that
-match documents with each other. Columns beside those of ``documents`` pass through.
+match documents with each other; leaks are found in them too. Columns beside those of ``documents`` pass through.
 """
 
 from __future__ import annotations
@@ -17,10 +17,23 @@ from tracklake.llm.common import Stage, table
 BROADCAST_IDS = 1_000_000
 
 
-def _without(spark: SparkSession, docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """``docs`` without the rows of ``ids``; texts are shuffled only if the ids are too many to broadcast."""
-    ids = Stage(spark, label)(ids.distinct(), "dropped")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_anti").select(docs.columns)
+def _marked(docs: DataFrame) -> DataFrame:
+    """``docs``, its columns named by their places, with ``id``, ``text`` and ``mark``, a hash of the text."""
+    at = docs.columns.index
+    text = F.col(f"_{at('text')}")
+    mark = F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+    return docs.toDF(*(f"_{i}" for i in range(len(docs.columns)))).withColumns({"id": F.col(f"_{at('doc_id')}"), "text": text, "mark": mark})
+
+
+def _plain(marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from those of ``_marked``."""
+    return marked.select(*(f"_{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+
+def _without(spark: SparkSession, marked: DataFrame, found: DataFrame, by: str, label: str) -> DataFrame:
+    """``marked`` without the rows whose ``by`` is in ``found``; texts are shuffled only if these are too many to broadcast."""
+    found = Stage(spark, label)(found.select(by).distinct(), "dropped")
+    return marked.join(F.broadcast(found) if found.count() <= BROADCAST_IDS else found, by, "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,16 +42,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least doc_id, and one row of it."""
+    """One document of each group of near copies stays, the one with the least doc_id, and one row of it.
+
+    Different texts with the same doc_id are different documents.
+    """
     tables = Stage(spark, "near-copies-work")
-    found = Stage(spark, "near-copies")(minhash.near_duplicates(spark, docs, stage=tables), "groups")
+    marked = _marked(docs)
+    texts = marked.where("id IS NOT NULL").select("id", "mark").distinct()
+    if texts.groupBy("id").count().where("count > 1").isEmpty():
+        marked = marked.withColumn("row", F.col("id").cast("long"))
+    else:  # numbers in the order of the ids
+        numbers = tables(texts.orderBy(F.col("id").cast("long"), "mark").withColumn("row", F.monotonically_increasing_id()), "numbers")
+        marked = Stage(spark, "near-copies")(marked.join(numbers, ["id", "mark"], "left"), "numbered")
+    found = minhash.near_duplicates(spark, marked.select(F.col("row").alias("doc_id"), "text"), stage=tables)
+    found = Stage(spark, "near-copies")(found.withColumnRenamed("doc_id", "row"), "groups")
     tables.clear()
-    left = _without(spark, docs, found.where("component_id IS NOT NULL AND NOT kept").select("doc_id"), "near-copies")
-    twice = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = _without(spark, marked, found.where("component_id IS NOT NULL AND NOT kept"), "row", "near-copies")
+    twice = found.where("kept").groupBy("row").count().where("count > 1").select("row")
     if twice.isEmpty():
-        return left
-    once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(twice, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+        return _plain(left, docs)
+    once = left.join(twice, "row", "left_semi").dropDuplicates(["row"])
+    return _plain(left.join(twice, "row", "left_anti").unionByName(once), docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +74,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of ``benchmark`` go."""
-    leaks = decontamination.all_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
-    return _without(spark, docs, leaks.where("doc_id IS NOT NULL").select("doc_id"), "leaks")
+    """Documents that hold a passage of ``benchmark`` go, each by its own text, also without a doc_id."""
+    marked = _marked(docs)
+    leaks = decontamination.all_leaks(spark, marked.select(F.col("mark").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _plain(_without(spark, marked, leaks.withColumnRenamed("doc_id", "mark"), "mark", "leaks"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

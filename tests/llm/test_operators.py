@@ -479,3 +479,22 @@ def test_pipeline_stages_act_and_pass_columns(spark, odd, tmp_path):
     assert set(seen["leaks"]) == set(seen["near_copies"]) - {104}
     ids = {r["doc_id"] for r in corpus_pipeline.run(spark, path).collect()}
     assert ids and ids <= set(seen["leaks"])
+
+
+def test_pipeline_decides_by_row_where_ids_are_shared_or_null(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(15)
+    text = lambda: " ".join(rng.choices(WORDS, k=80))
+    first, second, third, leak = text(), text(), text(), rng.choices(WORDS, k=30)
+    leaked = " ".join([*rng.choices(WORDS, k=20), *leak])
+    rows = [(1, first, "en", "a"), (2, first + " more", "en", "a"), (2, second, "en", "a"), (3, third, "en", "b"), (3, third, "en", "b"), (None, leaked, "en", "b"), (None, text(), "en", "b"), (4, leaked, "en", "b"), (4, text(), "en", "b")]
+    spark.createDataFrame([(1, " ".join(leak))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_of(spark, rows)
+    out = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = [(r[0], r[1]) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(i, t) for i, t, *_ in [rows[0], *rows[2:4], *rows[5:]]], key=str)
+    out = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in out.collect()), key=str) == sorted([(i, t) for i, t, *_ in [*rows[:5], rows[6], rows[8]]], key=str)
