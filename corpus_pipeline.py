@@ -37,7 +37,7 @@ def _without(spark: SparkSession, marked: DataFrame, found: DataFrame, by: str,
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, and those in no learned language, go."""
+    """Texts without a letter go, and those whose best score is under 1.2 times chance (1 / number of languages), or under a half if that is less."""
     return language.accept(spark, docs)
 
 

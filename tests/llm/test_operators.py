@@ -295,6 +295,16 @@ def test_language_is_learned_without_the_held_out_fold(spark, odd):
     assert (language.grams("aé1b" * 400) == language.grams("aé1b" * 400)).all()
 
 
+def test_many_languages_do_not_make_their_own_texts_rejected(spark):
+    rng = random.Random(16)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    near = ["".join(rng.choices(letters, k=4)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(near, k=6) + [f"{letters[i % 12]}{letters[(i % 12) * 2]}"]), f"l{i % 12}", None) for i in range(360)]
+    docs = exact(docs_of(spark, rows), "doc_id", "text", "lang")
+    assert language.accept(spark, docs).count() == len(rows)
+    assert language.accept(spark, docs, least=0.5).count() < len(rows)
+
+
 def test_blocks_of_a_text_count_the_same_grams(monkeypatch):
     text = " ".join(random.Random(4).choices(WORDS, k=500)) + " ñandú 東京 "
     whole = language.grams(text)

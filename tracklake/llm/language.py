@@ -30,6 +30,8 @@ ORDERS = (1, 2, 3)
 SAMPLE = 6000
 BLOCK = 1 << 20
 NO_LANGUAGE = "und"
+#: A text is accepted at this multiple of the score of pure chance, one by the number of languages, and at a half in any case.
+OVER_CHANCE = 1.2
 
 
 @functools.cache
@@ -189,22 +191,26 @@ def identify(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> Data
     return rows.mapInArrow(_predictor(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def _accepted(model, least: float):
+def _accepted(model, least: float | None):
     predict = _predictor(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bound = min(0.5, OVER_CHANCE / max(len(model.value[0]), 1)) if least is None else least
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
             blank = pa.nulls(len(text))
             (found,) = predict([pa.RecordBatch.from_arrays([blank, blank, text], names=["doc_id", "held_out", "text"])])
-            keep = [lang != NO_LANGUAGE and score >= least for lang, score in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
+            keep = [lang != NO_LANGUAGE and score >= bound for lang, score in zip(found.column("lang_pred").to_pylist(), found.column("score").to_pylist(), strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def accept(spark: SparkSession, docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of at least ``least``, columns as they are."""
+def accept(spark: SparkSession, docs: DataFrame, least: float | None = None, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of at least ``least``, columns as they are.
+
+    Without ``least`` the bound is a half, or ``OVER_CHANCE`` times chance where that is lower.
+    """
     used = exact(docs, "doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     model = spark.sparkContext.broadcast(train(spark, used.where(fold != 1), sample))
