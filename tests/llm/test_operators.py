@@ -273,6 +273,14 @@ def test_vector_links_against_brute_force_also_in_blocks(spark):
     assert embeddings.link_vectors(spark, df.limit(0)).count() == 0
 
 
+def test_more_vector_lengths_than_forests(spark):
+    rows = [(2 * n + k, [1.0 + k] * n, 0) for n in range(1, 1003) for k in range(2)]
+    rows += [(5000 + i, [1.0, float(i)], 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = by_id(embeddings.link_vectors(spark, df, trees=1), "vec_id")
+    assert all(got[2 * n + k]["n_links"] == 1 and got[2 * n + k]["component_id"] == 2 * n for n in range(3, 1003) for k in range(2))
+
+
 # --- language
 
 

@@ -8,7 +8,8 @@ labels are compared in double precision.
 
 A pair that meets in several leaves counts in the first one only: each vector carries the list of
 its leaves. So the numbers of links add up without a row per pair. Leaves of more than ``BLOCK``
-vectors are compared as pairs of blocks. Equal vectors of a label are one vector with a weight.
+vectors are compared as pairs of blocks. The ``LENGTHS`` most frequent vector lengths have a forest; the vectors of any
+other length are all in one leaf, which compares each with each. Equal vectors of a label are one vector with a weight.
 
 Vectors that are null, empty, zero or hold null or non-finite parts, and null labels, link with nothing;
 vectors of different lengths aren't compared; rows with a null vec_id have no links and a null component;
@@ -34,6 +35,8 @@ SPILL = 0.0125
 SAMPLE = 20_000
 BLOCK = 2048
 THRESHOLD = 0.98
+#: Vector lengths that have a forest.
+LENGTHS = 1000
 #: Sample vectors a node needs for a median of its own.
 LEAST_SAMPLE = 16
 
@@ -93,7 +96,8 @@ def _planter(shared):
             rows["n"] = rows["embedding"].map(len)
             for n, some in rows.groupby("n"):
                 vectors = _unit(np.stack(some["embedding"].to_list()).astype(np.float64))
-                row, leaf = shared.value[n].leaves(vectors)
+                alone = np.arange(len(some)), np.zeros(len(some), np.int64)
+                row, leaf = shared.value[n].leaves(vectors) if n in shared.value else alone
                 heads = np.searchsorted(row, np.arange(len(some) + 1))
                 own = [leaf[a:b].tobytes() for a, b in zip(heads, heads[1:])]
                 out = some[["rep", "label", "weight"]].assign(vector=[v.tobytes() for v in vectors], leaves=own).iloc[row].assign(n=n, leaf=leaf)
@@ -152,10 +156,10 @@ def link_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     key = ["label", "h1", "h2"]
     classes = marked.where("able").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("weight"), F.first("embedding").alias("embedding"))
     classes = stage(classes, "classes")
-    sizes = {r["n"]: r["count"] for r in classes.groupBy(F.size("embedding").alias("n")).count().limit(1000).collect()}
+    sizes = {r["n"]: r["count"] for r in classes.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(LENGTHS).collect()}
     total = sum(sizes.values())
     pick = F.pmod(F.xxhash64("h1", F.lit("sample")), F.lit(1 << 20)) < math.ceil(min(1.0, sample / max(total, 1)) * (1 << 20))
-    drawn = classes.where(pick).select("embedding").limit(sample).collect()
+    drawn = classes.where(pick & F.size("embedding").isin(list(sizes))).select("embedding").limit(sample).collect()
     forests = {}
     for n, held in sizes.items():
         some = np.array([r["embedding"] for r in drawn if len(r["embedding"]) == n], np.float64).reshape(-1, n)
