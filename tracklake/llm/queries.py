@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, substrings, url_filter, warc
+from tracklake.llm import decontamination, embeddings, html_text, language, licenses, minhash, mixing, pieces, pivots, substrings, token_alignment, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_minhash": minhash.op9_minhash,
     "op10_licenses": licenses.op10_licenses,
+    "op11_pieces": pieces.op11_pieces,
+    "op12_pivots": pivots.op12_pivots,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
@@ -23,4 +26,5 @@ ORACLES = {
     "op5_embeddings": embeddings.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_minhash": minhash.ORACLE,
+    "op12_pivots": pivots.ORACLE,
 }
