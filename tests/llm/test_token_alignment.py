@@ -80,6 +80,19 @@ def test_gallop_finds_ranks_from_any_guess():
         assert shared.tolist() == np.isin(driver, longer).tolist()
 
 
+def test_byte_ranks_segment_like_the_file_s_own_library():
+    models = ta.Tokenizers(model_bytes(A), model_bytes(B))
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for shape in (" a%sb", " 1%s %s\n"):  # every code point between letters, digits and blanks
+        texts = ["".join(shape.replace("%s", c) for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+        assert models.encode_a(texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    changed = model_bytes(A).replace(b'"add_prefix_space":false', b'"add_prefix_space":true').replace(b'"add_prefix_space": false', b'"add_prefix_space": true')
+    other = ta.byte_level_encoder(changed, models.bytes_a)
+    assert other(["ab"]) == models.encode_a([" ab"]) != models.encode_a(["ab"])
+
+
 def test_token_bytes_cover_both_vocabularies():
     models = ta.Tokenizers(model_bytes(A), model_bytes(B))
     assert len(models.words) == 2 * len(models.bytes_a) + 2 * len(models.bytes_b)

@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm.common import Stage, exact, table
-from tracklake.llm.pieces import BYTE, SPACE, list_column, model_bytes, text_slices, tokenizer_path
+from tracklake.llm.pieces import BYTE, SPACE, model_bytes, text_slices, tokenizer_path
 
 #: Pairs whose counts may be broadcast: 17 bytes each, so 34 MB at most. More are joined.
 BROADCAST_PAIRS = 2_000_000
@@ -36,6 +37,35 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+# Fixed value of byte-level vocabularies: the pattern that splits a text before merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def byte_level_encoder(file: bytes, token_bytes: list[bytes]):
+    """Texts -> ids as the file's own library gives them, special tokens taken as plain text.
+
+    Files of the plain kind, whose ids ascend in the order of their merges, are run as byte ranks, which is the same
+    segmentation four times as fast; any other file runs in the library it was made for.
+    """
+    content = json.loads(file)
+    model, before = content["model"], content["pre_tokenizer"] or {}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", [])]
+    ids = [model["vocab"].get(m, -1) for m in merged]
+    plain = all(model.get(k, v) == v for k, v in PLAIN_MODEL.items()) and content["normalizer"] is None
+    if plain and ids == list(range(256, 256 + len(ids))) and (before.get("type"), before.get("use_regex"), before.get("add_prefix_space")) == ("ByteLevel", True, False):
+        import tiktoken
+
+        ranks = {token_bytes[i]: i for i in model["vocab"].values()}
+        coder = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [coder.encode_ordinary(t) for t in texts]
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_buffer(file)
+    whole.encode_special_tokens = True
+    return lambda texts: [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
 class Tokenizers:
     """Both encoders, and the bytes of every token of theirs."""
 
@@ -43,34 +73,30 @@ class Tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_buffer(byte_level)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         alphabet, vocabulary = _byte_alphabet(), json.loads(byte_level)["model"]["vocab"]
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             self.bytes_a[i] = bytes(alphabet[c] for c in entry)
+        self.encode_a = byte_level_encoder(byte_level, self.bytes_a)
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(pieces)
         self.bytes_b = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(SPACE, " ").encode() for p in proto.pieces]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         a, b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
-        #: Ids with what follows them in the text of the groups: within a group, at its A tokens' end, at its own end.
+        #: Ids with what follows them in the text of the groups: A's within and at the end of a group's A tokens, then B's.
         self.words = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both per text, none where a text is empty or the tokens' bytes aren't a space and the text."""
-        none = np.zeros(0, np.int64)
-        a = [e.ids for e in self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
+        a = self.encode_a([f" {t}" for t in texts])
         b = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, x, y in zip(texts, a, b, strict=True):
+        for i, text in enumerate(texts):
             want = b" " + text.encode()
-            same = text and b"".join(map(self.bytes_a.__getitem__, x)) == want == b"".join(map(self.bytes_b.__getitem__, y))
-            out.append((np.array(x, np.int64), np.array(y, np.int64)) if same else (none, none))
-        return out
+            if not (text and b"".join(map(self.bytes_a.__getitem__, a[i])) == want == b"".join(map(self.bytes_b.__getitem__, b[i]))):
+                a[i], b[i] = [], []
+        return a, b
 
 
 @lru_cache(maxsize=1)
@@ -107,74 +133,82 @@ def gallop(driver: np.ndarray, longer: np.ndarray, guess: np.ndarray) -> tuple[n
 
 
 class Aligned:
-    """Links and groups of one document's tokens, given as ids and byte sizes."""
+    """Links and groups of some documents' tokens. Both tokenizers cover the same bytes, so the documents are laid end to end.
+
+    ``a`` and ``b`` are all ids, ``of_a`` and ``of_b`` the places where each document's begin, and the end.
+    """
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
-        self.a, self.b = a, b
-        ends = [np.cumsum(size_a[a]), np.cumsum(size_b[b])]
+    def __init__(self, models: Tokenizers, a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray):
+        self.a, self.b, self.of_a, self.of_b = a.astype(np.int64), b.astype(np.int64), of_a, of_b
+        ends = [np.cumsum(models.size_a[self.a]), np.cumsum(models.size_b[self.b])]
         swap = len(b) < len(a)
-        short, long = ends[::-1] if swap else ends
-        rank, shared = gallop(short, long, np.arange(len(short)) * len(long) // max(len(short), 1))
+        (short, of_short), (long, of_long) = sorted(zip(ends, (of_a, of_b), strict=True), key=lambda x: len(x[0]))
+        sizes, others = np.diff(of_short), np.diff(of_long)
+        place = np.arange(len(short)) - np.repeat(of_short[:-1], sizes)
+        rank, shared = gallop(short, long, np.repeat(of_long[:-1], sizes) + place * np.repeat(others, sizes) // np.repeat(np.maximum(sizes, 1), sizes))
         # driving token i overlaps the other tokens from where its first byte lies to where its last one lies
-        first = np.concatenate([[0], (rank + shared)[:-1]]).astype(np.int64) if len(short) else rank
+        first = np.concatenate([[0], (rank + shared)[:-1]]).astype(np.int64)[: len(short)]
         width = rank - first + 1
+        through = np.concatenate([[0], np.cumsum(width)])
         driving = np.repeat(np.arange(len(short)), width)
-        other = np.arange(len(driving)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first, width)
-        cut_short, cut_long = np.flatnonzero(shared), rank[shared]
-        self.cut_a, self.cut_b = (cut_long, cut_short) if swap else (cut_short, cut_long)  # last tokens of the groups
+        other = np.arange(len(driving)) + np.repeat(first - through[:-1], width)
+        self.cut_a, self.cut_b = (rank[shared], np.flatnonzero(shared)) if swap else (np.flatnonzero(shared), rank[shared])  # last tokens of groups
         in_a, in_b = (other, driving) if swap else (driving, other)
-        self.pairs = a[in_a] << 32 | b[in_b]
+        self.pairs = self.a[in_a] << 32 | self.b[in_b]
+        #: Where each document's links begin, and the end.
+        self.of_links = through[of_short]
 
-    def groups(self, shared: Tokenizers) -> str:
-        """Per group its A ids, a bar and its B ids; groups apart by semicolons."""
-        a, b = self.a.copy(), self.b + 2 * len(shared.bytes_a)
-        a[self.cut_a] += len(shared.bytes_a)
-        b[self.cut_b] += len(shared.bytes_b)
-        group = np.zeros(len(a) + len(b), np.int64)
-        sizes_a, sizes_b = np.diff(self.cut_a, prepend=-1), np.diff(self.cut_b, prepend=-1)
-        turn = np.tile([True, False], len(self.cut_a))
-        is_a = np.repeat(turn, np.stack([sizes_a, sizes_b], 1).ravel())
-        group[is_a], group[~is_a] = a, b
-        return "".join(map(shared.words.__getitem__, group.tolist()))[:-1]
+    def n_groups(self) -> np.ndarray:
+        return np.diff(np.searchsorted(self.cut_a, self.of_a))
 
+    def groups(self, models: Tokenizers) -> list[str]:
+        """Per document: per group its A ids, a bar and its B ids; groups apart by semicolons."""
+        a, b = self.a.copy(), self.b + 2 * len(models.bytes_a)
+        a[self.cut_a] += len(models.bytes_a)
+        b[self.cut_b] += len(models.bytes_b)
+        sizes = np.stack([np.diff(self.cut_a, prepend=-1), np.diff(self.cut_b, prepend=-1)], 1)
+        is_a = np.repeat(np.tile([True, False], len(self.cut_a)), sizes.ravel())
+        both = np.empty(len(a) + len(b), np.int64)
+        both[is_a], both[~is_a] = a, b
+        words = list(map(models.words.__getitem__, both.tolist()))
+        at = (self.of_a + self.of_b).tolist()
+        return ["".join(words[i:j])[:-1] for i, j in zip(at[:-1], at[1:], strict=True)]
 
-def _link_counts(shared_models) -> object:
-    """Rows (pair, n): links per id pair, summed over as much of a task as ``TASK_PAIRS`` allows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = tokenizers(*shared_models.value)
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    of = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int32, of[-1]), of
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
 
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                made = [aligned(models, x, y).pairs for x, y in _ids(batch.slice(start, 500))]
-                fresh, n = np.unique(np.concatenate([np.zeros(0, np.int64), *made]), return_counts=True)
-                keys, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
-                counts = np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
-                if len(keys) > TASK_PAIRS:
-                    yield out()
-                    keys, counts = keys[:0], counts[:0]
-        yield out()
+def _stored(models: Tokenizers, batch: pa.RecordBatch) -> Aligned:
+    a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("ids_a", "ids_b"))
+    of = lambda c: np.diff(c.offsets.to_numpy().astype(np.int64), prepend=c.offsets[0].as_py()).cumsum()
+    return Aligned(models, a.flatten().to_numpy(zero_copy_only=False), of(a), b.flatten().to_numpy(zero_copy_only=False), of(b))
 
-    return run
 
+class LinkCounts:
+    """Links per id pair of as much of a task as ``TASK_PAIRS`` allows."""
 
-def _ids(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    columns = [batch.column(batch.schema.get_field_index(c)) for c in ("ids_a", "ids_b")]
-    return zip(*([x.astype(np.int64) for x in _lists(c)] for c in columns), strict=True)
+    def __init__(self):
+        self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def add(self, pairs: np.ndarray) -> None:
+        fresh, n = np.unique(pairs, return_counts=True)
+        self.keys, at = np.unique(np.concatenate([self.keys, fresh]), return_inverse=True)
+        self.n = np.bincount(at, weights=np.concatenate([self.n, n]), minlength=len(self.keys)).astype(np.int64)
 
-def _lists(column: pa.ListArray) -> list[np.ndarray]:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum(np.diff(column.offsets.to_numpy()))
-    return np.split(flat, ends[:-1]) if len(ends) else []
+    def full(self) -> bool:
+        return len(self.keys) > TASK_PAIRS
 
 
-def aligned(models: Tokenizers, a: np.ndarray, b: np.ndarray) -> Aligned:
-    return Aligned(a, b, models.size_a, models.size_b)
+def _links_only(schema: pa.Schema, links: LinkCounts) -> pa.RecordBatch:
+    """Rows (pair, n) in the schema of the documents' rows."""
+    n = len(links.keys)
+    return pa.RecordBatch.from_arrays([*(pa.nulls(n, f.type) for f in list(schema)[:-2]), pa.array(links.keys), pa.array(links.n)], schema=schema)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(start, rows) for batch in batches for start in range(0, batch.num_rows, rows))
 
 
 def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
@@ -191,18 +225,29 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = tokenizers(*shared.value)
+        models, links = tokenizers(*shared.value), LinkCounts()
+        kinds = None
         for part, texts in text_slices(batches, "text"):
-            made = [aligned(models, x, y) for x, y in models.encode(texts)]
-            hashes = [hashlib.sha256(m.groups(models).encode()).hexdigest() if len(m.a) else "" for m in made]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(list_column([getattr(m, c) for m in made], pa.int64()).cast(pa.list_(pa.int32())) for c in "ab"), pa.array([len(m.cut_a) for m in made], pa.int64()), pa.array(hashes)],
-                names=["doc_id", "ids_a", "ids_b", "n_groups", "groups_sha256"],
-            )
-
-    tokens = tables(docs.mapInArrow(encoded, f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, groups_sha256 string").withColumn("row", F.monotonically_increasing_id()), "tokens")
-    counts = tokens.select("ids_a", "ids_b").mapInArrow(_link_counts(shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = tables(counts, "pairs")
+            (a, of_a), (b, of_b) = map(_flat, models.encode(texts))
+            made = Aligned(models, a, of_a, b, of_b)
+            hashes = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in made.groups(models)]
+            lists = [pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids)) for ids, of in ((a, of_a), (b, of_b))]
+            out = pa.RecordBatch.from_arrays([part.column(0), *lists, pa.array(made.n_groups(), pa.int64()), pa.array(hashes, pa.string()), *[pa.nulls(len(texts), pa.int64())] * 2], names=names)
+            kinds = out.schema
+            yield out
+            links.add(made.pairs)
+            if links.full():
+                yield _links_only(kinds, links)
+                links = LinkCounts()
+        if kinds is not None:
+            yield _links_only(kinds, links)
+
+    # rows of documents, and behind those of each task rows of pairs: one pass over the texts, one table
+    schema = f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, groups_sha256 string, pair long, n long"
+    names = ["doc_id", "ids_a", "ids_b", "n_groups", "groups_sha256", "pair", "n"]
+    both = tables(docs.mapInArrow(encoded, schema).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    tokens = both.where("pair IS NULL").drop("pair", "n")
+    counts = tables(both.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     most = counts.groupBy(F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b")).agg(F.max("n").alias("most"))
     known = tables(counts.withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF)).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "counts")
     tables.drop("pairs")
@@ -215,24 +260,22 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             models, (keys, n, best) = tokenizers(*shared.value), small.value
-            for batch in batches:
-                for start in range(0, batch.num_rows, 500):
-                    part = batch.slice(start, 500)
-                    at = [np.searchsorted(keys, aligned(models, x, y).pairs) for x, y in _ids(part)]
-                    sums = [pa.array([int(v[i].sum()) for i in at], pa.int64()) for v in (best, n)]
-                    yield pa.RecordBatch.from_arrays([*part.columns, *sums], names=[*part.schema.names, "n_best", "count_sum"])
+            for part in _slices(batches):
+                made = _stored(models, part)
+                at = np.searchsorted(keys, made.pairs)
+                sums = [np.diff(np.concatenate([[0], np.cumsum(v[at], dtype=np.int64)])[made.of_links]) for v in (best, n)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, sums)], names=[*part.schema.names, "n_best", "count_sum"])
 
         rows = tokens.mapInArrow(scored, f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, groups_sha256 string, row long, n_best long, count_sum long")
         return rows.select("doc_id", *shape, "n_groups", n_links, "n_best", "count_sum", "groups_sha256")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = tokenizers(*shared.value)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                made = [np.unique(aligned(models, x, y).pairs, return_counts=True) for x, y in _ids(part)]
-                row = np.repeat(part.column(2).to_numpy(), [len(k) for k, _ in made])
-                yield pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(np.concatenate([m[i] for m in made]).astype(np.int64)) for i in (0, 1))], names=["row", "pair", "times"])
+        for part in _slices(batches):
+            aligned = _stored(models, part)
+            made = [np.unique(aligned.pairs[i:j], return_counts=True) for i, j in zip(aligned.of_links[:-1], aligned.of_links[1:], strict=True)]
+            row = np.repeat(part.column(2).to_numpy(), [len(k) for k, _ in made])
+            yield pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(np.concatenate([m[i] for m in made]).astype(np.int64)) for i in (0, 1))], names=["row", "pair", "times"])
 
     # a pair that most documents hold is one row of ``known``: its hot side is split by the adaptive skew join, or broadcast
     links = tokens.select("ids_a", "ids_b", "row").mapInArrow(linked, "row long, pair long, times long")
