@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +85,7 @@ class Tokenizers:
         proto.ParseFromString(pieces)
         self.bytes_b = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(SPACE, " ").encode() for p in proto.pieces]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.kind_a, self.kind_b = (np.min_scalar_type(len(t)) for t in (self.bytes_a, self.bytes_b))
         a, b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
         #: Ids with what follows them in the text of the groups: A's within and at the end of a group's A tokens, then B's.
         self.words = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
@@ -180,10 +182,20 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int32, of[-1]), of
 
 
+def _packed(ids: np.ndarray, of: np.ndarray, kind: np.dtype) -> pa.Array:
+    """A binary value per document: its ids in the narrowest type that holds the vocabulary."""
+    offsets = pa.py_buffer((of * kind.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(of) - 1, [None, offsets, pa.py_buffer(ids.astype(kind).tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    of = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)]) // kind.itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind), of
+
+
 def _stored(models: Tokenizers, batch: pa.RecordBatch) -> Aligned:
-    a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("ids_a", "ids_b"))
-    of = lambda c: np.diff(c.offsets.to_numpy().astype(np.int64), prepend=c.offsets[0].as_py()).cumsum()
-    return Aligned(models, a.flatten().to_numpy(zero_copy_only=False), of(a), b.flatten().to_numpy(zero_copy_only=False), of(b))
+    a, b = (_unpacked(batch.column(batch.schema.get_field_index(c)), k) for c, k in (("ids_a", models.kind_a), ("ids_b", models.kind_b)))
+    return Aligned(models, *a, *b)
 
 
 class LinkCounts:
@@ -207,7 +219,7 @@ def _links_only(schema: pa.Schema, links: LinkCounts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.nulls(n, f.type) for f in list(schema)[:-2]), pa.array(links.keys), pa.array(links.n)], schema=schema)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
     return (batch.slice(start, rows) for batch in batches for start in range(0, batch.num_rows, rows))
 
 
@@ -231,8 +243,9 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
             (a, of_a), (b, of_b) = map(_flat, models.encode(texts))
             made = Aligned(models, a, of_a, b, of_b)
             hashes = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in made.groups(models)]
-            lists = [pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(ids)) for ids, of in ((a, of_a), (b, of_b))]
-            out = pa.RecordBatch.from_arrays([part.column(0), *lists, pa.array(made.n_groups(), pa.int64()), pa.array(hashes, pa.string()), *[pa.nulls(len(texts), pa.int64())] * 2], names=names)
+            ids = [_packed(a, of_a, models.kind_a), _packed(b, of_b, models.kind_b)]
+            sizes = [pa.array(np.diff(of)) for of in (of_a, of_b)]
+            out = pa.RecordBatch.from_arrays([part.column(0), *ids, *sizes, pa.array(made.n_groups(), pa.int64()), pa.array(hashes, pa.string()), *[pa.nulls(len(texts), pa.int64())] * 2], names=names)
             kinds = out.schema
             yield out
             links.add(made.pairs)
@@ -243,16 +256,15 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
             yield _links_only(kinds, links)
 
     # rows of documents, and behind those of each task rows of pairs: one pass over the texts, one table
-    schema = f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, groups_sha256 string, pair long, n long"
-    names = ["doc_id", "ids_a", "ids_b", "n_groups", "groups_sha256", "pair", "n"]
+    schema = f"doc_id {kind}, ids_a binary, ids_b binary, n_a long, n_b long, n_groups long, groups_sha256 string, pair long, n long"
+    names = ["doc_id", "ids_a", "ids_b", "n_a", "n_b", "n_groups", "groups_sha256", "pair", "n"]
     both = tables(docs.mapInArrow(encoded, schema).withColumn("row", F.monotonically_increasing_id()), "tokens")
     tokens = both.where("pair IS NULL").drop("pair", "n")
     counts = tables(both.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     most = counts.groupBy(F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b")).agg(F.max("n").alias("most"))
     known = tables(counts.withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF)).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "counts")
     tables.drop("pairs")
-    shape = [F.size("ids_a").cast("long").alias("n_a"), F.size("ids_b").cast("long").alias("n_b")]
-    n_links = (F.size("ids_a") + F.size("ids_b") - F.col("n_groups")).alias("n_links")
+    n_links = (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links")
     if known.count() <= broadcast_pairs:
         arrow = known.toArrow()
         order = np.argsort(arrow["pair"].to_numpy())
@@ -264,10 +276,11 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
                 made = _stored(models, part)
                 at = np.searchsorted(keys, made.pairs)
                 sums = [np.diff(np.concatenate([[0], np.cumsum(v[at], dtype=np.int64)])[made.of_links]) for v in (best, n)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, sums)], names=[*part.schema.names, "n_best", "count_sum"])
+                kept = part.drop_columns(["ids_a", "ids_b"])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *map(pa.array, sums)], names=[*kept.schema.names, "n_best", "count_sum"])
 
-        rows = tokens.mapInArrow(scored, f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, groups_sha256 string, row long, n_best long, count_sum long")
-        return rows.select("doc_id", *shape, "n_groups", n_links, "n_best", "count_sum", "groups_sha256")
+        rows = tokens.mapInArrow(scored, f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, row long, n_best long, count_sum long")
+        return rows.select("doc_id", "n_a", "n_b", "n_groups", n_links, "n_best", "count_sum", "groups_sha256")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = tokenizers(*shared.value)
@@ -281,7 +294,7 @@ def align(spark: SparkSession, docs: DataFrame, byte_level: str, pieces: str, br
     links = tokens.select("ids_a", "ids_b", "row").mapInArrow(linked, "row long, pair long, times long")
     sums = links.join(known, "pair").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times"))).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return tokens.join(sums, "row", "left").select("doc_id", *shape, "n_groups", n_links, zero("n_best"), zero("count_sum"), "groups_sha256")
+    return tokens.join(sums, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", n_links, zero("n_best"), zero("count_sum"), "groups_sha256")
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
