@@ -16,6 +16,16 @@ MAX_ELEMENTS = (1 << 31) - 1  # a BINARY value cannot be longer
 ALIASES = {"float32": "float", "float64": "double"}
 SCHEMA = ["recording", "struct_name"]
 EPOCH = ["recording", "struct_name", "schema_seq"]
+#: Arrays of structs around a field, from the outside: where they stand, and their counts.
+ARRAYS = "array<struct<at:string,n:bigint>>"
+DIMS = "array<struct<n:bigint,stride:bigint>>"
+LEAVES = f"array<struct<offset:bigint,pieces:array<string>,dims:{DIMS},prim:string,count:int,width:int>>"
+#: Sizes stop here: one more than any value has, and small enough for the product of two.
+TOO_LARGE = MAX_ELEMENTS + 1
+#: Elements that one generated array holds.
+CHUNK = 4096
+#: Elements up to which a leaf is spread beside the layouts, not at each record. Either way gives the same cells.
+SPREAD = 256
 
 _WS = r"[ \t\r\n]*"
 _IDENT = r"[A-Za-z_][A-Za-z0-9_]*"
@@ -143,9 +153,11 @@ def _references(vers: DataFrame, names: DataFrame) -> DataFrame:
 def layouts(vers: DataFrame) -> DataFrame:
     """Layout of every struct at every registration that concerns it.
 
-    (recording, struct_name, schema_seq, complete, missing, problem, struct_size, leaves),
-    with leaves in byte order: (leaf_path, prim, offset, count, width). Fields that are
-    arrays of structs add a ``length`` leaf and one set of leaves per element.
+    (recording, struct_name, schema_seq, complete, missing, problem, struct_size, leaves), with
+    leaves in byte order: (pieces, dims, prim, offset, count, width). A layout is as large as
+    its schema text whatever the counts in it: an array of structs is one ``length`` leaf and one set of leaves with a dimension
+    (n, stride) more. Element (i, j, ..) of a leaf lies at ``offset`` + i * stride + j * stride ..,
+    its path has the indexes between the ``pieces``. ``leaf_elements`` makes them.
     """
     vers = stage(vers, "schema-versions")
     names = vers.select(*SCHEMA).distinct()
@@ -166,6 +178,7 @@ def layouts(vers: DataFrame) -> DataFrame:
     level = roots.select(
         *EPOCH, F.col("incomplete").alias("_bad"), F.array("struct_name").alias("_above"),
         F.array().cast("array<int>").alias("_order"), F.lit("").alias("_path"),
+        F.array().cast("array<string>").alias("_pieces"), F.array().cast(ARRAYS).alias("_arrays"),
         F.posexplode("fields").alias("_pos", "_f"),
     )
     parts = []
@@ -212,7 +225,8 @@ def _leaf_rows(level: DataFrame, prim: Column, count: Column) -> DataFrame:
     return level.select(
         *EPOCH,
         "_order",
-        "leaf_path",
+        F.array_append("_pieces", F.col("leaf_path")).alias("pieces"),
+        F.col("_arrays").alias("arrays"),
         F.when(fits, prim).alias("prim"),
         F.when(fits, count.cast("bigint")).alias("count"),
         F.lit(None).cast("string").alias("missing"),
@@ -225,7 +239,8 @@ def _flagged(level: DataFrame, missing: Column | None = None, problem: Column |
     return level.select(
         *EPOCH,
         "_order",
-        F.lit(None).cast("string").alias("leaf_path"),
+        F.lit(None).cast("array<string>").alias("pieces"),
+        F.lit(None).cast(ARRAYS).alias("arrays"),
         none.alias("prim"),
         F.lit(None).cast("bigint").alias("count"),
         (none if missing is None else missing).alias("missing"),
@@ -266,114 +281,181 @@ def _descend(level: DataFrame, refs: DataFrame, vers: DataFrame) -> tuple[DataFr
             )
         )
     )
-    element = F.explode(
-        F.when(count.isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(
-            F.sequence(F.lit(0).cast("bigint"), count - 1)
-        )
-    )
-    deeper = (
-        good.withColumn("_i", element)
-        .select(
-            *EPOCH,
-            (F.col("_bad") | F.col("_inner_bad")).alias("_bad"),
-            F.array_append("_above", F.col("child")).alias("_above"),
-            F.when(F.col("_i").isNull(), F.col("_order"))
-            .otherwise(F.array_append("_order", F.col("_i").cast("int")))
-            .alias("_order"),
-            F.when(F.col("_i").isNull(), F.col("leaf_path"))
-            .otherwise(F.concat_ws("/", "leaf_path", F.col("_i").cast("string")))
-            .alias("_path"),
-            F.posexplode("_inner").alias("_pos", "_f"),
-        )
+    single = count.isNull()
+    here = F.struct(F.array_join(F.col("_order").cast("array<string>"), ".").alias("at"), count.alias("n"))
+    deeper = good.select(
+        *EPOCH,
+        (F.col("_bad") | F.col("_inner_bad")).alias("_bad"),
+        F.array_append("_above", F.col("child")).alias("_above"),
+        "_order",
+        F.when(single, F.col("leaf_path")).otherwise("").alias("_path"),
+        F.when(single, F.col("_pieces")).otherwise(F.array_append("_pieces", F.col("leaf_path"))).alias("_pieces"),
+        F.when(single, F.col("_arrays")).otherwise(F.array_append("_arrays", here)).alias("_arrays"),
+        F.posexplode("_inner").alias("_pos", "_f"),
     )
     return deeper, found
 
 
+def _times(counts: Column, start: Column) -> Column:
+    """``start`` times all counts, stopped at ``TOO_LARGE``."""
+    most = F.lit(TOO_LARGE).cast("bigint")
+    return F.aggregate(counts, F.least(start, most), lambda size, a: F.least(size * a["n"], most))
+
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
 def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Offsets by running sum over the declaration order, then one row per layout."""
+    """Offsets and strides from running sums over the declaration order, then one row per layout.
+
+    ``_start`` sums the bytes of all earlier leaves, each with all elements that its arrays give it. What lies between the
+    start of an array and a leaf in it belongs to every element alike, so its share of one element is that sum
+    divided by the elements there are: no element is ever made.
+    """
+    long = lambda x: F.lit(x).cast("bigint")
     width = F.coalesce(F.try_element_at(literal_map(WIDTHS), F.col("prim")), F.lit(0)).cast("bigint")
-    # a count fits an int, so no product overflows; sums are decimal, for any number of leaves
-    total = F.when(F.col("prim") == "length", F.lit(0).cast("bigint")).otherwise(
-        width * F.coalesce("count", F.lit(1).cast("bigint"))
-    )
+    own = F.when(F.col("prim") == "length", long(0)).otherwise(width * F.coalesce("count", long(1)))
     before = Window.partitionBy(*EPOCH).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         leaves.withColumn("width", width.cast("int"))
-        .withColumn("_total", total)
-        .withColumn("offset", F.coalesce(F.sum(F.col("_total").cast("decimal(38,0)")).over(before).try_cast("bigint"), F.lit(0).cast("bigint")))
+        .withColumn("_total", F.when(F.col("prim").isNull(), long(0)).otherwise(_times(F.col("arrays"), own)))
+        .withColumn("_start", F.coalesce(F.sum("_total").over(before), long(0)))
     )
-    leaf = F.struct("offset", "_order", "leaf_path", "prim", F.col("count").cast("int").alias("count"), "width")
+    leaf = F.struct("_order", "_start", "_total", "arrays", "pieces", "prim", F.col("count").cast("int").alias("count"), "width")
     packed = placed.groupBy(*EPOCH).agg(
-        F.sum(F.col("_total").cast("decimal(38,0)")).alias("_size"),
+        F.sum("_total").alias("_size"),
         F.min("missing").alias("missing"),
         F.min("problem").alias("problem"),
-        F.sort_array(F.collect_list(F.when(F.col("prim").isNotNull(), leaf))).alias("leaves"),
+        F.sort_array(F.collect_list(F.when(F.col("prim").isNotNull(), leaf))).alias("_leaves"),
     )
+
+    def span(x: Column) -> Column:
+        """Of an array, seen from its length leaf: where it starts, and the bytes of all its elements."""
+        at = F.array_join(x["_order"].cast("array<string>"), ".")
+        inside = F.filter("_leaves", lambda y: F.exists(y["arrays"], lambda a: a["at"] == at))
+        return F.struct(at, F.struct(x["_start"].alias("start"), F.aggregate(inside, long(0), lambda n, y: n + y["_total"]).alias("bytes")))
+
+    spans = F.map_from_entries(F.transform(F.filter("_leaves", lambda x: x["prim"] == "length"), span))
+
+    def offset(x: Column) -> Column:
+        first = F.struct(long(0).alias("at"), long(0).alias("start"), long(1).alias("n"))
+
+        def inward(state: Column, a: Column) -> Column:
+            start = F.element_at(F.col("_spans"), a["at"])["start"]
+            return F.struct(
+                (state["at"] + _div(start - state["start"], state["n"])).alias("at"), start.alias("start"),
+                F.least(state["n"] * a["n"], long(TOO_LARGE)).alias("n"),
+            )
+
+        return F.aggregate(x["arrays"], first, inward, lambda s: s["at"] + _div(x["_start"] - s["start"], s["n"]))
+
+    def dims(x: Column) -> Column:
+        elements = lambda i: _times(F.slice(x["arrays"], F.lit(1), i + 1), long(1))
+        return F.transform(
+            x["arrays"],
+            lambda a, i: F.struct(a["n"].alias("n"), _div(F.element_at(F.col("_spans"), a["at"])["bytes"], elements(i)).alias("stride")),
+        )
+
     bad = F.when(F.col("incomplete"), "incomplete schema")
-    return roots.join(packed, EPOCH, "left").select(
+    problem = F.coalesce(F.col("problem"), bad, F.when(F.col("_size") > MAX_ELEMENTS, "layout too large"))
+    made = F.transform(
+        "_leaves",
+        lambda x: F.struct(offset(x).alias("offset"), x["pieces"].alias("pieces"), dims(x).alias("dims"), x["prim"].alias("prim"), x["count"].alias("count"), x["width"].alias("width")),
+    )
+    return roots.join(packed.withColumn("_spans", spans), EPOCH, "left").select(
         *EPOCH,
         F.col("missing").isNull().alias("complete"),
         "missing",
-        F.coalesce(F.col("problem"), bad, F.when(F.col("_size") > MAX_ELEMENTS, "layout too large")).alias(
-            "problem"
-        ),
-        F.coalesce(F.col("_size").try_cast("bigint"), F.lit(0).cast("bigint")).alias("struct_size"),
-        F.coalesce(
-            F.transform("leaves", lambda x: x.dropFields("_order")),
-            F.array().cast("array<struct<offset:bigint,leaf_path:string,prim:string,count:int,width:int>>"),
-        ).alias("leaves"),
+        problem.alias("problem"),
+        F.coalesce(F.col("_size"), long(0)).alias("struct_size"),
+        F.when(problem.isNull() & F.col("_leaves").isNotNull(), made).otherwise(F.array().cast(LEAVES)).cast(LEAVES).alias("leaves"),
     )
 
 
-def struct_layout(layouts: DataFrame) -> DataFrame:
-    """Long view of the complete layouts, one row per leaf that holds bytes."""
-    return (
-        layouts.filter("complete and problem is null")
-        .select(*EPOCH, "struct_size", F.explode("leaves").alias("leaf"))
-        .filter("leaf.prim <> 'length'")
-        .select(
-            *EPOCH, "leaf.leaf_path", "leaf.prim", F.col("leaf.offset").cast("int").alias("offset"), "leaf.count",
-            F.col("struct_size").cast("int").alias("struct_size"),
-        )
+def element_place(pieces: Column, dims: Column, index: Column) -> Column:
+    """(path, at) of element ``index`` of a leaf, elements counted in byte order: ``at`` is relative to the leaf's offset."""
+    last = F.struct(index.cast("bigint").alias("rest"), F.lit(0).cast("bigint").alias("at"), F.element_at(pieces, -1).alias("path"))
+
+    def outward(state: Column, k: Column) -> Column:
+        dim = F.element_at(dims, k)
+        i = state["rest"] % dim["n"]
+        path = F.concat_ws("/", F.element_at(pieces, k), i.cast("string"), F.nullif(state["path"], F.lit("")))
+        return F.struct(_div(state["rest"], dim["n"]).alias("rest"), (state["at"] + i * dim["stride"]).alias("at"), path.alias("path"))
+
+    far = F.aggregate(F.reverse(F.sequence(F.lit(1), F.size(dims))), last, outward)
+    none = F.struct(F.element_at(pieces, -1).alias("path"), F.lit(0).cast("bigint").alias("at"))
+    return F.when(F.size(dims) == 0, none).otherwise(F.struct(far["path"].alias("path"), far["at"].alias("at")))
+
+
+def elements(dims: Column) -> Column:
+    return F.aggregate(dims, F.lit(1).cast("bigint"), lambda n, d: n * d["n"])
+
+
+def with_elements(rows: DataFrame, pieces: str = "pieces", dims: str = "dims") -> DataFrame:
+    """A row per element of the leaf that each row holds, with its ``path`` and ``at``; no array above ``CHUNK`` is made for it."""
+    long = lambda x: F.lit(x).cast("bigint")
+    some = rows.withColumn("_n", elements(F.col(dims))).withColumn("_first", F.explode(F.sequence(long(0), F.col("_n") - 1, long(CHUNK))))
+    each = some.withColumn("_element", F.explode(F.sequence(F.col("_first"), F.least(F.col("_first") + (CHUNK - 1), F.col("_n") - 1))))
+    return each.withColumn("_place", element_place(F.col(pieces), F.col(dims), F.col("_element"))).select(
+        *rows.columns, F.col("_place.path").alias("path"), F.col("_place.at").alias("at")
     )
 
 
+def leaf_elements(layouts: DataFrame) -> DataFrame:
+    """Every leaf of the usable layouts, element by element: (EPOCH, struct_size, leaf_path, prim, offset, count)."""
+    leaf = layouts.filter("complete and problem is null").select(*EPOCH, "struct_size", F.explode("leaves").alias("leaf"))
+    rows = leaf.select(*EPOCH, "struct_size", "leaf.*")
+    return with_elements(rows).select(*EPOCH, "struct_size", F.col("path").alias("leaf_path"), "prim", (F.col("offset") + F.col("at")).alias("offset"), "count")
+
+
+def struct_layout(layouts: DataFrame) -> DataFrame:
+    """Long view of the complete layouts, one row per leaf element that holds bytes.
+
+    Arrays of structs have a row per element here; ``layouts`` holds them without.
+    """
+    return leaf_elements(layouts).filter("prim <> 'length'").select(
+        *EPOCH, "leaf_path", "prim", F.col("offset").cast("int").alias("offset"), "count", F.col("struct_size").cast("int").alias("struct_size"),
+    )
+
+
 def _code(kind: Column) -> Column:
     return F.try_element_at(literal_map(CODE), kind)
 
 
 def leaf_cells(layouts: DataFrame) -> DataFrame:
-    """What one record of a struct turns into: (path, code, offset, width, n) per cell.
+    """What one record of a struct turns into: (pieces, dims, code, offset, width, n), a row per leaf.
 
-    Primitive arrays are spread into elements and a ``length``; rows with ``is_length``
-    stand for the length of an array of the struct itself.
+    Primitive arrays are a leaf with one dimension more and a ``length``; rows with ``is_length``
+    stand for the length of an array of the struct itself. Leaves of up to ``SPREAD`` elements are a row per element, without
+    ``dims``; ``with_elements`` makes the elements of the others where there is a record that holds them.
     """
     usable = layouts.filter("complete and problem is null").select(
-        "recording", "struct_name", F.col("schema_seq").alias("epoch"), "leaves"
+        "recording", "struct_name", F.col("schema_seq").alias("epoch"), F.explode("leaves").alias("leaf")
     )
-    prim, count, j = F.col("leaf.prim"), F.col("leaf.count"), F.col("_j")
+    prim, count, pieces = F.col("leaf.prim"), F.col("leaf.count"), F.col("leaf.pieces")
     many = count.isNotNull() & ~prim.isin("length", "char")
-    index = F.when(many, F.sequence(F.lit(-1), count - 1)).otherwise(F.array(F.lit(None).cast("int")))
-    is_count = (prim == "length") | F.coalesce(j < 0, F.lit(False))
-    spread = (
-        usable.select("recording", "struct_name", "epoch", F.explode("leaves").alias("leaf"))
-        .withColumn("_j", F.explode(index))
-        .select(
-            "recording",
-            "struct_name",
-            "epoch",
-            F.lit(False).alias("is_length"),
-            F.concat_ws("/", "leaf.leaf_path", F.when(j < 0, "length").otherwise(j.cast("string"))).alias("path"),
-            _code(
-                F.when(is_count, "length").when((prim == "char") & count.isNotNull(), "char[]").when(prim == "bool", "boolean").otherwise(prim)
-            ).alias("code"),
-            (F.col("leaf.offset") + F.coalesce(j, F.lit(0)) * F.col("leaf.width")).cast("int").alias("offset"),
-            F.when(is_count, 0).when(prim == "char", F.coalesce(count, F.lit(1))).otherwise(F.col("leaf.width")).alias("width"),
-            F.when(is_count, count).cast("bigint").alias("n"),
-        )
+    is_count = (prim == "length") | (many & F.col("_length"))
+    longer = F.concat(F.slice(pieces, 1, F.size(pieces) - 1), F.array(join_path(F.element_at(pieces, -1), F.lit("length"))))
+    dim = F.struct(count.cast("bigint").alias("n"), F.col("leaf.width").cast("bigint").alias("stride"))
+    kind = F.when(is_count, "length").when((prim == "char") & count.isNotNull(), "char[]").when(prim == "bool", "boolean").otherwise(prim)
+    spread = usable.withColumn("_length", F.explode(F.when(many, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))).select(
+        "recording",
+        "struct_name",
+        "epoch",
+        F.lit(False).alias("is_length"),
+        F.when(many & F.col("_length"), longer).when(many, F.array_append(pieces, F.lit(""))).otherwise(pieces).alias("pieces"),
+        F.when(many & ~F.col("_length"), F.array_append("leaf.dims", dim)).otherwise(F.col("leaf.dims")).cast(DIMS).alias("dims"),
+        _code(kind).alias("code"),
+        F.col("leaf.offset").cast("int").alias("offset"),
+        F.when(is_count, 0).when(prim == "char", F.coalesce(count, F.lit(1))).otherwise(F.col("leaf.width")).alias("width"),
+        F.when(is_count, count).cast("bigint").alias("n"),
     )
-    own_length = usable.select(
-        "recording", "struct_name", "epoch", F.lit(True).alias("is_length"), F.lit("length").alias("path"),
-        F.lit(CODE["length"]).alias("code"), F.lit(0).alias("offset"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("n"),
+    own_length = layouts.filter("complete and problem is null").select(
+        "recording", "struct_name", F.col("schema_seq").alias("epoch"), F.lit(True).alias("is_length"), F.array(F.lit("length")).alias("pieces"),
+        F.array().cast(DIMS).alias("dims"), F.lit(CODE["length"]).alias("code"), F.lit(0).alias("offset"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("n"),
     )
-    return spread.unionByName(own_length)
+    rows = spread.unionByName(own_length).withColumn("_few", elements(F.col("dims")) <= SPREAD)
+    few = with_elements(rows.filter("_few")).withColumn("offset", (F.col("offset") + F.col("at")).cast("int")).withColumn("pieces", F.array("path"))
+    few = few.withColumn("dims", F.array().cast(DIMS))
+    return few.select(*spread.columns).unionByName(rows.filter("not _few").select(*spread.columns))

@@ -14,7 +14,7 @@ from tracklake.functions.paths import join_path
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import fill_forward, version_lookup
 from tracklake.operators.quality import SCALAR_TYPES, element_bytes, is_schema, is_struct, quarantine, value_issue
-from tracklake.operators.schemas import SCHEMA
+from tracklake.operators.schemas import SCHEMA, with_elements
 
 PLAIN_CODES = {kind: CODE[kind] for kind in SCALAR_TYPES}
 
@@ -145,21 +145,25 @@ def struct_cells(with_layout: DataFrame, leaves: DataFrame, min_rows: int = HOT_
             F.greatest("seq", "layout.epoch").alias("eff"),
             "seq",
             F.when(i.isNull(), F.col("data")).otherwise(whole).alias("_body"),
-            F.when(i < 0, F.col("_n")).cast("bigint").alias("_n"),
+            F.when(i < 0, F.col("_n")).cast("bigint").alias("_count"),
             *_extra(with_layout),
         )
     )
-    spread = lookup_join(
-        elements, leaves, ["recording", "struct_name", "epoch", "is_length"], "inner", min_rows=min_rows
-    )
-    return spread.select(
+    by = ["recording", "struct_name", "epoch", "is_length"]
+    at_once, later = leaves.filter("size(dims) = 0"), leaves.filter("size(dims) > 0")
+    plain = at_once.withColumn("path", F.element_at("pieces", 1)).withColumn("at", F.lit(0).cast("bigint")).drop("pieces", "dims")
+    cells = lookup_join(elements, plain, by, "inner", min_rows=min_rows)
+    if not later.isEmpty():  # elements of long arrays are made here, where a record that holds them is
+        large = with_elements(lookup_join(elements, later, by, "inner", min_rows=min_rows))
+        cells = cells.unionByName(large.drop("pieces", "dims"))
+    return cells.select(
         "recording",
         F.concat("_prefix", "path").alias("key"),
         "ts",
         "eff",
         "seq",
         "code",
-        F.when(F.col("width") > 0, F.substring(F.col("_body"), F.col("offset") + F.lit(1), F.col("width"))).alias("bytes"),
-        F.coalesce("n", "_n").alias("n"),
+        F.when(F.col("width") > 0, F.substring(F.col("_body"), (F.col("offset") + F.col("at")).cast("int") + F.lit(1), F.col("width"))).alias("bytes"),
+        F.coalesce("n", "_count").alias("n"),
         *_extra(with_layout),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.binary import bits_of_hex, le_hex, real, signed, uint64_of_hex, utf8_lossy
 from tracklake.functions.paths import join_path
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
+from tracklake.operators.schemas import element_place, elements
 from tracklake.operators.structs import struct_issue
 
 REALS, TEXTS = ("float", "double"), ("char", "bool")
@@ -23,13 +24,16 @@ def wide_type(prims: set[str]) -> str:
     return "double" if kinds & set(REALS) else "decimal(20,0)"
 
 
-def wide_fields(layouts: DataFrame, struct_name: str) -> list[tuple[str, str, bool, tuple[str, ...]]]:
-    """(leaf path, type, is array, primitives) of a struct's leaves over all recordings and versions: one row per leaf name."""
+def _name(leaf: Column) -> Column:
+    return F.array_join(leaf["pieces"], "/")
+
+
+def wide_fields(layouts: DataFrame, struct_name: str) -> list[tuple[str, str, bool, bool, tuple[str, ...]]]:
+    """(name, type, is array, lies in an array of structs, primitives) of a struct's leaves over all recordings and versions: one row per leaf of the schema text."""
     leaf = layouts.filter("complete and problem is null").filter(F.col("struct_name") == struct_name).select(F.explode("leaves").alias("leaf"))
-    rows = leaf.filter("leaf.prim <> 'length'").groupBy("leaf.leaf_path").agg(
-        F.collect_set("leaf.prim").alias("prims"), F.max((F.col("leaf.prim") != "char") & F.col("leaf.count").isNotNull()).alias("many")
-    )
-    return sorted((r["leaf_path"], wide_type(set(r["prims"])), r["many"], tuple(sorted(r["prims"]))) for r in rows.collect())
+    many = ((F.col("leaf.prim") != "char") & F.col("leaf.count").isNotNull()) | (F.size("leaf.dims") > 0)
+    rows = leaf.filter("leaf.prim <> 'length'").groupBy(_name(F.col("leaf")).alias("name")).agg(F.collect_set("leaf.prim").alias("prims"), F.max(many).alias("many"), F.max(F.size("leaf.dims") > 0).alias("deep"))
+    return sorted((r["name"], wide_type(set(r["prims"])), r["many"], r["deep"], tuple(sorted(r["prims"]))) for r in rows.collect())
 
 
 def _value(raw: Column, prim: Column, prims: tuple[str, ...], to: str) -> Column:
@@ -45,25 +49,32 @@ def _value(raw: Column, prim: Column, prims: tuple[str, ...], to: str) -> Column
     return out
 
 
-def _field(name: str, to: str, many: bool, prims: tuple[str, ...]) -> Column:
+def _field(name: str, to: str, many: bool, deep: bool, prims: tuple[str, ...]) -> Column:
     leaf = F.try_element_at("_leaves", F.lit(name))
-    count = F.coalesce(leaf["count"], F.lit(1))
+    text = leaf["prim"] == "char"
+    count = F.coalesce(leaf["count"], F.lit(1)).cast("bigint")
+    width = F.when(text, leaf["width"] * count).otherwise(leaf["width"])
 
-    def cut(j: Column, n: Column) -> Column:
-        return F.substring(F.col("body"), leaf["offset"].cast("int") + j * leaf["width"] + 1, leaf["width"] * n)
+    def cut(at: Column) -> Column:
+        return F.substring(F.col("body"), (leaf["offset"] + at).cast("int") + 1, width.cast("int"))
 
     if not many:
-        n = F.when(leaf["prim"] == "char", count).otherwise(1)
-        return _value(cut(F.lit(0), n), leaf["prim"], prims, to)
-    each = F.transform(F.sequence(F.lit(0), count - 1), lambda j: _value(cut(j, F.lit(1)), leaf["prim"], prims, to))
+        return _value(cut(F.lit(0)), leaf["prim"], prims, to)
+    own = F.when(text, F.lit(1).cast("bigint")).otherwise(count)
+    if deep:
+        n = own * elements(leaf["dims"])
+        place = lambda j: element_place(leaf["pieces"], leaf["dims"], F.call_function("div", j, own))["at"] + j % own * leaf["width"]
+    else:
+        n, place = own, lambda j: j * leaf["width"]
+    each = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda j: _value(cut(place(j)), leaf["prim"], prims, to))
     return F.when(leaf.isNotNull(), each)
 
 
 def wide_structs(with_layout: DataFrame, layouts: DataFrame, struct_name: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """(recording, key, ts, value) of every record, and every array element, of ``struct_name``; the last write of a key and time wins.
 
-    A field that a version of the schema lacks is NULL in its records. Fields keep their leaf
-    path as name; primitive arrays are arrays.
+    A field that a version of the schema lacks is NULL in its records. Fields keep their path in the schema as name; primitive
+    arrays are arrays, and so are the fields of arrays of structs, over all elements in byte order.
     """
     size, i = F.col("layout.struct_size"), F.col("_i")
     rows = with_layout.filter(F.col("struct_name") == struct_name).filter("layout.epoch is not null").filter(struct_issue().isNull())
@@ -76,7 +87,7 @@ def wide_structs(with_layout: DataFrame, layouts: DataFrame, struct_name: str, m
         F.struct(F.col("layout.epoch").alias("epoch"), F.when(i < 0, F.col("data")).otherwise(part).alias("body")).alias("_last"),
     )
     last = rows.groupBy("recording", "key", "ts").agg(F.max_by("_last", "_order").alias("_last")).select("recording", "key", "ts", "_last.*")
-    leaves = F.map_from_entries(F.transform(F.filter("leaves", lambda x: x["prim"] != "length"), lambda x: F.struct(x["leaf_path"], x)))
+    leaves = F.map_from_entries(F.transform(F.filter("leaves", lambda x: x["prim"] != "length"), lambda x: F.struct(_name(x), x)))
     known = layouts.filter(F.col("struct_name") == struct_name).select("recording", F.col("schema_seq").alias("epoch"), leaves.alias("_leaves"))
     placed = lookup_join(last, known, ["recording", "epoch"], "inner", min_rows=min_rows)
     parts = [_field(*field).alias(field[0]) for field in wide_fields(layouts, struct_name)]

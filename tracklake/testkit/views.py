@@ -443,6 +443,17 @@ def huge_schemas(spark: SparkSession, sf_dir: str) -> Ingest:
     return keyed_ingest(_part_schema(table(spark, sf_dir, "part"), "concat('huge-', p_partkey div 128)", text))
 
 
+VAST = "(1000000 + (p_partkey * 7919) % 40000000)"
+
+
+@once
+def vast_schemas(spark: SparkSession, sf_dir: str) -> Ingest:
+    """One schema per part: millions of structs that hold structs; of some the bytes fit no value."""
+    rows = _part_schema(table(spark, sf_dir, "part"), "concat('vast-', p_partkey div 128)", f"concat('int16 h; Mid m[', {VAST}, ']; int8 t')")
+    nested = [_schema_rows(rows, "Mid", "int8 q; In i[5]", 1), _schema_rows(rows, "In", "int32 a; double b[3]", 2)]
+    return keyed_ingest(rows.unionByName(nested[0]).unionByName(nested[1]))
+
+
 def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part/<l_partkey>`` at the ship date = quantity: much rewritten keys, in file order."""
     return table(spark, sf_dir, "lineitem").select(

@@ -289,6 +289,24 @@ def huge_schema(spark, sf_dir):
     return rows.select("recording", "struct_name", "problem", F.when(F.col("problem").isNull(), F.col("struct_size")).alias("struct_size"))
 
 
+@query(f"""
+WITH p AS (SELECT 'vast-' || (p_partkey // 128) AS recording, 'struct:C' || p_partkey AS struct_name, {views.VAST}::BIGINT AS n FROM part),
+leaves(path, base, strides) AS (VALUES ('h', 0, ''), ('m/q', 2, '141'), ('m/i/a', 3, '141,28'), ('m/i/b', 7, '141,28'), ('t', 2, ''))
+SELECT recording, struct_name, NULL AS problem, 3 + 141 * n AS struct_size, path, (base + CASE WHEN path = 't' THEN 141 * n ELSE 0 END)::BIGINT AS "offset", strides
+FROM p, leaves WHERE 3 + 141 * n < 2147483648
+UNION ALL SELECT recording, struct_name, 'layout too large', NULL, NULL, NULL, NULL FROM p WHERE 3 + 141 * n >= 2147483648
+""")
+def vast_layouts(spark, sf_dir):
+    """Layouts of millions of nested elements, none of which is made."""
+    rows = fresh(views.vast_schemas(spark, sf_dir)).layouts.filter("struct_name LIKE 'struct:C%'")
+    leaf = rows.select(
+        "recording", "struct_name", "problem", F.when(F.col("problem").isNull(), F.col("struct_size")).alias("struct_size"),
+        F.explode_outer(F.filter("leaves", lambda x: x["prim"] != "length")).alias("leaf"),
+    )
+    strides = F.transform("leaf.dims", lambda d: d["stride"].cast("string"))
+    return leaf.select("recording", "struct_name", "problem", "struct_size", F.array_join("leaf.pieces", "/").alias("path"), "leaf.offset", F.array_join(strides, ",").alias("strides"))
+
+
 def _leaf(path: str, value: str) -> str:
     return f"SELECT recording, key || '/{path}' AS key, ts, CAST({value} AS VARCHAR) AS value FROM ln"
 
