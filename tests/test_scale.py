@@ -3,6 +3,7 @@ brute force or with the ordinary path."""
 
 import random
 
+import numpy as np
 import pytest
 from logs import f64, log, rec, start
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from tracklake.operators import lookup, ordered
 from tracklake.operators.context import attach_context, entry_defs
 from tracklake.plans.ingest import Ingest, ingest_path
 from tracklake.session import staging_path
-from tracklake.sources import logfiles
+from tracklake.sources import logfiles, ranges
 from tracklake.sources.control import decode_records
-from tracklake.sources.framing import scan_frames
+from tracklake.sources.framing import scan_frames, walk
 from tracklake.sources.ranges import large_logs, scan_ranges
 from tracklake.testkit.files import write_files
 
@@ -114,6 +115,58 @@ def test_ranges_equal_whole_files(spark, seed, torn):
     assert whole == text(scan_ranges(large_logs(files, range_bytes=2500)))
 
 
+def decoy_log(seed, n=60):
+    """A log whose payloads are logs themselves, cut anywhere, so that most guesses are wrong."""
+    rng = random.Random(seed)
+    parts = [start(1, "k", "raw")]
+    for i in range(n):
+        inner = b"".join(rec(2, j, rng.randbytes(rng.choice([1, 30, 300]))) for j in range(rng.randrange(1, 60)))
+        parts.append(rec(1, i, inner[rng.randrange(9) :]))
+    return log(*parts)
+
+
+@pytest.mark.parametrize("range_bytes", [700, 4000])
+def test_entries_in_log_rounds_against_decoys(spark, monkeypatch, range_bytes):
+    folder = staging_path(spark, "decoys")
+    rows = [(f"{i}.wpilog", bytearray(decoy_log(i))) for i in range(2)] + [("torn.wpilog", bytearray(decoy_log(9)[:-3])), ("plain.wpilog", bytearray(random_log(3)))]
+    write_files(spark.createDataFrame(rows, "path string, content binary"), folder)
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    files = logfiles.list_files(spark, folder).withColumn("recording", name)
+    written = []
+    monkeypatch.setattr(ranges, "stage", lambda df, label, f=ranges.stage: (written.append(label), f(df, label))[1])
+    logs = large_logs(files, range_bytes=range_bytes)
+    n_ranges = logs.ranges.groupBy("path").count().agg(F.max("count")).first()[0]
+    assert written.count("range-maps") == 1 + (n_ranges - 1).bit_length()  # the decoys did mislead the guesses
+    text = lambda df: sorted(map(str, decode_records(df).collect()))
+    whole = text(scan_frames(logfiles.with_header(logfiles.read_files(spark, folder).withColumn("recording", name))))
+    assert text(scan_ranges(logs)) == whole
+
+
+@pytest.mark.parametrize("window", [1, 7, 64, 1 << 16])
+def test_exits_and_maps_of_a_range(tmp_path, window):
+    rng = random.Random(window)
+    body = bytes(rng.choice([0, 1, 2, 3, 5, 40, 127, 200]) for _ in range(900)) + decoy_log(1, 8)[12:]
+    path = tmp_path / "x"
+    path.write_bytes(body)
+    row = {"path": f"file:{path}", "length": len(body), "lo": 100, "hi": 1100}
+
+    def leave(at, hi):
+        while at < hi:
+            starts, after = walk(memoryview(body), at, hi, len(body))
+            if after == at:
+                return -1
+            at = after
+        return at
+
+    nodes = np.arange(100, 1100)
+    want = [leave(int(p), 1100) for p in nodes]
+    assert ranges.map_of_range(row, nodes, window).tolist() == want
+    some = np.array(sorted(rng.sample(range(100, 1100), 30)))
+    assert ranges.map_of_range(row, some, window).tolist() == [want[p - 100] for p in some]
+    direct = {walk(memoryview(body), int(p), int(p) + 1, len(body))[1] for p in nodes}
+    assert ranges.exits_of_range(row).tolist() == sorted(p for p in direct if 1100 <= p < len(body))
+
+
 def test_foreign_and_empty_files_are_skipped(spark):
     folder = staging_path(spark, "foreign")
     rows = [

@@ -1,10 +1,11 @@
 """Large log files in parallel, by byte range.
 
-A range does not know where its first record starts. Each range therefore guesses an
-entry point and walks to its exit; a guess counts only when it equals the exit of the
-ranges before it. Ranges that disagree are walked again from the right place until all
-agree, which by induction from the first range makes every entry point exact. Then all
-ranges are cut into rows at once.
+A range does not know where its first record starts, so it guesses an entry point and walks to its
+exit; where every guess of a file equals the exit before it, all are exact. For a file with any other
+guess the entries are computed: each range reads every byte as a record's start, which gives the bytes beyond
+it that a record could end at; each range then maps those that lie in it to its own exits (all at once, by
+pointer doubling); and the maps are composed along the file by pointer jumping from its first record, in
+as many rounds as the number of ranges has binary digits, whatever the payloads look like.
 """
 
 from __future__ import annotations
@@ -14,17 +15,19 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.session import stage
+from tracklake.session import stage, stage_counted
 from tracklake.sources.framing import (
     FRAME_DDL,
     HEAD,
     HEAD_DDL,
     ID_WIDTH,
+    LEN_AT,
     LEN_WIDTH,
     TRUNCATED,
     cut,
@@ -41,6 +44,10 @@ MAX_TAIL = (1 << 31) - (1 << 20)
 LONGEST_HEAD = 17
 PROBE_RECORDS = 24
 CONTROL_KINDS = 3
+#: Bytes whose exits are found at once; small enough for a processor's cache.
+WINDOW = 1 << 16
+NODE_DDL = "recording string, path string, at bigint"
+LINK_DDL = "recording string, path string, at bigint, next bigint"
 HEADER_DDL = (
     "recording string, path string, length bigint, version int, extra_header string, body_at bigint, header_issue string"
 )
@@ -147,6 +154,88 @@ def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([{k: found[k] for k in schema.names}], schema=schema)
 
 
+def followers(raw: np.ndarray, n: int, end: int) -> np.ndarray:
+    """For each of the first ``n`` bytes, where a record that starts there ends; -1 if that is beyond ``end``.
+
+    ``raw`` holds at least ``LONGEST_HEAD`` bytes more than ``n``.
+    """
+    heads = raw[:n]
+    width, length_at, body = (np.array(t, np.int64)[heads] for t in (LEN_WIDTH, LEN_AT, HEAD))
+    at = np.arange(n)
+    size = np.zeros(n, np.int64)
+    for k in range(4):
+        has = np.flatnonzero(width > k)
+        size[has] |= raw[at[has] + length_at[has] + k].astype(np.int64) << (8 * k)
+    after = at + body + size
+    return np.where((at + body <= end) & (after <= end), after, -1)
+
+
+def _bytes_of(row: dict) -> np.ndarray:
+    """The bytes of a range and of the longest header that may begin in it, filled up with zeros at the file's end."""
+    lo, hi = row["lo"], row["hi"]
+    raw = np.frombuffer(read_range(row["path"], lo, min(row["length"], hi + LONGEST_HEAD)), np.uint8)
+    return np.append(raw, np.zeros(hi - lo + LONGEST_HEAD - len(raw), np.uint8))
+
+
+def _windows(raw: np.ndarray, row: dict, window: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first, end, followers) of the windows of a range, all counted from the range's first byte."""
+    n, end = row["hi"] - row["lo"], row["length"] - row["lo"]
+    for first in range(0, n, window):
+        stop = min(n, first + window)
+        after = followers(raw[first:], stop - first, end - first)
+        yield first, stop, np.where(after < 0, -1, after + first)
+
+
+def exits_of_range(row: dict) -> np.ndarray:
+    """All places behind the range, inside the file, where a record that starts in the range could end."""
+    n, end = row["hi"] - row["lo"], row["length"] - row["lo"]
+    found = [np.unique(after[(after >= n) & (after < end)]) for _, _, after in _windows(_bytes_of(row), row, 16 * WINDOW)]
+    return np.unique(np.concatenate(found)) + row["lo"]
+
+
+def map_of_range(row: dict, nodes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """For each of the ascending ``nodes`` in the range, where a walk from it leaves the range; -1 if it stops at a torn record.
+
+    Walks that meet are one from there on.
+    """
+    nodes = nodes - row["lo"]
+    live, mine = np.zeros(0, np.int64), np.zeros(len(nodes), np.int64)
+    for first, stop, after in _windows(_bytes_of(row), row, window):
+        while len(inner := np.flatnonzero((after >= first) & (after < stop))):  # each turn doubles the steps taken
+            after[inner] = after[after[inner] - first]
+        s, e = np.searchsorted(nodes, [first, stop])
+        mine[s:e] = len(live) + np.arange(e - s)
+        live = np.concatenate([live, nodes[s:e]])
+        here = (live >= first) & (live < stop)
+        live[here] = after[live[here] - first]
+        live, index = np.unique(live, return_inverse=True)
+        mine[:e] = index[mine[:e]]
+    return np.where(live[mine] < 0, -1, live[mine] + row["lo"]) if len(nodes) else nodes
+
+
+def _rows(row: dict, **columns: np.ndarray) -> pa.RecordBatch:
+    n = len(columns["at"])
+    same = [pa.array([row[c]], pa.string()).take(pa.array(np.zeros(n, np.int32))) for c in ("recording", "path")]
+    return pa.RecordBatch.from_arrays([*same, *(pa.array(c) for c in columns.values())], names=["recording", "path", *columns])
+
+
+def _exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield _rows(row, at=exits_of_range(row))
+
+
+def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = batch.column(batch.schema.get_field_index("nodes"))
+        for i, row in enumerate(batch.drop_columns(["nodes"]).to_pylist()):
+            at = np.unique(nodes[i].values.to_numpy())
+            after = map_of_range(row, at)
+            done = (after < 0) | (after >= row["length"])
+            part = _rows(row, at=at, next=after)
+            yield part.set_column(3, "next", pa.array(after, mask=done))
+
+
 @dataclass
 class LargeLogs:
     headers: DataFrame  # one row per file
@@ -175,27 +264,41 @@ def large_logs(files: DataFrame, range_bytes: int = RANGE_BYTES) -> LargeLogs:
     state = stage(_spread(blocks).mapInArrow(_probes, PROBE_DDL), "ranges")
     by_file = Window.partitionBy("recording", "path").orderBy("block")
     earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    while True:
-        reached = F.coalesce(F.max("leave").over(earlier), F.col("lo"))
-        checked = state.withColumn("_reached", reached).withColumn(
-            # before lo: the walk ended in a torn record; at or after hi: a payload covers the range
-            "_want", F.when((F.col("_reached") >= F.col("lo")) & (F.col("_reached") < F.col("hi")), F.col("_reached"))
-        )
-        checked = checked.withColumn("_bad", ~F.col("entry").eqNullSafe(F.col("_want")))
-        if checked.filter("_bad").isEmpty():
-            break
-        # walk again the first bad range of a file (what comes before it is exact) and those whose
-        # neighbour agrees; the rest may only look bad because of a wrong exit before them
-        first = F.coalesce(F.count_if("_bad").over(earlier), F.lit(0)) == 0
-        alone = F.col("_want").isNotNull() & ~F.coalesce(F.lag("_bad").over(by_file), F.lit(False))
-        checked = checked.withColumn("_redo", F.col("_bad") & (first | alone))
-        again = checked.filter("_redo").withColumn("skip", F.col("_want").isNull()).withColumn("entry", F.col("_want"))
-        redone = _spread(again.select(*blocks.columns)).mapInArrow(_probes, PROBE_DDL)
-        state = stage(checked.filter("not _redo").select(*state.columns).unionByName(redone), "ranges")
+    reached = F.coalesce(F.max("leave").over(earlier), F.col("lo"))
+    # before lo: the walk ended in a torn record; at or after hi: a payload covers the range
+    want = F.when((F.col("_reached") >= F.col("lo")) & (F.col("_reached") < F.col("hi")), F.col("_reached"))
+    checked = state.withColumn("_reached", reached).withColumn("_bad", ~F.col("entry").eqNullSafe(want))
+    wrong, n_wrong = stage_counted(checked.filter("_bad").select("recording", "path").distinct(), "wrong-guesses")
+    if n_wrong:
+        entries = _exact_entries(blocks.join(wrong, ["recording", "path"], "left_semi"), range_bytes)
+        again = blocks.drop("entry", "skip").join(wrong, ["recording", "path"], "left_semi").join(entries, ["recording", "path", "block"], "left")
+        again = again.withColumn("skip", F.col("entry").isNull()).select(*blocks.columns)
+        right = state.join(wrong, ["recording", "path"], "left_anti").select(*state.columns)
+        state = stage(right.unionByName(_spread(again).mapInArrow(_probes, PROBE_DDL)), "ranges")
     done = state.withColumn("seq", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
     return LargeLogs(headers, done)
 
 
+def _exact_entries(blocks: DataFrame, range_bytes: int) -> DataFrame:
+    """(recording, path, block, entry) of the ranges in which a record starts, by composing the maps of the ranges."""
+    file, node = ["recording", "path"], ["recording", "path", "at"]
+    starts = blocks.filter("entry is not null").select(*file, F.col("entry").alias("at"))
+    nodes = _spread(blocks).mapInArrow(_exits, NODE_DDL).unionByName(starts)
+    block = F.floor(F.col("at") / F.lit(range_bytes).cast("bigint")).alias("block")
+    # at most one node per byte of a range
+    held = nodes.select(*file, block, "at").groupBy(*file, "block").agg(F.collect_set("at").alias("nodes"))
+    links = _spread(blocks.join(held, [*file, "block"])).mapInArrow(_maps, LINK_DDL)
+    state = stage(links.join(starts.withColumn("_start", F.lit(True)), node, "left").select(*node, "next", F.col("_start").isNotNull().alias("reached")), "range-maps")
+    longest = blocks.groupBy(*file).count().agg(F.max("count")).first()[0]
+    for _ in range((longest - 1).bit_length()):
+        # twice as many ranges from the first record are known, and every link spans twice as many
+        onward = state.select(*file, F.col("at").alias("next"), F.col("next").alias("_then"))
+        marks = state.filter("reached and next is not null").select(*file, F.col("next").alias("at")).distinct().withColumn("_mark", F.lit(True))
+        far = state.join(onward, [*file, "next"], "left").select(*node, F.col("_then").alias("next"), "reached")
+        state = stage(far.join(marks, node, "left").select(*node, "next", (F.col("reached") | F.col("_mark").isNotNull()).alias("reached")), "range-maps")
+    return state.filter("reached").select(*file, block, F.col("at").alias("entry"))
+
+
 def scan_ranges(logs: LargeLogs, mode: str = "PERMISSIVE") -> DataFrame:
     """Header rows, frames and torn tails: the same rows as a whole-file scan gives."""
     strict = mode.upper() == "FAILFAST"

@@ -595,10 +595,16 @@ def stream_equals_batch(spark, sf_dir):
 
 
 @query(f"""
-WITH {EVENTS} SELECT recording, count(*) AS n, sum(ts) AS ts_sum FROM ev GROUP BY recording
+WITH {EVENTS},
+placed AS (SELECT *, robot * 5 + list_position({list(views.TYPES)}, event_type) AS entry_id FROM ev),
+frames AS (
+  SELECT recording, pos, entry_id, ts, value FROM placed
+  UNION ALL SELECT DISTINCT recording, entry_id - 1000000, 0, 7, NULL FROM placed)
+SELECT * FROM (SELECT recording, row_number() OVER (PARTITION BY recording ORDER BY pos) - 1 AS seq, entry_id, ts, value FROM frames) WHERE entry_id > 0
 """)
 def range_framing(spark, sf_dir):
-    """Files cut into ranges of 8 KiB, framed in parallel from guessed and then proven entry points."""
+    """Every record of files cut into ranges of 8 KiB, framed in parallel from guessed and then proven entry points."""
+    from tracklake.functions.binary import bits_of_hex, le_hex, real
     from tracklake.session import staging_path
     from tracklake.sources.logfiles import list_files
     from tracklake.sources.ranges import large_logs, scan_ranges
@@ -609,8 +615,8 @@ def range_framing(spark, sf_dir):
     name = F.regexp_extract("path", r"([^/]*)\.wpilog$", 1)
     files = list_files(spark, source).withColumn("recording", name)
     frames = scan_ranges(large_logs(files, range_bytes=8192))
-    data = frames.filter("entry_id > 0 and issue is null")
-    return data.groupBy("recording").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").cast("decimal(38,0)").alias("ts_sum"))
+    value = real(bits_of_hex(le_hex(F.col("data"))), F.lit(True)).alias("value")
+    return frames.filter("entry_id > 0 and issue is null").select("recording", "seq", "entry_id", "ts", value)
 
 
 @query(f"""
