@@ -103,6 +103,13 @@ def test_archives_round_trip_and_reject_magic_in_payloads(spark):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_revisits_of_an_id_with_two_payloads(spark):
+    pages = spark.createDataFrame([(1, "u", "AAA"), (1, "u", "BBBBB"), (2, "v", "AAA"), (3, "w", "BBBBB")], "page_id long, url string, html string")
+    sha = lambda s: base64.b32encode(hashlib.sha1(s.encode()).digest()).decode()
+    got = {tuple(r) for r in warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()}
+    assert got == {(1, 3, sha("AAA"), "response", None), (1, 5, sha("BBBBB"), "response", None), (2, 3, sha("AAA"), "revisit", 1), (3, 5, sha("BBBBB"), "revisit", 1)}
+
+
 # --- suffix sorting and substring removal
 
 

@@ -184,9 +184,11 @@ def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None)
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1)
     kind = exact(pages, "page_id").schema["page_id"].dataType.simpleString()
     rows = Stage(spark, "warc")(read_archives(spark, folder), "records")
-    whole = rows.where("type = 'response' AND record IS NOT NULL").groupBy(F.col("record").alias("refers")).agg(F.first("length").alias("full"), F.first("seen").alias("held"))
+    # pages that share an id but not a payload share a record id: a revisit's digest says which of them it repeats
+    whole = rows.where("type = 'response' AND record IS NOT NULL").groupBy(F.col("record").alias("refers"), F.col("seen").alias("held")).agg(F.first("length").alias("full"))
+    meant = rows.where("type = 'revisit'").withColumn("held", F.regexp_replace("digest", "^sha1:", ""))
     plain = rows.where("type <> 'revisit'").select("record", F.col("length").alias("payload_bytes"), F.col("seen").alias("payload_digest"), "type", "refers")
-    again = rows.where("type = 'revisit'").join(whole, "refers", "left").select("record", F.col("full").alias("payload_bytes"), F.col("held").alias("payload_digest"), "type", "refers")
+    again = meant.join(whole, ["refers", "held"], "left").select("record", F.col("full").alias("payload_bytes"), F.col("held").alias("payload_digest"), "type", "refers")
     id_of = lambda c: F.when(F.col(c).isNotNull(), number(F.col(c))).cast(kind)
     return plain.unionByName(again).select(id_of("record").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), id_of("refers").alias("refers_to"))
 
