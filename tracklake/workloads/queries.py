@@ -49,6 +49,13 @@ ev AS (
          epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS ts, (event_id * 7919) % 4099 AS pos
   FROM events)
 """
+FRAMES = f"""
+placed AS (SELECT *, robot * 5 + list_position({list(views.TYPES)}, event_type) AS entry_id FROM ev),
+frames AS (
+  SELECT recording, pos, entry_id, ts, value FROM placed
+  UNION ALL SELECT DISTINCT recording, entry_id - 1000000, 0, 7, NULL FROM placed),
+numbered AS (SELECT recording, row_number() OVER (PARTITION BY recording ORDER BY pos) - 1 AS seq, entry_id, ts, value FROM frames)
+"""
 LINES = """
 ln AS (
   SELECT *, 'line-' || (l_orderkey % 64) AS recording, 1000 + l_orderkey * 8 + l_linenumber AS seq,
@@ -596,11 +603,8 @@ def stream_equals_batch(spark, sf_dir):
 
 @query(f"""
 WITH {EVENTS},
-placed AS (SELECT *, robot * 5 + list_position({list(views.TYPES)}, event_type) AS entry_id FROM ev),
-frames AS (
-  SELECT recording, pos, entry_id, ts, value FROM placed
-  UNION ALL SELECT DISTINCT recording, entry_id - 1000000, 0, 7, NULL FROM placed)
-SELECT * FROM (SELECT recording, row_number() OVER (PARTITION BY recording ORDER BY pos) - 1 AS seq, entry_id, ts, value FROM frames) WHERE entry_id > 0
+{FRAMES}
+SELECT * FROM numbered WHERE entry_id > 0
 """)
 def range_framing(spark, sf_dir):
     """Every record of files cut into ranges of 8 KiB, framed in parallel from guessed and then proven entry points."""
@@ -619,6 +623,24 @@ def range_framing(spark, sf_dir):
     return frames.filter("entry_id > 0 and issue is null").select("recording", "seq", "entry_id", "ts", value)
 
 
+@query(f"""
+WITH {EVENTS}, {FRAMES}
+SELECT recording, seq, entry_id, ts, value FROM numbered WHERE entry_id > 0 AND ts >= 259200000000 AND ts < 1728000000000
+""")
+def source_pushdown(spark, sf_dir):
+    """The data source with filters on kind and time, which it applies before rows reach Spark."""
+    from tracklake.functions.binary import bits_of_hex, le_hex, real
+    from tracklake.session import staging_path
+    from tracklake.sources.datasource import read_records
+    from tracklake.testkit.files import write_files
+
+    source = staging_path(spark, "datasource")
+    write_files(views.value_files(spark, sf_dir), source)
+    rows = read_records(spark, source).filter((F.col("kind") == "raw") & (F.col("ts") >= 3 * 86_400_000_000) & (F.col("ts") < 20 * 86_400_000_000))
+    name = F.regexp_replace("recording", "-[0-9a-f]{16}$", "").alias("recording")
+    return rows.select(name, "seq", "entry_id", "ts", real(bits_of_hex(le_hex(F.col("data"))), F.lit(True)).alias("value"))
+
+
 @query(f"""
 WITH {EVENTS}
 SELECT recording, 'data' AS what, count(*) AS n FROM ev GROUP BY recording
