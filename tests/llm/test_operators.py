@@ -407,6 +407,25 @@ def test_templates_of_a_large_host_need_no_share_of_it(spark):
         assert all(r["text"].split("\n") == [f"Own {i}", *(notice if i < 8 else [])] for i, r in got.items())
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<div class="layout has-sidebar"><article><p>Real text.</p></article></div>', "Real text."),
+    ('<div id="content" class="no-sidebar"><p>Real text.</p></div>', "Real text."),
+    ('<article><p>One.</p><p class="share-prices">Two.</p><div class="related-work"><p>Three.</p></div></article>', "One.\nTwo.\nThree."),
+    ('<article><p>One.</p><div class="share-buttons">S</div><div class="cookieNotice">C</div><div class="sidebar-left">L</div><ul class="nav-list"><li>N</ul></article>', "One."),
+    ('<div class="page-header"><article><p>Inside.</p></article></div><div class="ad-slot-2">Buy</div>', "Inside."),
+    ('<article><p>Text.</p><section id="comments"><article class="comment"><p>Nice</p></article></section></article>', "Text."),
+    ('<article><div class="entry-header"><h1>Title</h1></div><p>Text.</p><div class="site-header">Site</div></article>', "Title\nText."),
+    ('<div id="post-comments"><article class="comment"><p>Nice</p></article></div><p>Text.</p>', "Text."),
+])
+def test_class_names_say_what_an_element_is(html, want):
+    assert html_text.Page(html, "h").text(frozenset(), frozenset()) == want
+
+
+def test_hosts_that_begin_alike_have_their_own_templates():
+    one, two = (html_text.Page("<div><p>x</p></div>", "a" * 64 + end).hashes() for end in "bc")
+    assert one and not one & two
+
+
 # --- minhash
 
 

@@ -66,23 +66,49 @@ CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl
 CLOSES = {k: (_words(a), _words(b)) for k, (a, b) in CLOSES.items()}
 
 
+#: First words of class names that say what a page has, lacks or does, not what the element is.
+STATES = _words("has no with without not is hide hides show shows non un")
+#: Words of class names for the form of an element; what stands before them says what it holds.
+FORMS = _words(
+    "area aside bar bars block blocks body bottom box boxes btn button buttons card center col column container content desktop div el element entry first full group head heading "
+    "holder icons id inner item items label large last layer left level line link links list main mobile nav outer panel primary right row secondary section slot small space "
+    "strip tab tabs text title top unit units ul view wrap wrapper zone"
+)
+
+
+def _named(value: str) -> frozenset[str]:
+    """What each class or id name says the element is: its last word that isn't a mere form.
+
+    ``cookie-notice`` is a notice and ``sidebar-left`` a sidebar, but ``share-prices`` are prices, and ``no-sidebar`` names nothing.
+    """
+    found = set()
+    for name in value.split():
+        words = [w for w in re.sub(r"[^a-z0-9]+", " ", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()).split() if not w.isdigit()]
+        if len(words) > 1 and words[0] in STATES:
+            continue
+        while len(words) > 1 and words[-1] in FORMS:
+            words.pop()
+        found.update(words[-1:])
+    return frozenset(found)
+
+
 def _boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     if tag in DROP_TAGS or (tag == "header" and not in_article):
         return True
     if "hidden" in attrs or attrs.get("role", "").lower() in DROP_ROLES or attrs.get("aria-hidden") == "true":
         return True
     if tag in ("article", "main", "body", "html") or not (attrs.get("class") or attrs.get("id")):
-        return tag == "article" and bool(_words(re.sub(r"[^a-z0-9]+", " ", attrs.get("class", "").lower())) & {"comment", "teaser", "related"})
-    names = _words(re.sub(r"[^a-z0-9]+", " ", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    bad = names & DROP_NAMES
-    return bool(bad - {"header"}) or bool(bad and not names & ARTICLE_NAMES)
+        return tag == "article" and bool(_named(attrs.get("class", "")) & {"comment", "teaser", "related"})
+    value = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+    bad = _named(value) & DROP_NAMES
+    return bool(bad - {"header"}) or bool(bad and not _words(re.sub(r"[^a-z0-9]+", " ", value.lower())) & ARTICLE_NAMES)
 
 
 class Page:
     """Elements and text blocks of one page; an element is known by its number."""
 
     def __init__(self, html: str, host: str):
-        self.host = host.encode()
+        self.host = blake2b(host.encode(), digest_size=16).digest()
         self.parent, self.tag, self.drop, self.digest = [-1], [""], [False], [b""]
         self.blocks: list[tuple[int, str]] = []  # the innermost block element, and the text
         self.says = [False]  # text of its own that is no link
@@ -118,7 +144,7 @@ class Page:
                 self._flush()
                 self._stack.pop()
         self._articles -= self.tag[e] == "article"
-        self.digest[e] = blake2b(b"\0".join(parts), digest_size=8, key=self.host[:64]).digest()
+        self.digest[e] = blake2b(b"\0".join(parts), digest_size=8, key=self.host).digest()
         self._parts[-1].append(self.digest[e])
 
     def _up_to(self, tags: frozenset[str], limits: frozenset[str]) -> None:
@@ -202,9 +228,18 @@ class Page:
         n = len(self.tag)
         gone, within = [False] * n, [False] * n
         root = next((r for r in ("article", "main") if any(t == r and not self.drop[i] for i, t in enumerate(self.tag))), None)
+        drop = self.drop
+        for e in range(1, n):
+            gone[e] = gone[self.parent[e]] or drop[e]
+        roots = [e for e in range(1, n) if self.tag[e] == root and not drop[e]]
+        if roots and all(gone[e] for e in roots):  # a name around the article itself can't mean that it is none
+            drop, at = list(drop), self.parent[roots[0]]
+            while at > 0:
+                drop[at] = drop[at] and self.tag[at] in DROP_TAGS
+                at = self.parent[at]
         for e in range(1, n):
             p = self.parent[e]
-            gone[e] = gone[p] or self.drop[e]
+            gone[e] = gone[p] or drop[e]
             within[e] = within[p] or self.tag[e] == root
         return gone, within, root is not None
 
