@@ -4,6 +4,8 @@ import base64
 import hashlib
 import itertools
 import random
+import re
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -67,6 +69,60 @@ def test_blocks_follow_redirects_and_canonical_links_with_allow_first(spark):
     assert url_filter.judge(spark, pages.limit(0)).count() == 0
 
 
+class Links(HTMLParser):
+    """The first canonical link and refresh by the standard library's parser."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.canonical = self.refresh = self.plain = None
+        self.feed(html)
+        self.close()
+
+    def handle_endtag(self, tag):
+        self.plain = None if tag == self.plain else self.plain
+
+    def handle_starttag(self, tag, attrs):
+        if self.plain:  # the parser itself knows script and style only
+            return
+        a, self.plain = dict(attrs), tag if tag in ("title", "textarea") else None
+        if tag == "link" and (a.get("rel") or "").strip().lower() == "canonical" and self.canonical is None:
+            self.canonical = a.get("href") or ""
+        if tag == "meta" and (a.get("http-equiv") or "").strip().lower() == "refresh" and self.refresh is None:
+            self.refresh = re.split("url *= *", a.get("content") or "", flags=re.I)[-1].strip("\"' ")
+
+
+def test_links_are_those_a_parser_reads(spark):
+    rng = random.Random(5)
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    parts = [
+        lambda u: link(u), lambda u: f"<!-- {link(u)} -->", lambda u: f"<script>var a = '{link(u)}'</script>", lambda u: f"<style>{link(u)}</style>",
+        lambda u: f'<meta http-equiv="refresh" content="0; url=&quot;{u}&quot;">', lambda u: f"<META HTTP-EQUIV=refresh CONTENT='5;URL={u}'>",
+        lambda u: f"<title>{link(u)}</title>", lambda u: "<p>text & more</p>", lambda u: f"<textarea>{link(u)}</textarea>",
+    ]
+    rows = []
+    for i in range(300):
+        urls = [rng.choice(["http://b.net/es/1?a=1&amp;b=2", "http://c.org/x", "//www.example.com/en/&#39;q", "/local?x=1&amp;amp;y"]) for _ in range(3)]
+        rows.append((i, f"http://h{i}.org/d/p", "<html>" + "".join(rng.choice(parts)(u) for u in urls)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = by_id(url_filter.judge(spark, pages), "page_id")
+    edges, nodes = [], {}
+    for i, url, html in rows:
+        found, me = Links(html), url.removeprefix("http://")
+        nodes[i] = me
+        for target in (found.canonical, found.refresh):
+            if target:
+                edges.append((me, target.split("://")[-1].removeprefix("//") if "//" in target else f"h{i}.org{target}"))
+    least = {n: n for e in edges for n in e}
+    for _ in range(len(least)):
+        after = dict(least)
+        for a, b in edges:
+            after[a] = after[b] = min(after[a], after[b])
+        if after == least:
+            break
+        least = after
+    assert {i: v["component"] for i, v in got.items()} == {i: least.get(n, n) for i, n in nodes.items()}
+
+
 def test_components_of_long_chains_and_hubs(spark):
     rng = random.Random(3)
     chain = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5000, 5000)]

@@ -32,6 +32,21 @@ _HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
 _URL = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>;]+)"""
 
 
+#: Markup in which no tag is one: comments, and elements whose content is plain text.
+_NO_TAGS = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(rf"<{e}\b.*?(?:</{e}\s*>|\z)" for e in ("script", "style", "textarea", "title"))
+#: Character references of the characters that mark up, in the order in which they are decoded.
+REFERENCES = (
+    ("&quot;", '"'), ("&#34;", '"'), ("&#x22;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+    ("&#47;", "/"), ("&#x2F;", "/"), ("&#58;", ":"), ("&#x3A;", ":"), ("&#61;", "="), ("&#x3D;", "="), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
+)
+
+
+def _decoded(c: Column) -> Column:
+    for reference, character in REFERENCES:
+        c = F.replace(c, F.lit(reference), F.lit(character))
+    return c
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(ascii_lower(F.regexp_extract(url, _PARTS, 1)), F.lit(""))
 
@@ -69,11 +84,16 @@ def _resolved(target: Column, host: Column, path: Column) -> Column:
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, component of every row of ``pages`` (page_id, url, html)."""
+    """page_id, host, path, rule, verdict, component of every row of ``pages`` (page_id, url, html).
+
+    A page's links are its first canonical link and its first refresh outside comments and plain-text elements,
+    with the references of markup characters decoded.
+    """
     stage = Stage(spark, "urls")
     host, path = F.col("host"), F.col("path")
-    link = F.regexp_extract(F.regexp_extract("html", _LINK, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _URL, 1)
+    tags = F.regexp_replace("html", _NO_TAGS, "")
+    link = _decoded(F.regexp_extract(F.regexp_extract(tags, _LINK, 0), _HREF, 1))
+    refresh = F.regexp_extract(_decoded(F.regexp_extract(tags, _REFRESH, 0)), _URL, 1)
     read = exact(pages, "page_id", "url", "html").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"),
         F.when(F.col("html").rlike("(?i)<link\\b"), link).alias("link"), F.when(F.col("html").rlike("(?i)<meta\\b[^>]*refresh"), refresh).alias("refresh"),
@@ -112,11 +132,12 @@ p AS (
     translate(regexp_extract(coalesce(url,''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url,''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
     regexp_extract(coalesce(url,''), '^.*?://[^/?#]*[^?#]*(\??[^#]*)', 1, 's') AS query
+  , regexp_replace(html, '<!--.*?(-->|\z)|<script\b.*?(</script\s*>|\z)|<style\b.*?(</style\s*>|\z)|<textarea\b.*?(</textarea\s*>|\z)|<title\b.*?(</title\s*>|\z)', '', 'gis') AS tags
   FROM pages),
 t AS (
   SELECT *, CASE WHEN host <> '' THEN host || path || query END AS node,
-    unnest([regexp_extract(regexp_extract(html, '<link\b[^>]*?\brel\s*=\s*["'']?\s*canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is'),
-            regexp_extract(regexp_extract(html, '<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?\s*refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*["'']?\s*([^"''\s>;]+)', 1, 'is')]) AS target
+    unnest([@D(regexp_extract(regexp_extract(tags, '<link\b[^>]*?\brel\s*=\s*["'']?\s*canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is')),
+            regexp_extract(@D(regexp_extract(tags, '<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?\s*refresh\b[^>]*>', 0, 'is')), '\burl\s*=\s*["'']?\s*([^"''\s>;]+)', 1, 'is')]) AS target
   FROM p),
 u AS (
   SELECT node, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN 'x:' || target
@@ -141,3 +162,23 @@ own AS (
 SELECT page_id, host, path, rule, coalesce(v, spread, 'allow') AS verdict, coalesce(comp.component, node) AS component
 FROM own LEFT JOIN comp ON comp.id = node LEFT JOIN dec ON dec.component = comp.component
 """
+
+
+def _sql_decoded(sql: str) -> str:
+    """``@D(..)`` written out; its argument holds no other ``@D`` and balanced brackets outside quotes."""
+    head, mark, rest = sql.partition("@D(")
+    if not mark:
+        return sql
+    depth, quoted, end = 1, False, 0
+    while depth:
+        quoted ^= rest[end] == "'"
+        depth += 0 if quoted else {"(": 1, ")": -1}.get(rest[end], 0)
+        end += 1
+    out = rest[: end - 1]
+    for reference, character in REFERENCES:
+        literal = character.replace("'", "''")
+        out = f"replace({out}, '{reference}', '{literal}')"
+    return head + out + _sql_decoded(rest[end:])
+
+
+ORACLE = _sql_decoded(ORACLE)
