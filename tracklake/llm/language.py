@@ -80,7 +80,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [grams(t.as_py()) for t in batch.column(2)]
         at = [None if c is None else np.flatnonzero(c) for c in found]
         buckets = [None if a is None else a.astype(np.uint16).tobytes() for a in at]
-        counts = [None if a is None else np.minimum(c[a], 65535).astype(np.uint16).tobytes() for a, c in zip(at, found, strict=True)]
+        counts = [None if a is None else c[a].astype(np.uint32).tobytes() for a, c in zip(at, found, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "pick", "buckets", "counts"])
 
 
@@ -150,7 +150,11 @@ def _predictor(model):
 
 
 def train(spark: SparkSession, labelled: DataFrame, sample: int = SAMPLE):
-    """(languages, idf, weights, temperature) from ``labelled`` (doc_id, text, lang)."""
+    """(languages, idf, weights, temperature) from ``labelled`` (doc_id, text, lang).
+
+    Fitted on at most ``sample`` documents, the same number of each language as far as there are; of more than ``sample``
+    languages, the ``sample`` most frequent are learned, as the others would have no document among these.
+    """
     labelled = labelled.where("lang IS NOT NULL")
     shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()
     if not shares:
@@ -170,7 +174,7 @@ def train(spark: SparkSession, labelled: DataFrame, sample: int = SAMPLE):
     rows = chosen.mapInArrow(_sparse, "lang string, pick long, buckets binary, counts binary").where("buckets IS NOT NULL").limit(sample).collect()
     fit, aside = [], []
     for r in sorted(rows, key=lambda r: (r["lang"], r["buckets"], r["counts"])):
-        at, counts = np.frombuffer(r["buckets"], np.uint16).astype(np.int64), np.frombuffer(r["counts"], np.uint16)
+        at, counts = np.frombuffer(r["buckets"], np.uint16).astype(np.int64), np.frombuffer(r["counts"], np.uint32)
         row = names.index(r["lang"]), np.append(at, DIMS), np.append(weighted(counts, idf[at]), 1.0)
         (aside if r["pick"] == 0 else fit).append(row)
     if not fit:
