@@ -8,6 +8,7 @@ import re
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -524,6 +525,34 @@ def test_sketch_estimates_are_close_at_high_similarity():
         assert abs(minhash.sketch_similarity(np.bitwise_count(a ^ b).sum()) - share) < 0.08
 
 
+def test_blocks_decide_links_and_yield_forests():
+    """80 texts, each pair of them nearly similar or similar: fewer pairs than rows, the links' components, whatever the batches."""
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.append(np.delete(base, rng.choice(300, k, replace=False)), rng.integers(0, 2**63, k).astype(np.uint64))) for k in rng.integers(20, 45, 80)]
+    values = [minhash.minhash(x) for x in sets]
+    bands = [minhash.band_keys(v).tolist() for v in values]
+    rows = []
+    for band in sorted({b for of in bands for b in of}):
+        rows += [(band, "-/0/-/0", True, i, i, bands[i], minhash.odd_sketch(values[i]), sets[i].tobytes()) for i in range(80) if band in bands[i]]
+    names = ["band", "meeting", "side", "doc_id", "component", "bands", "sketch", "hashes"]
+    whole = pa.Table.from_pylist([dict(zip(names, r)) for r in rows])
+    linked = {(i, j) for i, j in itertools.combinations(range(80), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])) and set(bands[i]) & set(bands[j])}
+    assert 0 < len(linked) < 80 * 79 // 2
+
+    def classes(pairs):
+        root = list(range(80))
+        for _ in range(80):
+            for i, j in pairs:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    for size in (7, 100, len(rows)):
+        out = pa.Table.from_batches(minhash._grouped(minhash._links_across(80), "band", "meeting")(iter(whole.to_batches(max_chunksize=size))))
+        pairs = list(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+        assert set(pairs) <= linked and len(pairs) < len(rows) and classes(pairs) == classes(linked)
+
+
 def test_no_documents_no_groups(spark, odd):
     assert minhash.near_duplicates(spark, odd.limit(0)).count() == 0
 
