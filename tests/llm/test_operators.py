@@ -529,7 +529,7 @@ def test_blocks_decide_links_and_yield_forests():
     """80 texts, each pair of them nearly similar or similar: fewer pairs than rows, the links' components, whatever the batches."""
     rng = np.random.default_rng(13)
     base = rng.integers(0, 2**63, 300).astype(np.uint64)
-    sets = [np.unique(np.append(np.delete(base, rng.choice(300, k, replace=False)), rng.integers(0, 2**63, k).astype(np.uint64))) for k in rng.integers(20, 45, 80)]
+    sets = [np.unique(np.append(np.delete(base, rng.choice(300, k, replace=False)), rng.integers(0, 2**63, k).astype(np.uint64))) for k in rng.integers(8, 30, 80)]
     values = [minhash.minhash(x) for x in sets]
     bands = [minhash.band_keys(v).tolist() for v in values]
     rows = []
