@@ -1,10 +1,12 @@
 """Sinks, streaming, wide structs, odd schemas, paths, and a session without any configuration."""
 
 import os
+import random
 import struct
 import subprocess
 import sys
 
+import pytest
 from logs import f64, i64, log, rec, start
 from pyspark.sql import functions as F
 
@@ -33,7 +35,9 @@ def test_runs_without_a_configuration_folder(tmp_path):
     assert "ROWS 7" in done.stdout, done.stderr[-2000:]
 
 
-def test_wide_structs_over_versions_arrays_and_elements(spark):
+@pytest.mark.parametrize("shape_bytes", [8 << 20, 0])
+def test_wide_structs_over_versions_arrays_and_elements(spark, monkeypatch, shape_bytes):
+    monkeypatch.setattr(wide, "SHAPE_BYTES", shape_bytes)
     p = "int16 w[2]; char tag[3]; In in", "In", "float y"
     body = struct.pack("<2h3sf", 5, -6, b"ab\x00", 0.5)
     got = contents(
@@ -52,6 +56,30 @@ def test_wide_structs_over_versions_arrays_and_elements(spark):
     assert wide.wide_type({"int8", "uint64"}) == "decimal(20,0)" and wide.wide_type({"char", "int8"}) == "string"
 
 
+@pytest.mark.parametrize("slice_bytes", [16 << 20, 40])
+def test_wide_fields_by_matrix_equal_those_by_expression(spark, monkeypatch, slice_bytes):
+    """Every primitive, arrays, arrays of structs, bad text and surplus bytes, two versions and a field that turns real."""
+    kinds = {"bool": "?", "int8": "b", "int16": "h", "int32": "i", "int64": "q", "uint8": "B", "uint16": "H", "uint32": "I", "uint64": "Q", "float": "f", "double": "d"}
+    text = "; ".join(f"{k} {k}; {k} {k}s[3]" for k in kinds) + "; char tag[5]; In m[2]; int32 turns"
+    form = "<" + "".join(f"{c}3{c}" for c in kinds.values()) + "5s" + "h3s2b" * 2
+    rng = random.Random(5)
+    number = lambda c: rng.random() < 0.5 if c == "?" else rng.uniform(-9, 9) if c in "fd" else rng.randrange(*((0, 256**struct.calcsize(c)) if c.isupper() else (-(256**struct.calcsize(c)) // 2, 256**struct.calcsize(c) // 2)))
+    bodies = [struct.pack(form, *(number(c) for c in kinds.values() for _ in range(4)), rng.choice([b"ab", b"\xff\xc3\x28", b"\xe2\x82"]), *(x for _ in range(2) for x in (rng.randrange(-99, 99), rng.choice([b"xyz", b"\x80"]), 1, -2))) for _ in range(5)]
+    inner = schema(1, "In", "int16 a; char t[3]; int8 b[2]")
+    got = contents(
+        spark,
+        a=log(inner, schema(2, "P", text), start(3, "k", "struct:P"), *(rec(3, t, b + struct.pack("<i", t) + bytes(t)) for t, b in enumerate(bodies))),
+        b=log(inner, schema(2, "P", "double turns; In m[2]"), start(3, "k", "struct:P[]"), rec(3, 9, (f64(0.25) + struct.pack("<" + "h3s2b" * 2, 1, b"q", 2, 3, 4, b"r", 5, 6)) * 2)),
+    )
+    monkeypatch.setattr(wide, "SLICE_BYTES", slice_bytes)
+    found = []
+    for limit in (8 << 20, 0):
+        monkeypatch.setattr(wide, "SHAPE_BYTES", limit)
+        rows = wide.wide_structs(got.with_layout, got.layouts, "struct:P")
+        found.append((rows.schema["value"].dataType.simpleString(), sorted((r.recording, r.key, r.ts, repr(r.value)) for r in rows.collect())))
+    assert found[0] == found[1] and len(found[0][1]) == 7
+
+
 def test_a_layout_too_large_spoils_only_its_own_records(spark):
     got = contents(
         spark,
