@@ -8,7 +8,7 @@ import pytest
 from logs import f64, log, rec, start
 from pyspark.sql import functions as F
 
-from tracklake.operators import lookup, ordered
+from tracklake.operators import collisions, lookup, ordered
 from tracklake.operators.context import attach_context, entry_defs
 from tracklake.plans.ingest import Ingest, ingest_path
 from tracklake.session import staging_path
@@ -182,3 +182,30 @@ def test_foreign_and_empty_files_are_skipped(spark):
     ]
     assert [(r.key, r.ts, r.v_double) for r in got.entries.collect()] == [("k", 5, 2.0)]
     assert got.quarantine.count() == 0
+
+
+@pytest.mark.parametrize("unit_rows", [1, 7, 100, 1 << 21])
+@pytest.mark.parametrize("in_order", [True, False])
+def test_repeated_keys_whatever_the_units(spark, unit_rows, in_order):
+    rng = random.Random(unit_rows)
+    rows = [(rng.choice("ab"), rng.choice(["x", "y", None]), rng.choice([None, *range(300)])) for _ in range(400)]
+    rows += [("hot", "z", t) for t in range(500)] + [("hot", "z", 77)] * 3
+    rows.sort(key=lambda r: (r[2] is not None, r[2] or 0)) if in_order else rng.shuffle(rows)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 5), "r string, k string, t bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 9)
+    try:
+        got, n = collisions.repeated(df, ["r", "k"], "t", unit_rows, min_rows=50)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {r for r in rows if rows.count(r) > 1}
+    assert {tuple(r) for r in got.collect()} == want and n == len(want) == got.count()
+
+
+def test_only_suspects_are_counted(spark):
+    """Of keys in order of time, split over units, only the repeated and the ends of units are suspects."""
+    rows = [("r", f"k{i % 3}", i) for i in range(3000)] + [("r", "k0", 2997)] * 2
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "r string, k string, t bigint")
+    assert collisions.suspects(df.filter("t < 2997"), ["r", "k"], "t") is None
+    assert collisions.suspects(df, ["r", "k"], "t").count() == 3
+    assert collisions.suspects(df.limit(0), ["r", "k"], "t") is None
+    assert collisions.repeated(df.limit(0), ["r", "k"], "t")[1] == 0

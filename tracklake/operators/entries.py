@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklake.functions.binary import CELL_KINDS, CODE, STORED_NAMES, bits_of_hex, le_hex, signed, uint64_of_hex, utf8_lossy, with_real
 from tracklake.functions.paths import ancestors
+from tracklake.operators.collisions import repeated
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import asof_join
 from tracklake.operators.quality import is_schema
@@ -32,12 +33,11 @@ def overlapping(names: DataFrame) -> DataFrame:
 def mark_contested(keyed: DataFrame, names: DataFrame, min_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
     """Add ``contested``: whether another record may write the same (key, ts).
 
-    Counting (recording, key, ts) moves no payload and needs no sort. Usually few or no
-    records are contested, and all others need no further shuffle.
+    Suspects are found where records are read; only they are counted. Usually few or no
+    records are contested, and no other one is shuffled, neither its key nor its payload.
     """
     shared, n_shared = stage_counted(overlapping(names), "shared-keys")
-    again = keyed.filter(~is_schema()).groupBy(*ENTRY_KEY).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    twice, n_twice = stage_counted(again.drop("_n"), "repeated-writes")
+    twice, n_twice = repeated(keyed.filter(~is_schema()), ENTRY_KEY[:2], ENTRY_KEY[2], min_rows=min_rows)
     marks = []
     if n_shared:
         keyed = lookup_join(keyed, shared.withColumn("_shared", F.lit(True)), ["recording", "key"], "left", min_rows=min_rows)

@@ -141,6 +141,24 @@ def restarted_logs(spark: SparkSession, sf_dir: str) -> Ingest:
     return Ingest(_files(frames))
 
 
+HOUR = 3_600_000_000
+
+
+@once
+def shared_logs(spark: SparkSession, sf_dir: str) -> Ingest:
+    """Writes that meet, their times cut to the hour: ``view`` has two ids of one name, the id of ``click`` is named
+    ``later`` from place 2000 on, and ``error`` writes arrays of one element above the scalars ``0`` of ``signup``."""
+    ev = events(spark, sf_dir).withColumn("t", F.col("t") - F.col("t") % HOUR)
+    entry, kind = _event_entry(), F.col("event_type")
+    entry = F.when((kind == "view") & (F.col("event_id") % 2 == 1), 500 + F.col("robot")).otherwise(entry)
+    name = F.concat(F.lit("NT:/robot/"), F.col("robot").cast("string"))
+    leaf = F.when(kind == "signup", "0").otherwise(kind)
+    name = F.when(kind == "error", name).otherwise(F.concat(name, F.lit("/"), leaf))
+    again = _starts(ev.filter(kind == "click"), entry, _robot_name(F.lit("later")), F.lit("double"), F.lit(399_801) + F.col("robot"))
+    frames = _data(ev, entry, E.le_double(F.col("value")), F.col("pos") * 200).unionByName(again)
+    return Ingest(_files(frames.unionByName(_starts(ev, entry, name, F.when(kind == "error", "double[]").otherwise("double")))))
+
+
 FIELDS = {  # leaf -> (type, payload)
     "id": ("int64", lambda: E.le_int(F.col("event_id"), 8)),
     "high": ("boolean", lambda: E.le_int((F.col("value") > 50).cast("bigint"), 1)),

@@ -396,6 +396,19 @@ def last_write_wins(spark, sf_dir):
     return entries.entries(views.line_cells(spark, sf_dir)).select("key", "ts", F.col("v_double").alias("value"))
 
 
+@query(f"""
+WITH {EVENTS},
+writes AS (
+  SELECT recording, pos, ts - ts % 3600000000 AS ts, value, 'robot/' || robot || '/' || CASE
+    WHEN event_type = 'click' AND pos >= 2000 THEN 'later' WHEN event_type IN ('error', 'signup') THEN '0' ELSE event_type END AS key FROM ev
+  UNION ALL SELECT recording, pos, ts - ts % 3600000000, 1.0, 'robot/' || robot || '/length' FROM ev WHERE event_type = 'error')
+SELECT recording, key, ts, arg_max(value, pos) AS value FROM writes GROUP BY recording, key, ts
+""")
+def contested_writes(spark, sf_dir):
+    rows = fresh(views.shared_logs(spark, sf_dir)).entries
+    return rows.select("recording", "key", "ts", F.coalesce("v_double", F.col("v_long").cast("double")).alias("value"))
+
+
 @query(f"SELECT key, count(*) AS n, max(ts) AS last_ts, sum(value) AS total FROM ({LAST_WRITES}) GROUP BY key")
 def change_set(spark, sf_dir):
     changes = entries.change_set(entries.entries(views.line_cells(spark, sf_dir)))
