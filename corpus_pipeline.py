@@ -15,6 +15,19 @@ from tracklake.llm.common import Stage, table
 
 #: Ids that a broadcast may hold: 16 MB at most.
 BROADCAST_IDS = 1_000_000
+#: Rows and bytes of a batch that goes to a Python worker; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Hold batches between the executor and its Python workers to ``BATCH_BYTES``, unless the session asks for less still.
+
+    Both sides keep copies of a batch, outside the heap, for each running task.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+        spark.conf.set(name, str(min(now, most) if now > 0 else most))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -38,6 +51,7 @@ def _without(spark: SparkSession, marked: DataFrame, found: DataFrame, by: str,
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter go, and those whose best score is under 1.2 times chance (1 / number of languages), or under a half if that is less."""
+    _small_batches(spark)
     return language.accept(spark, docs)
 
 
@@ -46,6 +60,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Different texts with the same doc_id are different documents.
     """
+    _small_batches(spark)
     tables = Stage(spark, "near-copies-work")
     marked = _marked(docs)
     texts = marked.where("id IS NOT NULL").select("id", "mark").distinct()
@@ -67,6 +82,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document, or the same one earlier, holds are cut out; n_chars follows."""
+    _small_batches(spark)
     cut = substrings.without_repeats(spark, docs)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
