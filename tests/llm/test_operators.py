@@ -7,6 +7,7 @@ import random
 import re
 from html.parser import HTMLParser
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -580,6 +581,59 @@ def test_license_places_and_labels(spark, odd):
     assert licenses.scan_licenses(spark, odd.limit(0)).count() == 0
 
 
+def test_licenses_against_every_alignment(spark):
+    """Edited texts in other words, found by the index as by trying every place of every template."""
+    for t, phrases in enumerate(licenses._PHRASES):
+        assert all(len(set(p)) > 1 and any(licenses._SPLIT[t][k : k + len(p)] == p for k in range(len(licenses._SPLIT[t]))) for p in phrases)
+    rng = random.Random(10)
+    common = [w.decode() for w in licenses.VOCABULARY] + WORDS
+    rows = []
+    for i in range(120):
+        label, text, _ = licenses.TEMPLATES[i % len(licenses.TEMPLATES)]
+        words = text.split()
+        for _ in range(rng.choice([0, 0, 1, 2, len(words) // 4, len(words) // 2])):
+            k = rng.randrange(len(words))
+            words[k : k + rng.choice([0, 1, 1, 3])] = rng.choices(common, k=rng.choice([0, 1, 1, 5]))
+            words = words or ["x"]
+        rows.append((i, " ".join(rng.choices(common, k=rng.choice([0, 30])) + words + rng.choices(common, k=20)), None, None))
+    got = by_id(licenses.scan_licenses(spark, docs_of(spark, rows)))
+    some = 0
+    for i, text, *_ in rows:
+        words = licenses._words(pa.scalar(text.encode()))
+        want, best = set(filter(None, got[i]["base_labels"].split(","))), 1.0 if got[i]["n_base"] else 0.0
+        for t, (label, *_) in enumerate(licenses.TEMPLATES):
+            for j, w in enumerate(licenses._SPLIT[t]):
+                for k in [k for k, x in enumerate(words) if x == w] if any(w in p for p in licenses._PHRASES[t]) else []:
+                    if like := licenses._matches(words, t, k, j):
+                        want.add(label)
+                        best = max(best, like)
+        assert set(filter(None, got[i]["labels"].split(","))) == want, (i, text)
+        assert got[i]["score"] <= best
+        some += bool(want)
+    assert 50 < some < 120
+    rows = [(t, f"(c) 2020\n{text} end", None, None) for t, (_, text, _) in enumerate(licenses.TEMPLATES)]
+    got = by_id(licenses.scan_licenses(spark, docs_of(spark, rows)))
+    assert all(label in got[t]["labels"].split(",") for t, (label, *_) in enumerate(licenses.TEMPLATES))
+
+
+def test_license_base_columns_by_sql(spark):
+    rng = random.Random(11)
+    parts = ["under the mit license", "Apache License\nversion-2", "cc by", "nc", "mit", "under the", "é", "x_2"]
+    rows = [(i, None if i == 7 else " ".join(rng.choices(parts, k=rng.randrange(9)))) for i in range(150)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    phrases = " UNION ALL ".join(f"SELECT '{p}' AS p, '{label}' AS label" for p, label in licenses.BASE)
+    want = con.execute(f"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+        p AS (SELECT string_split(p, ' ') AS p, label FROM ({phrases})),
+        f AS (SELECT doc_id, label, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM w), p WHERE list_slice(w, i + 1, i + len(p)) = p)
+        SELECT w.doc_id, len(w), count(i), min(i), max(i), coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') FROM w LEFT JOIN f USING (doc_id) GROUP BY ALL
+    """).fetchall()
+    got = licenses.scan_licenses(spark, spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # --- pipeline
 
 

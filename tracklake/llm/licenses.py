@@ -1,16 +1,18 @@
 """License scan by a positional index of rare license words.
 
-1. A pass over all texts counts in how many documents each word of the license templates stands.
-2. The index word -> (template, place) holds, of each template, the words of its mandatory phrases
-   with the highest inverse document frequency, so every alignment that can count is found
-   and common words are never looked up. Each document looks up those of its words;
-   word place minus template place is a vote for an alignment. Alignments are checked word
-   by word, and count if enough of the template is there and its mandatory phrases stand in
-   the aligned span.
-
-The templates and the index are fixed and small; document counts come back as one number per
-template word. Null texts count as empty; empty texts have no words, no labels and score 0;
-repeated rows are each scanned.
+1. A pass over all texts counts in how many documents each word of a mandatory phrase stands.
+2. The index holds the places (template, place) of these words in the texts of ``license_texts``. A file looks up its
+   own words by falling inverse document frequency, for a template until two of one phrase are looked up,
+   and for none that lacks a phrase's word.
+3. Postings are intersected by relative position: a shift (word place minus template place) on which two
+   different words agree is an alignment. A file that holds a phrase has its two words on one shift, so none is missed.
+4. From the alignment the template is laid over the file word by word, both ways; after up to ``DRIFT`` words put in
+   or left out it goes on where three words agree. It counts if ``COVERAGE`` of the template is there and
+   its mandatory phrases stand in the span laid over.
+
+The texts and the index are fixed and small; document counts come back as one number per word. Null
+texts count as empty; empty texts have no words, no labels and score 0; repeated rows are each scanned, also those with
+a null doc_id. Several templates may match one file: all their labels are given, and the best score.
 """
 
 from __future__ import annotations
@@ -25,37 +27,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm.common import exact, table
+from tracklake.llm.license_texts import TEMPLATES
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Phrases whose places are counted, with their labels. Fixed values.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: label, notice, phrases that must stand in the aligned span. Fixed values.
-TEMPLATES = (
-    ("mit", "released under the mit license", ("mit license",)),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
-    ("apache-2", "licensed under the apache license version 2 0", ("apache license version 2",)),
-    ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", ("apache org licenses",)),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license", "version 3")),
-    ("gpl-2", "this work is licensed under the gnu general public license version 2", ("gnu general public license", "version 2")),
-    ("lgpl", "licensed under the gnu lesser general public license", ("gnu lesser general public license",)),
-    ("agpl-3", "licensed under the gnu affero general public license version 3", ("gnu affero general public license",)),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "source and binary forms")),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify", "is hereby granted")),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
-    ("cc-by", "licensed under cc by 4 0", ("cc by 4",)),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ("waived all copyright",)),
-)
-#: Words of each template in the index; share of a template that must be there.
-RARE_WORDS = 2
+#: Share of a template that must be there; words put in or left out at one place.
 COVERAGE = 0.6
+DRIFT = 16
+_DRIFTS = [d for n in range(1, DRIFT + 1) for d in (n, -n)]
 
-_SPLIT = [[w.encode() for w in text.split()] for _, text, _ in TEMPLATES]
-_PHRASES = [[[w.encode() for w in p.split()] for p in phrases] for *_, phrases in TEMPLATES]
-VOCABULARY = sorted({w for words in _SPLIT for w in words})
-_BASE = [([w.encode() for w in p.split()], label) for p, label in BASE]
+
+def _split(text: str) -> list[bytes]:
+    return _WORD.findall(text.lower().encode())
+
+
+_SPLIT = [_split(text) for _, text, _ in TEMPLATES]
+_PHRASES = [[_split(p) for p in phrases] for *_, phrases in TEMPLATES]
+_NEEDED = [frozenset(w for p in phrases for w in p) for phrases in _PHRASES]
+VOCABULARY = sorted(frozenset().union(*_NEEDED))
+_BASE = [(_split(p), label) for p, label in BASE]
 
 
 def _words(text) -> list[bytes]:
@@ -77,32 +68,93 @@ def _places(words: list[bytes], phrase: list[bytes], at: dict[bytes, list[int]])
     return [i for i in at.get(phrase[0], ()) if words[i : i + n] == phrase]
 
 
+def _lay(words: list[bytes], template: list[bytes], i: int, j: int) -> tuple[int, int, int]:
+    """Template words found, first and last word of the span, from template word ``j`` on ``words[i]`` both ways; 0 found if too few."""
+    found, missed, ends = 1, 0, []
+    for step, stop in ((1, len(template)), (-1, -1)):
+        at, last, k = i, i, j + step
+        while k != stop:
+            at += step
+            if 0 <= at < len(words) and words[at] == template[k]:
+                found, last = found + 1, at
+            else:
+                lo, hi = (0, 3) if step > 0 else (-2, 1)
+                ahead = template[k + lo : k + hi] if k + lo >= 0 else []
+                moved = next((d for d in _DRIFTS if (at + d - last) * step > 0 and at + d + lo >= 0 and words[at + d + lo : at + d + hi] == ahead), None) if len(ahead) == 3 else None
+                if moved is None:
+                    missed += 1
+                    if len(template) - missed < COVERAGE * len(template):
+                        return 0, i, i
+                else:
+                    at += moved
+                    found, last = found + 1, at
+            k += step
+        ends.append(last)
+    return found, ends[1], ends[0]
+
+
+def _matches(words: list[bytes], t: int, i: int, j: int) -> float:
+    """Share of template ``t`` found where its word ``j`` lies on ``words[i]``; 0 if it doesn't count."""
+    found, first, last = _lay(words, _SPLIT[t], i, j)
+    if found < COVERAGE * len(_SPLIT[t]):
+        return 0.0
+    span = words[first : last + 1]
+    there = all(any(span[k : k + len(p)] == p for k, w in enumerate(span) if w == p[0]) for p in _PHRASES[t])
+    return found / len(_SPLIT[t]) if there else 0.0
+
+
 def _scanner(weight: dict[bytes, float]):
-    index = defaultdict(list)
+    index, phrases_of, templates_of = defaultdict(list), defaultdict(set), defaultdict(set)
     for t, words in enumerate(_SPLIT):
-        rare = sorted({w for phrase in _PHRASES[t] for w in phrase}, key=lambda w: (-weight[w], w))[:RARE_WORDS]
-        for i, w in enumerate(words):
-            if w in rare:
-                index[w].append((t, i))
-    known = frozenset(index) | {phrase[0] for phrase, _ in _BASE}
+        for j, w in enumerate(words):
+            if w in _NEEDED[t]:
+                index[w].append((t, j))
+                templates_of[w].add(t)
+        for p, phrase in enumerate(_PHRASES[t]):
+            for w in phrase:
+                phrases_of[t, w].add(p)
+    rank = {w: n for n, w in enumerate(sorted(VOCABULARY, key=lambda w: (-weight[w], w)))}
+    known = frozenset(VOCABULARY)
+
+    def look_up(held: frozenset[bytes]) -> dict[bytes, set[int]]:
+        """The file's words to look up, each with the templates that it is looked up for."""
+        able = [t for t, needed in enumerate(_NEEDED) if needed <= held]
+        wanted, open_ = {}, {t: [0] * len(_PHRASES[t]) for t in able}
+        for w in sorted(held, key=rank.__getitem__):
+            if not open_:
+                break
+            if of := templates_of[w] & open_.keys():
+                wanted[w] = of
+            for t in of:
+                for p in phrases_of[t, w]:
+                    open_[t][p] += 1
+                if 2 in open_[t]:
+                    del open_[t]
+        return wanted
 
     def scan(words: list[bytes]) -> tuple[list[int], set[str], set[str], float, int]:
+        every = frozenset(words)
+        wanted = look_up(known & every)
+        phrases = [(p, label) for p, label in _BASE if every.issuperset(p)]
         at = defaultdict(list)
-        for i, w in enumerate(words):
-            if w in known:
-                at[w].append(i)
-        base = {label: found for phrase, label in _BASE if (found := _places(words, phrase, at))}
-        votes = {(t, i - j) for w in at if w in index for t, j in index[w] for i in at[w]}
+        if wanted or phrases:
+            kept = wanted.keys() | {p[0] for p, _ in phrases}
+            for i, w in enumerate(words):
+                if w in kept:
+                    at[w].append(i)
+        base = {label: found for phrase, label in phrases if (found := _places(words, phrase, at))}
         labels, score = set(base), 1.0 if base else 0.0
-        for t, begin in votes:
-            template = _SPLIT[t]
-            hits = sum(0 <= begin + k < len(words) and words[begin + k] == w for k, w in enumerate(template))
-            if hits < COVERAGE * len(template):
-                continue
-            span = words[max(0, begin) : begin + len(template)]
-            if all(any(span[k : k + len(p)] == p for k in range(len(span))) for p in _PHRASES[t]):
+        one, aligned = {}, {}
+        for w, of in wanted.items():
+            for t, j in index[w]:
+                if t in of:
+                    for i in at[w]:
+                        if one.setdefault((t, i - j), w) != w:
+                            aligned[t, i - j] = i, j
+        for (t, _), (i, j) in aligned.items():
+            if like := _matches(words, t, i, j):
                 labels.add(TEMPLATES[t][0])
-                score = max(score, hits / len(template))
+                score = max(score, like)
         return sorted({i for found in base.values() for i in found}), set(base), labels, score, sum(map(len, base.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
