@@ -15,7 +15,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
@@ -64,17 +64,18 @@ def suspects(rows: DataFrame, by: list[str], on: str, unit_rows: int = UNIT_ROWS
         {"_group": F.xxhash64(*by), "_at": F.coalesce(F.col(on).cast("bigint"), F.lit(least)), "_write": F.xxhash64(*by, on)}
     )
     seen = spotted.select("_group", "_at", "_write").mapInArrow(_units(unit_rows), "group bigint, first bigint, last bigint, twice bigint")
-    seen = stage(seen, "units")
+    counted = Observation()
+    seen = stage(seen.observe(counted, F.count("twice").alias("n")), "units")
     before = Window.partitionBy("group").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     spans = seen.filter("twice is null").withColumn("reach", F.max("last").over(before)).filter("first <= reach")
     shared = spans.groupBy(F.col("group").alias("_group")).agg(F.min("first").alias("_first"), F.max(F.least("last", "reach")).alias("_last"))
     shared, n_shared = stage_counted(shared, "shared-spans")
-    twice, n_twice = stage_counted(seen.filter("twice is not null").select(F.col("twice").alias("_write")).distinct(), "repeated-hashes")
     marks = []
     if n_shared:
         spotted = lookup_join(spotted, shared, ["_group"], "left", min_rows=min_rows)
         marks.append(F.coalesce(F.col("_at").between(F.col("_first"), F.col("_last")), F.lit(False)))
-    if n_twice:
+    if counted.get["n"]:
+        twice = stage(seen.filter("twice is not null").select(F.col("twice").alias("_write")).distinct(), "repeated-hashes")
         spotted = lookup_join(spotted, twice.withColumn("_twice", F.lit(True)), ["_write"], "left", min_rows=min_rows)
         marks.append(F.coalesce("_twice", F.lit(False)))
     return spotted.filter(reduce(or_, marks)).select(*by, on) if marks else None
