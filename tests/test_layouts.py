@@ -98,3 +98,17 @@ def test_huge_counts_cost_nothing_and_spoil_nothing_else(spark):
     assert sizes["struct:Legal"] == (None, 1_200_000_002, 5)
     assert sizes["struct:Out"][0] == sizes["struct:Deep"][0] == sizes["struct:Deeper"][0] == "layout too large"
     assert sizes["struct:Nones"] == (None, 1, 2)
+
+
+def test_chains_have_a_layout_where_they_are_whole(spark):
+    """A chain registered from its head on: not a layout for each registration in between; a type that comes with a second version counts."""
+    chain = [schema(i + 1, f"C{i}", "int8 a; " + ("double x" if i == 6 else f"C{i + 1} next")) for i in range(7)]
+    late = [schema(1, "A", "int8 a"), schema(2, "B", "A a"), rec(1, 0, b"int8 a; D d"), schema(3, "D", "int16 d")]
+    loop = [schema(1, "L", "M m"), schema(2, "M", "L l")]
+    got = contents(spark, chain=log(*chain), late=log(*late), loop=log(*loop))
+    rows = {(r.recording, r.struct_name.removeprefix("struct:"), r.schema_seq): (r.complete, r.problem, r.struct_size) for r in got.layouts.collect()}
+    assert {k[1:]: v for k, v in rows.items() if k[0] == "chain"} == {(f"C{i}", 13): (True, None, 15 - i) for i in range(7)}
+    assert {k[1:]: v[0] for k, v in rows.items() if k[0] == "late"} == {
+        ("A", 1): True, ("A", 4): False, ("A", 6): True, ("B", 3): True, ("B", 4): False, ("B", 6): True, ("D", 6): True,
+    }
+    assert {k[1:]: v[1] for k, v in rows.items() if k[0] == "loop"} == {("L", 3): "recursive struct", ("M", 3): "recursive struct"}

@@ -38,6 +38,8 @@ _FIELD = (
     rf"(?:\[{_WS}([0-9]+){_WS}\])?{_WS}(.*)$"
 )
 
+_MARK = "\x01"
+
 
 def _enum_labels(block: Column) -> Column:
     names = F.regexp_extract_all(block, F.lit(_LABEL), F.lit(1))
@@ -48,19 +50,42 @@ def _enum_labels(block: Column) -> Column:
     return F.map_from_entries(F.transform(kept, lambda p: F.struct(p["label"], p["number"].try_cast("bigint"))))
 
 
-def _field(piece: Column) -> Column:
-    part = lambda n: F.regexp_extract(piece, _FIELD, n)
-    block, count = part(1), F.nullif(part(4).try_cast("bigint"), F.lit(0).cast("bigint"))
+def _field(cut: Column) -> Column:
+    """A field from what ``_cut`` made of its text."""
+    block, count = cut["block"], F.nullif(cut["count"].try_cast("bigint"), F.lit(0).cast("bigint"))
     return F.struct(
-        (piece.rlike(_FIELD) & ((block == "") | block.rlike(_ENUM))).alias("ok"),
-        F.trim(part(5)).alias("rest"),
-        part(3).alias("field"),
-        part(2).alias("type"),
+        (cut["ok"] & ((block == "") | block.rlike(_ENUM))).alias("ok"),
+        F.trim(cut["rest"]).alias("rest"),
+        cut["field"].alias("field"),
+        cut["type"].alias("type"),
         count.alias("count"),
         F.when(block != "", _enum_labels(block)).alias("enum"),
     )
 
 
+def _cut(piece: Column) -> Column:
+    """The groups of ``_FIELD``, all empty where it does not match.
+
+    One replacement yields them: type, name and count hold no mark, and a block ends with its only closing brace.
+    """
+    whole = F.when(piece.rlike(_FIELD), F.split(F.regexp_replace(piece, _FIELD, f"$2{_MARK}$3{_MARK}$4{_MARK}$1|$5"), _MARK, 4))
+    return F.transform(F.array(whole), _groups)[0]
+
+
+def _groups(part: Column) -> Column:
+    last = F.get(part, 3)
+    end = F.when(F.startswith(last, F.lit("{")), F.locate("}", last)).otherwise(0)
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    return F.struct(
+        part.isNotNull().alias("ok"),
+        empty(F.get(part, 0)).alias("type"),
+        empty(F.get(part, 1)).alias("field"),
+        empty(F.get(part, 2)).alias("count"),
+        empty(F.substring(last, F.lit(1), end)).alias("block"),
+        empty(F.substring(last, end + F.lit(2), F.length(last))).alias("rest"),
+    )
+
+
 def parse_schema_text(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``fields`` (array in declaration order) and ``incomplete`` for a schema text column.
 
@@ -68,7 +93,7 @@ def parse_schema_text(df: DataFrame, text: str = "text") -> DataFrame:
     something other than blanks was left.
     """
     out = df.withColumn("_pieces", F.split(text, _BETWEEN_FIELDS))
-    out = out.withColumn("_parsed", F.transform("_pieces", _field))
+    out = out.withColumn("_cut", F.transform("_pieces", _cut)).withColumn("_parsed", F.transform("_cut", _field))
     out = out.withColumn(
         "_stop", F.array_position(F.transform("_parsed", lambda p: p["ok"] & (p["rest"] == "")), False).cast("int")
     )
@@ -98,7 +123,7 @@ def parse_schema_text(df: DataFrame, text: str = "text") -> DataFrame:
                 p["enum"].alias("enum"),
             ),
         ),
-    ).drop("_pieces", "_parsed", "_stop", "_kept")
+    ).drop("_pieces", "_cut", "_parsed", "_stop", "_kept")
 
 
 def schemas(keyed: DataFrame) -> DataFrame:
@@ -134,25 +159,29 @@ def versions(schemas: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     return closed.drop("_down").withColumn("until_seq", F.coalesce("_next", F.lit((1 << 63) - 1))).drop("_next")
 
 
-def _references(vers: DataFrame, names: DataFrame) -> DataFrame:
-    """Distinct (recording, parent, child type, child struct); ``struct:`` names come first."""
-    used = (
-        vers.select("recording", F.col("struct_name").alias("parent"), F.explode("fields").alias("f"))
-        .select("recording", "parent", F.col("f.type").alias("type"))
-        .filter(~F.col("type").isin(*WIDTHS))
-        .distinct()
-    )
+def _references(vers: DataFrame) -> DataFrame:
+    """(recording, parent, type, always): the nested types of each struct, and whether all its versions have them."""
+    types = F.array_distinct(F.transform("fields", lambda f: f["type"]))
+    used = vers.select("recording", F.col("struct_name").alias("parent"), F.explode(types).alias("type")).filter(~F.col("type").isin(*WIDTHS))
+    uses = used.groupBy("recording", "parent", "type").agg(F.count(F.lit(1)).alias("_uses"))
+    counts = vers.groupBy("recording", F.col("struct_name").alias("parent")).agg(F.count(F.lit(1)).alias("_versions"))
+    return uses.join(counts, ["recording", "parent"]).select("recording", "parent", "type", (F.col("_uses") == F.col("_versions")).alias("always"))
+
+
+def _resolved(refs: DataFrame, names: DataFrame) -> DataFrame:
+    """(recording, type, child): the struct that a type names, in any of its versions; ``struct:`` names come first."""
     known = names.select("recording", F.col("struct_name").alias("child"))
-    options = used.withColumn("child", F.explode(F.array(F.concat(F.lit("struct:"), "type"), F.col("type"))))
-    found = options.join(known, ["recording", "child"], "left_semi").groupBy("recording", "parent", "type").agg(
+    options = refs.select("recording", "type").distinct().withColumn("child", F.explode(F.array(F.concat(F.lit("struct:"), "type"), F.col("type"))))
+    return options.join(known, ["recording", "child"], "left_semi").groupBy("recording", "type").agg(
         F.max(F.struct(F.startswith("child", F.lit("struct:")), "child"))["child"].alias("child")
     )
-    return used.join(found, ["recording", "parent", "type"], "left")
 
 
 def layouts(vers: DataFrame) -> DataFrame:
     """Layout of every struct at every registration that concerns it.
 
+    Registrations before every struct that all versions nest was first there are left out, as no layout can be complete at them:
+    a record there waits for the next one, whether they are listed or not.
     (recording, struct_name, schema_seq, complete, missing, problem, struct_size, leaves), with
     leaves in byte order: (pieces, dims, prim, offset, count, width). A layout is as large as
     its schema text whatever the counts in it: an array of structs is one ``length`` leaf and one set of leaves with a dimension
@@ -160,19 +189,15 @@ def layouts(vers: DataFrame) -> DataFrame:
     its path has the indexes between the ``pieces``. ``leaf_elements`` makes them.
     """
     vers = stage(vers, "schema-versions")
-    names = vers.select(*SCHEMA).distinct()
-    refs, nested = stage_counted(_references(vers, names), "schema-references")
-    members = _members(names, refs) if nested else names.withColumn("member", F.col("struct_name"))
-    firsts = vers.groupBy(*SCHEMA).agg(F.min("schema_seq").alias("_first"))
-    epochs = (
-        members.join(
-            vers.select("recording", F.col("struct_name").alias("member"), "schema_seq"), ["recording", "member"]
-        )
-        .join(firsts, SCHEMA)
-        .filter("schema_seq >= _first")
-        .select(*EPOCH)
-        .distinct()
-    )
+    firsts = vers.groupBy(*SCHEMA).agg(F.min("schema_seq").alias("need"))
+    refs, nested = stage_counted(_references(vers), "schema-references")
+    if nested:
+        children = stage(_resolved(refs, firsts), "schema-children")
+        edges = stage(refs.join(children, ["recording", "type"]).groupBy("recording", "parent", "child").agg(F.max("always").alias("always")), "schema-edges")
+        epochs = _epochs(vers, _needs(firsts, edges), edges)
+        steps = stage(_steps(children, vers), "schema-steps")
+    else:
+        epochs = vers.select(*EPOCH)
     own = vers.select(*SCHEMA, F.col("schema_seq").alias("_from"), "until_seq", "fields", "incomplete")
     roots = epochs.join(own, SCHEMA).filter("schema_seq >= _from and schema_seq < until_seq").drop("_from", "until_seq")
     level = roots.select(
@@ -193,7 +218,7 @@ def layouts(vers: DataFrame) -> DataFrame:
         level, pending = stage_counted(level.filter(~plain), "schema-level")
         if not pending:
             break
-        level, found = _descend(level, refs, vers)
+        level, found = _descend(level, steps)
         parts.append(found)
     leaves = parts[0]
     for more in parts[1:]:
@@ -201,23 +226,57 @@ def layouts(vers: DataFrame) -> DataFrame:
     return _assemble(roots, leaves)
 
 
-def _members(names: DataFrame, refs: DataFrame) -> DataFrame:
-    """(recording, struct_name, member): each struct with everything nested in it, by name."""
-    edges = refs.filter("child is not null").select("recording", F.col("parent").alias("_via"), "child").distinct()
-    found = names.withColumn("member", F.col("struct_name"))
-    fresh = found
+def _needs(firsts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(recording, struct_name, need): the first registration at which everything that a struct always nests, at any depth, is there.
+
+    Jumps double: after k rounds ``need`` covers what lies less than 2^k deep, and ``far`` leads to what lies 2^k deep. So chains take as
+    many rounds as their length has binary digits; a round that changes nothing is the last one, also where structs hold themselves.
+    """
+    needs, far = firsts, edges.filter("always").select("recording", "parent", "child")
     while True:
-        step = (
-            fresh.withColumnRenamed("member", "_via")
-            .join(edges, ["recording", "_via"])
-            .select(*SCHEMA, F.col("child").alias("member"))
-            .distinct()
-        )
-        fresh, grown = stage_counted(step.join(found, [*SCHEMA, "member"], "left_anti"), "schema-members")
+        below = needs.select("recording", F.col("struct_name").alias("child"), F.col("need").alias("_below"))
+        most = far.join(below, ["recording", "child"]).groupBy("recording", F.col("parent").alias("struct_name")).agg(F.max("_below").alias("_below"))
+        raised = needs.join(most, SCHEMA, "left")
+        raised = raised.select(*SCHEMA, F.greatest("need", "_below").alias("need"), (F.col("_below") > F.col("need")).alias("_up"))
+        raised = stage(raised, "schema-needs")
+        needs = raised.select(*SCHEMA, "need")
+        if raised.filter("_up").isEmpty():
+            return needs
+        on = far.select("recording", F.col("parent").alias("_via"), F.col("child").alias("_next"))
+        far = far.withColumnRenamed("child", "_via").join(on, ["recording", "_via"]).select("recording", "parent", F.col("_next").alias("child")).distinct()
+        far = stage(far, "schema-jumps")
+
+
+def _epochs(vers: DataFrame, needs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The registrations of each struct and of what it nests from its ``need`` on, distinct.
+
+    Only those later than a struct's own ``need`` have to be handed to the structs that nest it; where no schema is
+    registered twice there are none.
+    """
+    later = vers.join(needs, SCHEMA).filter("schema_seq > need").select(*EPOCH)
+    found, some = stage_counted(later, "schema-epochs")
+    own = needs.select(*SCHEMA, F.col("need").alias("schema_seq"))
+    up = lambda rows, by: rows.withColumnRenamed("struct_name", "child").join(by.select("recording", "child", F.col("parent").alias("struct_name")), ["recording", "child"])
+    new = lambda rows: rows.join(needs, SCHEMA).filter("schema_seq > need").select(*EPOCH).distinct()
+    at_times = edges.filter("not always")
+    if not some and at_times.isEmpty():
+        return own
+    fresh = up(found, edges).unionByName(up(own, at_times))
+    while True:
+        fresh, grown = stage_counted(new(fresh).join(found, EPOCH, "left_anti"), "schema-epochs")
         if not grown:
-            break
+            return found.unionByName(own)
         found = found.unionByName(fresh)
-    return found
+        fresh = up(fresh, edges)
+
+
+def _steps(children: DataFrame, vers: DataFrame) -> DataFrame:
+    """What each nested type of a recording holds, by the span of registrations for which it does."""
+    inner = vers.select(
+        "recording", F.col("struct_name").alias("child"), F.col("schema_seq").alias("_from"), "until_seq",
+        F.col("fields").alias("_inner"), F.col("incomplete").alias("_inner_bad"),
+    )
+    return children.withColumnRenamed("type", "_type").join(inner, ["recording", "child"])
 
 
 def _leaf_rows(level: DataFrame, prim: Column, count: Column) -> DataFrame:
@@ -248,22 +307,11 @@ def _flagged(level: DataFrame, missing: Column | None = None, problem: Column |
     )
 
 
-def _descend(level: DataFrame, refs: DataFrame, vers: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _descend(level: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Replace struct-typed fields by the fields of their type as of the same epoch."""
-    inner = vers.select(
-        "recording", F.col("struct_name").alias("child"), F.col("schema_seq").alias("_from"), "until_seq",
-        F.col("fields").alias("_inner"), F.col("incomplete").alias("_inner_bad"),
-    )
-    via = refs.select("recording", F.col("parent").alias("_parent"), F.col("type").alias("_type"), "child")
-    typed = (
-        level.withColumn("_parent", F.element_at("_above", -1))
-        .withColumn("_type", F.col("_f.type"))
-        .join(via, ["recording", "_parent", "_type"], "left")
-        .drop("_parent", "_type")
-    )
     current = (F.col("l.schema_seq") >= F.col("v._from")) & (F.col("l.schema_seq") < F.col("v.until_seq"))
-    same = (F.col("l.recording") == F.col("v.recording")) & (F.col("l.child") == F.col("v.child"))
-    hit = typed.alias("l").join(inner.alias("v"), same & current, "left").select("l.*", "v._inner", "v._inner_bad")
+    same = (F.col("l.recording") == F.col("v.recording")) & (F.col("l._f.type") == F.col("v._type"))
+    hit = level.alias("l").join(steps.alias("v"), same & current, "left").select("l.*", "v.child", "v._inner", "v._inner_bad")
     hit = hit.withColumn("_loop", F.array_contains("_above", F.col("child")))
     count = F.col("_f.count")
     too_long = F.coalesce(count > MAX_ELEMENTS, F.lit(False))
@@ -322,7 +370,8 @@ def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
         .withColumn("_total", F.when(F.col("prim").isNull(), long(0)).otherwise(_times(F.col("arrays"), own)))
         .withColumn("_start", F.coalesce(F.sum("_total").over(before), long(0)))
     )
-    leaf = F.struct("_order", "_start", "_total", "arrays", "pieces", "prim", F.col("count").cast("int").alias("count"), "width")
+    at = F.when(F.col("prim") == "length", F.array_join(F.col("_order").cast("array<string>"), ".")).alias("at")
+    leaf = F.struct("_order", "_start", "_total", at, "arrays", "pieces", "prim", F.col("count").cast("int").alias("count"), "width")
     packed = placed.groupBy(*EPOCH).agg(
         F.sum("_total").alias("_size"),
         F.min("missing").alias("missing"),
@@ -332,9 +381,8 @@ def _assemble(roots: DataFrame, leaves: DataFrame) -> DataFrame:
 
     def span(x: Column) -> Column:
         """Of an array, seen from its length leaf: where it starts, and the bytes of all its elements."""
-        at = F.array_join(x["_order"].cast("array<string>"), ".")
-        inside = F.filter("_leaves", lambda y: F.exists(y["arrays"], lambda a: a["at"] == at))
-        return F.struct(at, F.struct(x["_start"].alias("start"), F.aggregate(inside, long(0), lambda n, y: n + y["_total"]).alias("bytes")))
+        inside = F.filter("_leaves", lambda y: F.exists(y["arrays"], lambda a: a["at"] == x["at"]))
+        return F.struct(x["at"], F.struct(x["_start"].alias("start"), F.aggregate(inside, long(0), lambda n, y: n + y["_total"]).alias("bytes")))
 
     spans = F.map_from_entries(F.transform(F.filter("_leaves", lambda x: x["prim"] == "length"), span))
 
