@@ -147,3 +147,20 @@ def test_ranges_read_odd_paths_and_keep_torn_tails(spark, tmp_path):
     assert [bytes(r["data"]) for r in torn] == [bytes(r["data"]) for r in whole.decoded.filter("part = 'problem'").collect()] and len(torn) == 1
     key = lambda df: sorted((r["seq"], r["entry_id"], r["ts"], bytes(r["data"])) for r in df.collect())
     assert key(ranged.filter("entry_id > 0 and issue is null")) == key(whole.records.filter("kind = 'raw'"))
+
+
+def test_partitioned_tables_are_written_unsorted(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tracklake.session import stage
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(int(spark.conf.get(name, "0"))), write(self, path)))
+    rows = spark.range(0, 1000, 1, 3).selectExpr("id", "concat('p', id % 4) AS part")
+    got = stage(rows, "parts", "part")
+    assert seen[0] >= 4 and spark.conf.get(name, None) == before
+    assert sorted(map(tuple, got.collect())) == [(i, f"p{i % 4}") for i in range(1000)]
+    assert len({r[0].split("part=")[1].split("/")[0] for r in got.selectExpr("input_file_name()").collect()}) == 4
+    many = stage(spark.range(0, 100, 1, 1).selectExpr("id", "id % 40 AS part"), "many", "part")  # more than may be open
+    assert sorted(r.id for r in many.collect() if r.part == r.id % 40) == list(range(100))
