@@ -209,3 +209,18 @@ def test_only_suspects_are_counted(spark):
     assert collisions.suspects(df, ["r", "k"], "t").count() == 3
     assert collisions.suspects(df.limit(0), ["r", "k"], "t") is None
     assert collisions.repeated(df.limit(0), ["r", "k"], "t")[1] == 0
+
+
+def test_a_unit_holds_half_a_million_rows():
+    """A task holds one unit and some copies of it, whatever its share of the rows is."""
+    import numpy as np
+    import pyarrow as pa
+
+    def batches():
+        for lo in range(0, 1_000_000, 10_000):
+            at = pa.array(np.arange(lo, lo + 10_000))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(10_000, np.int64)), at, at], names=["_group", "_at", "_write"])
+
+    spans = [r for b in collisions._units(collisions.UNIT_ROWS)(batches()) for r in b.to_pylist() if r["twice"] is None]
+    assert len(spans) >= 2 and max(r["last"] - r["first"] for r in spans) < 600_000
+    assert (spans[0]["first"], spans[-1]["last"]) == (0, 999_999)

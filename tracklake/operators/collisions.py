@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.session import stage, stage_counted
 
-#: Rows of a unit: 48 MB of hashes and times in a task.
-UNIT_ROWS = 1 << 21
+#: Rows of a unit: 12 MB of hashes and times in a task, and some copies of them.
+UNIT_ROWS = 1 << 19
 _FOUND = pa.schema([("group", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("twice", pa.int64())])
 
 
