@@ -164,3 +164,19 @@ def test_partitioned_tables_are_written_unsorted(spark, monkeypatch):
     assert len({r[0].split("part=")[1].split("/")[0] for r in got.selectExpr("input_file_name()").collect()}) == 4
     many = stage(spark.range(0, 100, 1, 1).selectExpr("id", "id % 40 AS part"), "many", "part")  # more than may be open
     assert sorted(r.id for r in many.collect() if r.part == r.id % 40) == list(range(100))
+
+
+def test_recordings_are_looked_up_only_where_any_is_stored(spark, tmp_path, monkeypatch):
+    from tracklake.sources.tables import remove_recordings
+
+    path, looked = str(tmp_path / "t"), []
+    names = spark.createDataFrame([("a b=c",), ("d",)], "recording string")
+    nothing = names.limit(0)
+    nothing.selectExpr("1 AS v", "recording").write.partitionBy("recording").parquet(path)
+    real = type(names).toLocalIterator
+    monkeypatch.setattr(type(names), "toLocalIterator", lambda self, *a: (looked.append(1), real(self, *a))[1])
+    remove_recordings(nothing, path, names)
+    assert not looked
+    names.selectExpr("1 AS v", "recording").write.mode("append").partitionBy("recording").parquet(path)
+    remove_recordings(names.filter("recording = 'd'"), path, names)
+    assert looked and [r.recording for r in spark.read.parquet(path).collect()] == ["d"]

@@ -44,18 +44,29 @@ def write_table(df: DataFrame, path: str, recordings: DataFrame | None = None) -
 
 def remove_recordings(df: DataFrame, path: str, recordings: DataFrame) -> None:
     """Remove the partitions of ``recordings`` that have no row in ``df``; as many as files were read at most."""
-    spark = df.sparkSession
     fs, root = _fs(df, path)
-    if not fs.exists(root):
+    if not _has_partitions(fs, root):
         return
     empty = recordings.select("recording").distinct().join(df.select("recording").distinct(), "recording", "left_anti")
-    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    jvm = df.sparkSession.sparkContext._jvm
+    named, of = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString, jvm.org.apache.hadoop.fs.Path
     for row in empty.toLocalIterator():
-        at = _fs(df, f"{path}/{escaped.getPartitionPathString('recording', row['recording'])}")[1]
+        at = of(root, named("recording", row["recording"]))
         if fs.exists(at):
             fs.delete(at, True)
 
 
+def _has_partitions(fs, root) -> bool:
+    """Whether any recording is stored below ``root``; reads on to the first folder only."""
+    if not fs.exists(root):
+        return False
+    found = fs.listStatusIterator(root)
+    while found.hasNext():
+        if found.next().isDirectory():
+            return True
+    return False
+
+
 def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
     """Add one batch to the change feed; writing the same batch again replaces it."""
     fs, at = _fs(changes, f"{path}/batch_id={batch_id}")
