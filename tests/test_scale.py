@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracklake.operators import collisions, lookup, ordered
 from tracklake.operators.context import attach_context, entry_defs
+from tracklake.operators.entries import overlapping
 from tracklake.plans.ingest import Ingest, ingest_path
 from tracklake.session import staging_path
 from tracklake.sources import logfiles, ranges
@@ -224,3 +225,18 @@ def test_a_unit_holds_half_a_million_rows():
     spans = [r for b in collisions._units(collisions.UNIT_ROWS)(batches()) for r in b.to_pylist() if r["twice"] is None]
     assert len(spans) >= 2 and max(r["last"] - r["first"] for r in spans) < 600_000
     assert (spans[0]["first"], spans[-1]["last"]) == (0, 999_999)
+
+
+def test_names_that_may_meet_whatever_their_repeats(spark):
+    """Against brute force, from a row per record; where no compound entry stands above another one, no name is joined or shuffled."""
+    rng = random.Random(12)
+    names = ["", "/", "a", "a/b", "a//b", "/a", "a/b/c", "a/b/c/d", "b", "b/1", "b/1/x", "c", "c/"]
+    rows = [(rng.choice("rs"), k, k in ("a/b", "b", "", "c/") and rng.random() < 0.5) for k in names for _ in range(4)]
+    above = lambda k: [("/".join(k.split("/")[:n])) for n in range(len(k.split("/")))]
+    pairs = {(r, low, up) for r, low, _ in rows for r2, up, many in rows if r == r2 and many and up in above(low) and up != low}
+    df = spark.createDataFrame(rows, "recording string, key string, compound boolean")
+    got = [tuple(r) for r in overlapping(df).collect()]
+    assert set(got) == {(r, k) for r, low, up in pairs for k in (low, up)} and len(got) == len(set(got)) > 6
+    alone = overlapping(spark.createDataFrame([("r", f"order/{i % 50}", True) for i in range(200)], df.schema))
+    plan = alone._jdf.queryExecution().optimizedPlan().toString()
+    assert alone.isEmpty() and "Join" not in plan and "Aggregate" not in plan

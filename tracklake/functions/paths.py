@@ -51,6 +51,11 @@ def ancestors(key: Column) -> Column:
     )
 
 
+def parent_key(key: Column) -> Column:
+    """The last of the ancestors of a key that isn't empty."""
+    return F.substring(key, F.lit(1), F.length(key) - F.length(F.substring_index(key, "/", -1)) - 1)
+
+
 def is_array_type(entry_type: Column) -> Column:
     return F.endswith(entry_type, F.lit("[]"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions.binary import CELL_KINDS, CODE, STORED_NAMES, bits_of_hex, le_hex, signed, uint64_of_hex, utf8_lossy, with_real
-from tracklake.functions.paths import ancestors
+from tracklake.functions.paths import ancestors, parent_key
 from tracklake.operators.collisions import repeated
 from tracklake.operators.lookup import HOT_ROWS, lookup_join
 from tracklake.operators.ordered import asof_join
@@ -16,18 +16,24 @@ from tracklake.session import stage, stage_counted
 VALUES = ["vtype", "v_bool", "v_long", "v_dec", "v_float", "v_double", "v_string", "v_binary"]
 ENTRY_KEY = ["recording", "key", "ts"]
 
-def overlapping(names: DataFrame) -> DataFrame:
+def overlapping(names: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """(recording, key) of entries that may write a key of another entry.
 
-    ``names`` is (recording, key, compound): an array or struct entry writes below its own
+    ``names`` is (recording, key, compound), repeated or not: an array or struct entry writes below its own
     key, so it can meet an entry named there.
+    Few names stand above another one; they are gathered first, within each task and by parents, so that usually none of the
+    others is shuffled or split.
     """
-    below = names.select("recording", F.col("key").alias("lower"), F.explode(ancestors(F.col("key"))).alias("key"))
-    upper = names.filter("compound").select("recording", "key").distinct()
-    pairs = below.join(upper, ["recording", "key"]).filter("lower <> key")
-    return (
-        pairs.select("recording", F.explode(F.array("key", "lower")).alias("key")).distinct()
-    )
+    below = names.select("recording", F.col("key").alias("lower"), F.explode(ancestors(F.col("key"))).alias("key")).filter("lower <> key")
+    parents = names.filter("key <> ''").select("recording", parent_key(F.col("key")).alias("key")).distinct()
+    farther = parents.select("recording", F.explode(F.array_append(ancestors(F.col("key")), F.col("key"))).alias("key"))
+    above = stage(farther.distinct(), "names-above")
+    compound = names.filter("compound").select("recording", "key")
+    upper, n_upper = stage_counted(lookup_join(compound, above, ["recording", "key"], "left_semi", min_rows=min_rows).distinct(), "compound-above")
+    if not n_upper:
+        return upper
+    pairs = lookup_join(below, upper, ["recording", "key"], min_rows=min_rows)
+    return pairs.select("recording", F.explode(F.array("key", "lower")).alias("key")).distinct()
 
 
 def mark_contested(keyed: DataFrame, names: DataFrame, min_rows: int = HOT_ROWS) -> tuple[DataFrame, bool]:
@@ -36,7 +42,7 @@ def mark_contested(keyed: DataFrame, names: DataFrame, min_rows: int = HOT_ROWS)
     Suspects are found where records are read; only they are counted. Usually few or no
     records are contested, and no other one is shuffled, neither its key nor its payload.
     """
-    shared, n_shared = stage_counted(overlapping(names), "shared-keys")
+    shared, n_shared = stage_counted(overlapping(names, min_rows), "shared-keys")
     twice, n_twice = repeated(keyed.filter(~is_schema()), ENTRY_KEY[:2], ENTRY_KEY[2], min_rows=min_rows)
     marks = []
     if n_shared:

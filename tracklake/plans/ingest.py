@@ -128,13 +128,13 @@ class Ingest:
 
     @cached_property
     def entry_names(self) -> DataFrame:
-        """(recording, key, compound) of the entries: from the Start records where there are any."""
+        """(recording, key, compound) of the entries: from the Start records where there are any, else a row per record."""
         if self.keyed_rows is None:
             named = self.entry_defs.select("recording", "key", "entry_type")
         else:
             named = self.keyed.select("recording", "key", "entry_type")
         compound = F.startswith("entry_type", F.lit("struct:")) | F.endswith("entry_type", F.lit("[]"))
-        return named.withColumn("compound", compound).drop("entry_type").distinct()
+        return named.withColumn("compound", compound).drop("entry_type")
 
     @cached_property
     def cells(self) -> tuple[DataFrame, bool]:

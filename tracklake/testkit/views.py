@@ -299,7 +299,8 @@ def keyed_rows(df: DataFrame) -> DataFrame:
 
 
 def keyed_ingest(df: DataFrame) -> Ingest:
-    return Ingest(None, keyed_rows=stage(_spread(keyed_rows(df), "recording", "key", "ts"), "keyed"))
+    """The writes of a key stay together, as they do in a log."""
+    return Ingest(None, keyed_rows=stage(_spread(keyed_rows(df), "recording", "key"), "keyed"))
 
 
 # a unique time and a unique order for the rows of lineitem, the same in SQL
