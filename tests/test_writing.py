@@ -180,3 +180,18 @@ def test_recordings_are_looked_up_only_where_any_is_stored(spark, tmp_path, monk
     names.selectExpr("1 AS v", "recording").write.mode("append").partitionBy("recording").parquet(path)
     remove_recordings(names.filter("recording = 'd'"), path, names)
     assert looked and [r.recording for r in spark.read.parquet(path).collect()] == ["d"]
+
+
+def test_only_repeated_wide_structs_are_shuffled(spark):
+    """The last write wins among records and elements of arrays; without repeats nothing is aggregated."""
+    once = [rec(3, t, i64(t)) for t in range(5)]
+    got = contents(
+        spark,
+        a=log(schema(1, "P", "int64 x"), start(3, "k", "struct:P"), *once),
+        b=log(schema(1, "P", "int64 x"), start(3, "k", "struct:P[]"), start(4, "k/1", "struct:P"), rec(3, 1, i64(7) + i64(8)), rec(4, 1, i64(9)), rec(4, 2, i64(5)), rec(4, 2, i64(6))),
+    )
+    rows = wide.wide_structs(got.with_layout, got.layouts, "struct:P")
+    found = sorted((r["recording"], r["key"], r["ts"], r["value"]["x"]) for r in rows.collect())
+    assert found == [("a", "k", t, t) for t in range(5)] + [("b", "k/0", 1, 7), ("b", "k/1", 1, 9), ("b", "k/1", 2, 6)]
+    alone = wide.wide_structs(got.with_layout.filter("recording = 'a'"), got.layouts, "struct:P")
+    assert alone.count() == 5 and "max_by" not in alone._jdf.queryExecution().optimizedPlan().toString()

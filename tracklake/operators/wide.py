@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 from tracklake.functions.binary import bits_of_hex, le_hex, real, signed, uint64_of_hex, utf8_lossy
 from tracklake.functions.paths import join_path
+from tracklake.operators.collisions import repeated
+from tracklake.operators.entries import ENTRY_KEY
 from tracklake.operators.lookup import HOT_ROWS, fits_broadcast, lookup_join
 from tracklake.operators.schemas import element_place, elements
 from tracklake.operators.structs import struct_issue
@@ -172,6 +174,17 @@ def known_shapes(layouts: DataFrame, struct_name: str) -> DataFrame:
     return usable.select("recording", F.col("schema_seq").alias("epoch"), text.alias("text")).withColumn("shape", F.sha2("text", 256))
 
 
+def _last_writes(rows: DataFrame, min_rows: int) -> DataFrame:
+    """(recording, key, ts, epoch, body) of the last write of each key and time; only what is written more than once is shuffled."""
+    twice, some = repeated(rows, ENTRY_KEY[:2], ENTRY_KEY[2], min_rows=min_rows)
+    plain = rows.select(*ENTRY_KEY, "_last.*")
+    if not some:
+        return plain
+    marked = lookup_join(rows, twice.withColumn("_twice", F.lit(True)), ENTRY_KEY, "left", min_rows=min_rows)
+    met = marked.filter("_twice").groupBy(*ENTRY_KEY).agg(F.max_by("_last", "_order").alias("_last"))
+    return marked.filter("_twice is null").select(*ENTRY_KEY, "_last.*").unionByName(met.select(*ENTRY_KEY, "_last.*"))
+
+
 def wide_structs(with_layout: DataFrame, layouts: DataFrame, struct_name: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """(recording, key, ts, value) of every record, and every array element, of ``struct_name``; the last write of a key and time wins.
 
@@ -188,7 +201,7 @@ def wide_structs(with_layout: DataFrame, layouts: DataFrame, struct_name: str, m
         F.struct(F.greatest("seq", "layout.epoch"), "seq").alias("_order"),
         F.struct(F.col("layout.epoch").alias("epoch"), F.when(i < 0, F.substring("data", 1, size.cast("int"))).otherwise(part).alias("body")).alias("_last"),
     )
-    last = rows.groupBy("recording", "key", "ts").agg(F.max_by("_last", "_order").alias("_last")).select("recording", "key", "ts", "_last.*")
+    last = _last_writes(rows, min_rows)
     known = stage(known_shapes(layouts, struct_name), "shapes")
     distinct = known.select("shape", "text").distinct()
     if fits_broadcast(distinct, SHAPE_BYTES):
