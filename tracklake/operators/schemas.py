@@ -52,7 +52,9 @@ def _enum_labels(block: Column) -> Column:
 
 def _field(cut: Column) -> Column:
     """A field from what ``_cut`` made of its text."""
-    block, count = cut["block"], F.nullif(cut["count"].try_cast("bigint"), F.lit(0).cast("bigint"))
+    # an empty text is never cast: each failed cast is an exception inside, dearer than all patterns of a field
+    number = F.when(cut["count"] != "", cut["count"].try_cast("bigint"))
+    block, count = cut["block"], F.nullif(number, F.lit(0).cast("bigint"))
     return F.struct(
         (cut["ok"] & ((block == "") | block.rlike(_ENUM))).alias("ok"),
         F.trim(cut["rest"]).alias("rest"),
