@@ -143,6 +143,18 @@ def test_entries_in_log_rounds_against_decoys(spark, monkeypatch, range_bytes):
     assert text(scan_ranges(logs)) == whole
 
 
+def test_only_entries_that_maps_lead_to_are_composed(spark, monkeypatch):
+    """The rounds hold few places a range, not all at which some byte, read as a record, could end."""
+    folder = staging_path(spark, "composed")
+    write_files(spark.createDataFrame([(f"{i}.wpilog", bytearray(decoy_log(i))) for i in range(2)], "path string, content binary"), folder)
+    files = logfiles.list_files(spark, folder).withColumn("recording", F.regexp_extract("path", r"([^/]*)$", 1))
+    made = {}
+    monkeypatch.setattr(ranges, "stage", lambda df, label, f=ranges.stage: made.setdefault(label, []).append(f(df, label)) or made[label][-1])
+    large_logs(files, range_bytes=4000)
+    possible, rounds = made["range-links"][0].count(), [x.count() for x in made["range-maps"]]
+    assert 0 < max(rounds) < possible / 4, (possible, rounds)
+
+
 @pytest.mark.parametrize("window", [1, 7, 64, 1 << 16])
 def test_exits_and_maps_of_a_range(tmp_path, window):
     rng = random.Random(window)

@@ -5,7 +5,8 @@ exit; where every guess of a file equals the exit before it, all are exact. For
 guess the entries are computed: each range reads every byte as a record's start, which gives the bytes beyond
 it that a record could end at; each range then maps those that lie in it to its own exits (all at once, by
 pointer doubling); and the maps are composed along the file by pointer jumping from its first record, in
-as many rounds as the number of ranges has binary digits, whatever the payloads look like.
+as many rounds as the number of ranges has binary digits, whatever the payloads look like. Only entries that another
+range's map leads to take part.
 """
 
 from __future__ import annotations
@@ -287,7 +288,10 @@ def _exact_entries(blocks: DataFrame, range_bytes: int) -> DataFrame:
     block = F.floor(F.col("at") / F.lit(range_bytes).cast("bigint")).alias("block")
     # at most one node per byte of a range
     held = nodes.select(*file, block, "at").groupBy(*file, "block").agg(F.collect_set("at").alias("nodes"))
-    links = _spread(blocks.join(held, [*file, "block"])).mapInArrow(_maps, LINK_DDL)
+    links = stage(_spread(blocks.join(held, [*file, "block"])).mapInArrow(_maps, LINK_DDL), "range-links")
+    # walks of a range meet, so most places that a record could lead to are on no way through the ranges before
+    met = links.filter("next is not null").select(*file, F.col("next").alias("at")).unionByName(starts).distinct()
+    links = links.join(met, node, "left_semi")
     state = stage(links.join(starts.withColumn("_start", F.lit(True)), node, "left").select(*node, "next", F.col("_start").isNotNull().alias("reached")), "range-maps")
     longest = blocks.groupBy(*file).count().agg(F.max("count")).first()[0]
     for _ in range((longest - 1).bit_length()):
