@@ -386,9 +386,10 @@ def int_structs(spark: SparkSession, sf_dir: str) -> Ingest:
 def array_structs(spark: SparkSession, sf_dir: str) -> Ingest:
     """Every lineitem as an array of ``l_linenumber - 1`` (0 to 6) packed structs."""
     rows = lines(spark, sf_dir)
-    item = lambda i: F.concat(E.le_int(F.col("l_partkey"), 8), E.le_int(i, 2))
     many = F.filter(F.sequence(F.lit(0), F.col("l_linenumber") - 1), lambda i: i < F.col("l_linenumber") - 1)
-    body = F.aggregate(many, F.lit(b""), lambda done, i: F.concat(done, item(i)))
+    # the part's bytes are made once per row, not per element
+    items = lambda part: F.aggregate(many, F.lit(b""), lambda done, i: F.concat(done, part, E.le_int(i, 2)))
+    body = F.transform(F.array(E.le_int(F.col("l_partkey"), 8)), items)[0]
     data = rows.withColumn("entry_type", F.lit("struct:Item[]")).withColumn("data", body).select(*KEYED)
     return keyed_ingest(data.unionByName(_schema_rows(rows, "Item", "int64 part; int16 no", 1)))
 
