@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 from html.parser import HTMLParser
 
 import duckdb
@@ -385,6 +386,22 @@ def test_blocks_of_a_text_count_the_same_grams(monkeypatch):
     assert (language.grams(text) == whole).all() and language.grams("12 .") is None
 
 
+def test_training_rows_of_a_batch_are_made_sparse_one_by_one():
+    texts = [f"text {i} " + WORDS[i % 400] for i in range(300)] + [None, "12 ."]
+    batch = pa.record_batch([pa.array(["en"] * len(texts)), pa.array([1] * len(texts)), pa.array(texts)], names=["lang", "pick", "text"])
+    language.grams("a")  # makes its table of letters
+    tracemalloc.start()
+    (rows,) = language._sparse(iter([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20 * language.DIMS * 8  # not one array of all buckets per text
+    dense = [language.grams(t) for t in texts]
+    for at, n, all_ in zip(rows["buckets"].to_pylist(), rows["counts"].to_pylist(), dense, strict=True):
+        assert (at is None) == (n is None) == (all_ is None)
+        if at is not None:
+            assert (np.frombuffer(at, np.uint16) == np.flatnonzero(all_)).all() and (np.frombuffer(n, np.uint32) == all_[all_ > 0]).all()
+
+
 # --- mixing
 
 

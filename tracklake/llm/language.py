@@ -77,10 +77,12 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [grams(t.as_py()) for t in batch.column(2)]
-        at = [None if c is None else np.flatnonzero(c) for c in found]
-        buckets = [None if a is None else a.astype(np.uint16).tobytes() for a in at]
-        counts = [None if a is None else c[a].astype(np.uint32).tobytes() for a, c in zip(at, found, strict=True)]
+        buckets, counts = [], []
+        for text in batch.column(2):  # a text's counts take 256 KB until they are sparse: one is held at a time
+            found = grams(text.as_py())
+            at = None if found is None else np.flatnonzero(found)
+            buckets.append(None if at is None else at.astype(np.uint16).tobytes())
+            counts.append(None if at is None else found[at].astype(np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "pick", "buckets", "counts"])
 
 
